@@ -21,7 +21,7 @@ def month_from_parts(year, month) -> Column:
     y, m = _c(year), _c(month)
     text = F.format_string("%04d-%02d-01", y, m)
     return F.when(y.isNull() | m.isNull(), F.lit(None).cast("date")).otherwise(
-        F.try_to_date(text, F.lit("yyyy-MM-dd")))
+        F.try_to_date(text, "yyyy-MM-dd"))
 
 
 def fy_start_year(d) -> Column:

@@ -15,9 +15,25 @@ def coerce_double(c) -> Column:
     return _c(c).try_cast("double")
 
 
+def fround(c, scale: int = 0) -> Column:
+    """Round a DOUBLE half away from zero on its *binary* value:
+    round(x * 10^s) / 10^s.
+
+    Spark's ``round`` on doubles rounds the shortest decimal representation,
+    so 5153.62725 (binary 5153.627249999...) becomes 5153.6273; rounding the
+    scaled binary value gives 5153.6272, as SQL engines that compute
+    ``round(x * 10^s) / 10^s`` do.  The scaled value is rounded with scale 0,
+    where both interpretations agree.
+    """
+    m = float(10 ** scale)
+    x = _c(c).cast("double")
+    return F.round(x * m, 0) / m if scale else F.round(x, 0)
+
+
 def unit_price(value, qty, scale: int = 4) -> Column:
-    """P-6: value / qty rounded (half-up) to ``scale`` decimals; qty=0 -> NULL."""
-    return F.round(F.try_divide(_c(value).cast("double"), _c(qty).cast("double")), scale)
+    """P-6: value / qty rounded half away from zero to ``scale`` decimals;
+    qty = 0 -> NULL."""
+    return fround(F.try_divide(_c(value).cast("double"), _c(qty).cast("double")), scale)
 
 
 def clip(c, lower=None, upper=None) -> Column:

@@ -19,15 +19,28 @@ from tradelens.params import PEAK_MONTHS
 
 
 def monthly_totals(df: DataFrame, keys: list[str], date_col: str = "shipment_date",
-                   value_col: str = "value", out: str = "total") -> DataFrame:
-    """A-4: sum of value per (keys, first-of-month), as DOUBLE.
+                   value_col: str = "value", out: str = "total", as_double: bool = True
+                   ) -> DataFrame:
+    """A-4: sum of value per (keys, first-of-month).
 
     The sum runs in the value's own type (exact DECIMAL for money) and is
-    converted once at the end, so totals are order-independent.
+    converted to DOUBLE once at the end (``as_double``), so totals do not
+    depend on summation order.
     """
     month = F.trunc(F.col(date_col), "month").alias("month")
+    total = F.sum(value_col)
     return (df.groupBy(*keys, month)
-              .agg(F.sum(value_col).cast("double").alias(out)))
+              .agg((total.cast("double") if as_double else total).alias(out)))
+
+
+def exact_mean(c: Column | str) -> Column:
+    """Mean of an exact (DECIMAL) column: exact sum, then one double division.
+
+    Unlike a running double average this is independent of row order, so
+    every engine (and every partitioning) returns the same bits.
+    """
+    x = F.col(c) if isinstance(c, str) else c
+    return F.sum(x).cast("double") / F.count(x)
 
 
 def _premium(total: Column, month: Column, peak_months) -> Column:
@@ -41,11 +54,11 @@ def peak_premium(df: DataFrame, keys: list[str], date_col: str = "shipment_date"
 
     Means are over the months *present* for the key (no zero fill).
     """
-    m = monthly_totals(df, keys, date_col, value_col)
+    m = monthly_totals(df, keys, date_col, value_col, as_double=False)
     return (m.groupBy(*keys)
-             .agg(F.avg(F.when(F.month("month").isin(list(peak_months)), F.col("total")))
+             .agg(exact_mean(F.when(F.month("month").isin(list(peak_months)), F.col("total")))
                    .alias("peak_mean"),
-                  F.avg("total").alias("annual_mean"),
+                  exact_mean("total").alias("annual_mean"),
                   F.count("*").alias("n_months"))
              .withColumn("premium", F.col("peak_mean") / F.col("annual_mean") - 1))
 
@@ -61,16 +74,16 @@ def peak_premium_rollup(df: DataFrame, segment: Column, date_col: str = "shipmen
     month = F.trunc(F.col(date_col), "month")
     base = df.select(segment.alias("segment"), month.alias("month"), F.col(value_col))
     totals = (base.rollup("month", "segment")
-                  .agg(F.sum(value_col).cast("double").alias("total"),
+                  .agg(F.sum(value_col).alias("total"),
                        F.grouping_id().alias("gid"))
                   .filter(F.col("gid") < 3)  # drop the grand-total (no month) row
                   .select(F.when(F.col("gid") == 1, F.lit(whole_label))
                            .otherwise(F.col("segment")).alias("segment"),
                           "month", "total"))
     return (totals.groupBy("segment")
-                  .agg(F.avg(F.when(F.month("month").isin(list(peak_months)),
-                                    F.col("total"))).alias("peak_mean"),
-                       F.avg("total").alias("annual_mean"))
+                  .agg(exact_mean(F.when(F.month("month").isin(list(peak_months)),
+                                         F.col("total"))).alias("peak_mean"),
+                       exact_mean("total").alias("annual_mean"))
                   .withColumn("premium", F.col("peak_mean") / F.col("annual_mean") - 1))
 
 
@@ -84,13 +97,13 @@ def peak_premium_by_year(df: DataFrame, keys: list[str] | None = None,
     are skipped.  The zero fill needs no join -- sum(peak)/len(peak) is it.
     """
     keys = list(keys or [])
-    m = monthly_totals(df, keys, date_col, value_col).withColumn("year", F.year("month"))
+    m = (monthly_totals(df, keys, date_col, value_col, as_double=False)
+         .withColumn("year", F.year("month")))
     n_peak = float(len(peak_months))
+    peak_sum = F.sum(F.when(F.month("month").isin(list(peak_months)), F.col("total")))
     return (m.groupBy(*keys, "year")
-             .agg((F.coalesce(F.sum(F.when(F.month("month").isin(list(peak_months)),
-                                          F.col("total"))), F.lit(0.0)) / n_peak)
-                   .alias("peak_mean"),
-                  F.avg(F.when(F.col("total") > 0, F.col("total"))).alias("annual_mean"),
+             .agg((F.coalesce(peak_sum.cast("double"), F.lit(0.0)) / n_peak).alias("peak_mean"),
+                  exact_mean(F.when(F.col("total") > 0, F.col("total"))).alias("annual_mean"),
                   F.sum("total").alias("year_total"))
              .filter(F.col("year_total") != 0)
              .withColumn("premium", F.col("peak_mean") / F.col("annual_mean") - 1)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tradelens.functions.numeric import fround
+
 from tradelens.operators import seasonality as S
 from tradelens.plans.registry import register
 from tradelens.sources.tables import trade, with_trade
@@ -16,55 +18,65 @@ def _in(values) -> str:
 
 
 MONTHLY_CTE = """
-m AS (SELECT product, shipment_date AS month, CAST(sum(value) AS DOUBLE) AS total
+m AS (SELECT product, shipment_date AS month, sum(value) AS total
       FROM trade GROUP BY product, shipment_date)"""
 
 
-@register("peak_premium", with_trade("""
-SELECT product, round(avg(CASE WHEN month(month) IN (9,10,11) THEN total END), 4) AS peak_mean,
-       round(avg(total), 4) AS annual_mean, count(*) AS n_months,
-       round(avg(CASE WHEN month(month) IN (9,10,11) THEN total END) / avg(total) - 1, 6) AS premium
+def xmean(expr: str) -> str:
+    """SQL twin of ``exact_mean``: exact decimal sum, one double division."""
+    return f"(CAST(sum({expr}) AS DOUBLE) / count({expr}))"
+
+
+PEAK = xmean("CASE WHEN month(month) IN (9,10,11) THEN total END")
+ALLM = xmean("total")
+
+
+@register("peak_premium", with_trade(f"""
+SELECT product, round({PEAK}, 4) AS peak_mean,
+       round({ALLM}, 4) AS annual_mean, count(*) AS n_months,
+       round({PEAK} / {ALLM} - 1, 6) AS premium
 FROM m GROUP BY product""", MONTHLY_CTE), ids=("A-4", "A-9"))
 def peak_premium(spark, sf_dir):
     out = S.peak_premium(trade(spark, sf_dir), ["product"])
-    return out.select("product", F.round("peak_mean", 4).alias("peak_mean"),
-                      F.round("annual_mean", 4).alias("annual_mean"), "n_months",
-                      F.round("premium", 6).alias("premium"))
+    return out.select("product", fround("peak_mean", 4).alias("peak_mean"),
+                      fround("annual_mean", 4).alias("annual_mean"), "n_months",
+                      fround("premium", 6).alias("premium"))
 
 
 @register("peak_premium_rollup", with_trade(f"""
 SELECT segment,
-       round(avg(CASE WHEN month(month) IN (9,10,11) THEN total END), 4) AS peak_mean,
-       round(avg(total), 4) AS annual_mean,
-       round(avg(CASE WHEN month(month) IN (9,10,11) THEN total END) / avg(total) - 1, 6) AS premium
+       round({PEAK}, 4) AS peak_mean,
+       round({ALLM}, 4) AS annual_mean,
+       round({PEAK} / {ALLM} - 1, 6) AS premium
 FROM (
   SELECT CASE WHEN product IN ({_in(SEGMENT_A)}) THEN 'SEGMENT_A' ELSE 'SEGMENT_B' END AS segment,
-         shipment_date AS month, CAST(sum(value) AS DOUBLE) AS total
+         shipment_date AS month, sum(value) AS total
   FROM trade GROUP BY 1, 2
   UNION ALL
-  SELECT 'ALL', shipment_date, CAST(sum(value) AS DOUBLE) FROM trade GROUP BY 2
+  SELECT 'ALL', shipment_date, sum(value) FROM trade GROUP BY 2
 ) GROUP BY segment"""), ids=("A-9",))
 def peak_premium_rollup(spark, sf_dir):
     seg = F.when(F.col("product").isin(list(SEGMENT_A)), "SEGMENT_A").otherwise("SEGMENT_B")
     out = S.peak_premium_rollup(trade(spark, sf_dir), seg)
-    return out.select("segment", F.round("peak_mean", 4).alias("peak_mean"),
-                      F.round("annual_mean", 4).alias("annual_mean"),
-                      F.round("premium", 6).alias("premium"))
+    return out.select("segment", fround("peak_mean", 4).alias("peak_mean"),
+                      fround("annual_mean", 4).alias("annual_mean"),
+                      fround("premium", 6).alias("premium"))
 
 
-@register("peak_premium_by_year", with_trade("""
+@register("peak_premium_by_year", with_trade(f"""
 SELECT CAST(year(month) AS INTEGER) AS year,
-       round(coalesce(sum(CASE WHEN month(month) IN (9,10,11) THEN total END), 0.0) / 3.0, 4) AS peak_mean,
-       round(avg(CASE WHEN total > 0 THEN total END), 4) AS annual_mean,
-       round(coalesce(sum(CASE WHEN month(month) IN (9,10,11) THEN total END), 0.0) / 3.0
-             / avg(CASE WHEN total > 0 THEN total END) - 1, 6) AS premium
-FROM (SELECT shipment_date AS month, CAST(sum(value) AS DOUBLE) AS total FROM trade GROUP BY 1)
+       round(coalesce(CAST(sum(CASE WHEN month(month) IN (9,10,11) THEN total END) AS DOUBLE), 0.0) / 3.0, 4)
+         AS peak_mean,
+       round({xmean("CASE WHEN total > 0 THEN total END")}, 4) AS annual_mean,
+       round(coalesce(CAST(sum(CASE WHEN month(month) IN (9,10,11) THEN total END) AS DOUBLE), 0.0) / 3.0
+             / {xmean("CASE WHEN total > 0 THEN total END")} - 1, 6) AS premium
+FROM (SELECT shipment_date AS month, sum(value) AS total FROM trade GROUP BY 1)
 GROUP BY year(month) HAVING sum(total) <> 0"""), ids=("A-10",))
 def peak_premium_by_year(spark, sf_dir):
     out = S.peak_premium_by_year(trade(spark, sf_dir))
-    return out.select("year", F.round("peak_mean", 4).alias("peak_mean"),
-                      F.round("annual_mean", 4).alias("annual_mean"),
-                      F.round("premium", 6).alias("premium"))
+    return out.select("year", fround("peak_mean", 4).alias("peak_mean"),
+                      fround("annual_mean", 4).alias("annual_mean"),
+                      fround("premium", 6).alias("premium"))
 
 
 @register("monthly_total", with_trade("""
@@ -89,8 +101,8 @@ FROM (SELECT shipment_date, CAST(sum(value) AS DOUBLE) AS total FROM trade GROUP
 def monthly_total_stats(spark, sf_dir):
     m = S.monthly_totals(trade(spark, sf_dir), [])
     return m.agg(F.count("*").alias("n_months"),
-                 F.round(F.avg("total"), 4).alias("mean_total"),
-                 F.round(F.stddev_samp("total"), 4).alias("std_total"))
+                 fround(F.avg("total"), 4).alias("mean_total"),
+                 fround(F.stddev_samp("total"), 4).alias("std_total"))
 
 
 DENSE_BRAND_CTES = (
@@ -141,8 +153,8 @@ SELECT product, month, total, round(trend, 4) AS trend, round(seasonal, 4) AS se
 def seasonal_decompose(spark, sf_dir):
     m = S.monthly_totals(trade(spark, sf_dir), ["product"])
     d = S.seasonal_decompose(S.densify_monthly(m, ["product"]), ["product"])
-    return d.select("product", "month", "total", F.round("trend", 4).alias("trend"),
-                    F.round("seasonal", 4).alias("seasonal"), F.round("resid", 4).alias("resid"))
+    return d.select("product", "month", "total", fround("trend", 4).alias("trend"),
+                    fround("seasonal", 4).alias("seasonal"), fround("resid", 4).alias("resid"))
 
 
 @register("seasonal_profile", with_trade("""
@@ -155,5 +167,5 @@ def seasonal_profile(spark, sf_dir):
     m = S.monthly_totals(trade(spark, sf_dir), ["product"])
     d = S.seasonal_decompose(S.densify_monthly(m, ["product"]), ["product"])
     p = S.seasonal_profile(d, ["product"])
-    return p.select("product", "month_of_year", F.round("seasonal_mean", 4).alias("seasonal_mean"),
-                    F.round("peak_lift", 4).alias("peak_lift"))
+    return p.select("product", "month_of_year", fround("seasonal_mean", 4).alias("seasonal_mean"),
+                    fround("peak_lift", 4).alias("peak_lift"))

@@ -44,6 +44,8 @@ def register(name: str, sql: str | None, ids: tuple = ()):
 def load_all() -> dict[str, Query]:
     """Import every query module (registration happens on import)."""
     from tradelens.plans import (  # noqa: F401
+        q_clean,
+        q_marts,
         q_seasonality,
     )
     return REGISTRY
