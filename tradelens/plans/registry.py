@@ -45,7 +45,10 @@ def load_all() -> dict[str, Query]:
     """Import every query module (registration happens on import)."""
     from tradelens.plans import (  # noqa: F401
         q_clean,
+        q_benchmark,
         q_marts,
+        q_quality,
+        q_risk,
         q_seasonality,
     )
     return REGISTRY
