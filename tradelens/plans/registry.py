@@ -50,5 +50,6 @@ def load_all() -> dict[str, Query]:
         q_quality,
         q_risk,
         q_seasonality,
+        q_segment,
     )
     return REGISTRY
