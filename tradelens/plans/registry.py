@@ -51,5 +51,6 @@ def load_all() -> dict[str, Query]:
         q_risk,
         q_seasonality,
         q_segment,
+        q_timeseries,
     )
     return REGISTRY
