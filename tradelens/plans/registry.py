@@ -51,6 +51,8 @@ def load_all() -> dict[str, Query]:
         q_risk,
         q_seasonality,
         q_segment,
+        q_sources,
         q_timeseries,
+        q_warehouse,
     )
     return REGISTRY
