@@ -17,12 +17,16 @@ from tradelens.plans.registry import register
 from tradelens.session import scratch_path
 from tradelens.sources.tables import TABLES, read_table, trade, with_trade
 
-ISO = F.concat(F.lit("N"), F.lpad(F.col("market_key").cast("string"), 2, "0"))
+
+
+def iso_col():
+    return F.concat(F.lit("N"), F.lpad(F.col("market_key").cast("string"), 2, "0"))
+
 ISO_SQL = "'N' || lpad(CAST(market_key AS VARCHAR), 2, '0')"
 
 
 def dim_market_frame(spark, sf_dir):
-    t = trade(spark, sf_dir).withColumn("iso_alpha3", ISO)
+    t = trade(spark, sf_dir).withColumn("iso_alpha3", iso_col())
     names = W.first_name_per_key(t, "iso_alpha3", "market", "shipment_date")
     ids = W.assign_surrogate_keys(names.select("iso_alpha3"), ["iso_alpha3"], "country_id")
     return names.join(ids, "iso_alpha3")
@@ -49,7 +53,7 @@ LEFT JOIN dm ON dm.iso_alpha3 = {ISO_SQL}""",
 def fk_resolve(spark, sf_dir):
     """FK resolution with its gate check (one aggregate).  The country dim
     deliberately lacks N04, so the gate reports unresolved rows."""
-    t = trade(spark, sf_dir).withColumn("iso_alpha3", ISO).withColumn(
+    t = trade(spark, sf_dir).withColumn("iso_alpha3", iso_col()).withColumn(
         "time_id", F.year("shipment_date") * 10000 + F.month("shipment_date") * 100
         + F.dayofmonth("shipment_date"))
     countries = W.assign_surrogate_keys(
@@ -132,7 +136,7 @@ JOIN (SELECT iso_alpha3, CAST(row_number() OVER (ORDER BY iso_alpha3) AS BIGINT)
       FROM (SELECT DISTINCT {ISO_SQL} AS iso_alpha3 FROM trade) WHERE iso_alpha3 <> 'N04') c
   USING (iso_alpha3)"""), ids=("K-5",))
 def buyer_dim(spark, sf_dir):
-    t = trade(spark, sf_dir).withColumn("iso_alpha3", ISO)
+    t = trade(spark, sf_dir).withColumn("iso_alpha3", iso_col())
     scored = (t.groupBy("iso_alpha3", "market").agg(F.count_distinct("shipment_date").alias("m"))
                .filter(F.col("m") >= 6))
     countries = W.assign_surrogate_keys(

@@ -79,8 +79,10 @@ def flatten_documents(docs: DataFrame) -> DataFrame:
 
 
 def rejected_documents(docs: DataFrame) -> DataFrame:
-    """Malformed files, for the warning report."""
-    return (docs.filter(F.col("_corrupt_record").isNotNull())
+    """Malformed files, for the warning report.  (The parsed ``data`` column is
+    referenced too: Spark refuses queries over the corrupt-record column
+    alone, since it would have to re-parse the files.)"""
+    return (docs.filter(F.col("_corrupt_record").isNotNull() & F.col("data").isNull())
                 .groupBy("__file").agg(F.count("*").alias("bad_records")))
 
 
