@@ -65,3 +65,22 @@ def dbl(c, scale: int | None = None) -> Column:
     if scale is not None:
         x = F.round(x, scale)
     return x.cast("double")
+
+
+MONEY_SCALE = 10_000  # money columns carry 4 decimals
+
+
+def money_sum(df, value_col: str) -> Column:
+    """Exact sum of a money column, as DECIMAL(38,4).
+
+    When the frame also carries ``<value_col>_units`` (the same amount as an
+    exact LONG count of 1e-4 units, see ``sources.tables.trade``) the sum runs
+    on that long -- a fixed-width, codegen'd aggregation buffer -- and is
+    scaled once per group.  Summing DECIMAL(18,4) directly widens to
+    DECIMAL(28,4), which Spark aggregates with object-backed decimals at
+    2-3x the CPU cost.  Both paths give the same exact value.
+    """
+    units = f"{value_col}_units"
+    if units in df.columns:
+        return (F.sum(units).cast("decimal(38,0)") / F.lit(MONEY_SCALE)).cast("decimal(38,4)")
+    return F.sum(value_col)

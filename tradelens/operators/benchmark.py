@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelens.functions.numeric import fround
+from tradelens.functions.numeric import fround, money_sum
 from tradelens.params import BenchmarkParams
 
 
@@ -30,7 +30,7 @@ def reporter_panel(df: DataFrame, reporter: str, year: str, product: str, value:
     g = (df.filter(keep)
            .groupBy(F.col(reporter).alias("reporter"), F.col(year).alias("year"),
                     F.col(product).alias("product"))
-           .agg(F.sum(value).alias("fob"), F.sum(qty).alias("qty")))
+           .agg(money_sum(df, value).alias("fob"), F.sum(qty).alias("qty")))
     g = g.filter((F.col("reporter") == base_reporter) | (F.col("qty") > 0))
     return g.withColumn("price", F.try_divide(F.col("fob").cast("double"),
                                               F.col("qty").cast("double")))

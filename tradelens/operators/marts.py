@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradelens.functions.numeric import money_sum
 from tradelens.functions.stats import attach_scalars
 
 
@@ -39,7 +40,7 @@ def dataset_profile(df: DataFrame, key_cols: list[str], date_col: str, value_col
     aggs = [F.count("*").alias("n_rows")]
     aggs += [dc(c).alias(f"n_distinct_{c}") for c in key_cols]
     aggs += [F.min(date_col).alias("min_date"), F.max(date_col).alias("max_date"),
-             F.sum(value_col).alias("total_value"), F.sum(qty_col).alias("total_qty")]
+             money_sum(df, value_col).alias("total_value"), F.sum(qty_col).alias("total_qty")]
     if flag_col:
         aggs += [F.count_if(F.col(flag_col)).alias("n_flagged"),
                  F.avg(F.col(flag_col).cast("double")).alias("flag_rate")]
@@ -48,7 +49,7 @@ def dataset_profile(df: DataFrame, key_cols: list[str], date_col: str, value_col
 
 def totals_with_share(df: DataFrame, key: str, value_col: str) -> DataFrame:
     """A-5 / A-7: total per key and its share of the grand total."""
-    per = df.groupBy(key).agg(F.sum(value_col).cast("double").alias("total"))
+    per = df.groupBy(key).agg(money_sum(df, value_col).cast("double").alias("total"))
     grand = per.agg(F.sum("total").alias("__grand"))
     return (attach_scalars(per, grand)
             .withColumn("share", F.col("total") / F.col("__grand")).drop("__grand"))
@@ -76,7 +77,7 @@ def pivot_sum(df: DataFrame, row_key: str, pivot_col: str, values: list, value_c
               fill: float = 0.0) -> DataFrame:
     """A-6 / A-8: groupBy(row).pivot(col, explicit values).sum(), NULL -> fill."""
     p = (df.groupBy(row_key).pivot(pivot_col, values)
-           .agg(F.sum(value_col).cast("double")))
+           .agg(money_sum(df, value_col).cast("double")))
     return p.fillna(fill, subset=[str(v) for v in values])
 
 
@@ -110,7 +111,7 @@ def yoy_change(df: DataFrame, key: str, year_col: str, value_col: str) -> DataFr
     """W-2: yearly totals per key densified over the global year range (0 fill),
     then (x / previous - 1) * 100 with x/0 -> NULL; the first year is dropped."""
     yearly = df.groupBy(key, F.col(year_col).alias("year")).agg(
-        F.sum(value_col).cast("double").alias("total"))
+        money_sum(df, value_col).cast("double").alias("total"))
     span = yearly.agg(F.min("year").alias("__lo"), F.max("year").alias("__hi"))
     grid = (yearly.select(key).distinct().crossJoin(F.broadcast(span))
                   .select(key, F.explode(F.sequence("__lo", "__hi")).alias("year")))

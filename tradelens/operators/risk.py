@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelens.functions.numeric import cv, fround
+from tradelens.functions.numeric import cv, fround, money_sum
 from tradelens.functions.stats import attach_scalars, minmax_scale, quantile_scalars
 from tradelens.params import RiskParams
 
@@ -42,7 +42,7 @@ def risk_signals(df: DataFrame, key: str, date_col: str, value_col: str, price_c
     early, late = list(params.early_years), list(params.late_years)
     price = F.col(price_col).cast("decimal(18,4)")
     monthly = (df.groupBy(F.col(key).alias("key"), F.trunc(date_col, "month").alias("ym"))
-                 .agg(F.sum(value_col).alias("m_value"),
+                 .agg(money_sum(df, value_col).alias("m_value"),
                       (F.sum(price).cast("double") / F.count(price)).alias("m_price"),
                       F.count("*").alias("n"),
                       F.count_if(F.col(outlier_col)).alias("n_out"),

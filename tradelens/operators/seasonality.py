@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tradelens.functions.numeric import money_sum
 from tradelens.params import PEAK_MONTHS
 
 
@@ -28,7 +29,7 @@ def monthly_totals(df: DataFrame, keys: list[str], date_col: str = "shipment_dat
     depend on summation order.
     """
     month = F.trunc(F.col(date_col), "month").alias("month")
-    total = F.sum(value_col)
+    total = money_sum(df, value_col)
     return (df.groupBy(*keys, month)
               .agg((total.cast("double") if as_double else total).alias(out)))
 
@@ -72,9 +73,10 @@ def peak_premium_rollup(df: DataFrame, segment: Column, date_col: str = "shipmen
     aggregates before the shuffle, so the 'whole' level costs no extra scan.
     """
     month = F.trunc(F.col(date_col), "month")
-    base = df.select(segment.alias("segment"), month.alias("month"), F.col(value_col))
+    extra = [f"{value_col}_units"] if f"{value_col}_units" in df.columns else []
+    base = df.select(segment.alias("segment"), month.alias("month"), F.col(value_col), *extra)
     totals = (base.rollup("month", "segment")
-                  .agg(F.sum(value_col).alias("total"),
+                  .agg(money_sum(base, value_col).alias("total"),
                        F.grouping_id().alias("gid"))
                   .filter(F.col("gid") < 3)  # drop the grand-total (no month) row
                   .select(F.when(F.col("gid") == 1, F.lit(whole_label))

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradelens.functions.numeric import money_sum
 from tradelens.functions.stats import attach_scalars, quantile_scalars, zscore
 from tradelens.params import SegmentParams
 
@@ -35,7 +36,7 @@ def segment_features(df: DataFrame, key: str, date_col: str, value_col: str,
     year = F.year(date_col)
     hist = df.filter(year.between(params.start_year, params.end_year))
     monthly = (hist.groupBy(F.col(key).alias("key"), F.trunc(date_col, "month").alias("ym"))
-                   .agg(F.sum(value_col).alias("m_value"), F.count("*").alias("n")))
+                   .agg(money_sum(hist, value_col).alias("m_value"), F.count("*").alias("n")))
     y = F.year("ym")
     per = (monthly.groupBy("key")
                   .agg(F.coalesce(F.sum(F.when(y == params.start_year, F.col("m_value"))), F.lit(0))

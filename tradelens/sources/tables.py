@@ -46,6 +46,13 @@ def money(extended_price: Column, discount: Column) -> Column:
     return net.cast("decimal(18,4)")
 
 
+def money_units(extended_price: Column, discount: Column) -> Column:
+    """The same net value as an exact LONG in 1e-4 units: cents x (100 - pct)."""
+    cents = F.round(extended_price * 100).cast("long")
+    pct = F.round(discount * 100).cast("long")
+    return cents * (F.lit(100) - pct)
+
+
 def month_of(ts: Column) -> Column:
     """First day of the month of a timestamp, as DATE."""
     return F.trunc(F.to_date(ts), "month")
@@ -79,6 +86,7 @@ def trade(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").alias("buyer"),
         "reporter",
         money(F.col("l_extendedprice"), F.col("l_discount")).alias("value"),
+        money_units(F.col("l_extendedprice"), F.col("l_discount")).alias("value_units"),
         F.col("l_quantity").alias("qty"),
         "l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
     )
