@@ -54,21 +54,30 @@ def apply_semantics(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.ansi.enabled", "true")
 
 
+_LOCAL_FALLBACK: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for checkpoints and written tables.
 
     Reads ``spark.checkpoint.dir`` from the session; only when it is unset
-    (local runs and tests) a fresh scratch folder is created and registered.
+    (local runs and tests) a scratch folder is created once per application.
+    The RDD checkpoint directory is pointed at the same folder if the
+    context has none yet (Spark adds its own sub-folder for RDD checkpoints,
+    so the *configured* base is returned, never the derived one).
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    if not current:
-        current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="tradelens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    sc.setCheckpointDir(current)
-    return current.rstrip("/")
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
+        "spark.checkpoint.dir", None)
+    if not base:
+        app = sc.applicationId
+        base = _LOCAL_FALLBACK.get(app)
+        if base is None:
+            base = tempfile.mkdtemp(prefix="tradelens-ckpt-")
+            _LOCAL_FALLBACK[app] = base
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(base)
+    return base.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
