@@ -54,3 +54,17 @@ def quantile_scalars(df: DataFrame, col: str, qs: dict[str, float]) -> DataFrame
     """
     return df.agg(*[F.percentile(F.col(col).cast("double"), q).alias(name)
                     for name, q in qs.items()])
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint in the shared folder.
+
+    Used where a *small, keyed* intermediate (one row per key) feeds several
+    branches of one plan -- its rows, a min/max aggregate, a percentile
+    aggregate.  Without it each branch re-runs the whole lineage down to the
+    fact scan; with it the fact is read once and a lost executor recovers
+    from the checkpoint files, not by recomputing the fact.
+    """
+    from tradelens.session import shared_dir
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

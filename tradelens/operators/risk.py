@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradelens.functions.numeric import cv, fround, money_sum
-from tradelens.functions.stats import attach_scalars, minmax_scale, quantile_scalars
+from tradelens.functions.stats import attach_scalars, materialize, minmax_scale, quantile_scalars
 from tradelens.params import RiskParams
 
 SIGNALS = ("revenue_trend", "price_volatility", "shipment_irregular", "hs_concentration",
@@ -73,9 +73,16 @@ def risk_signals(df: DataFrame, key: str, date_col: str, value_col: str, price_c
                     F.coalesce("outlier_rate", F.lit(0.0)).alias("outlier_rate")))
 
 
-def risk_scores(signals: DataFrame, params: RiskParams = RiskParams()) -> DataFrame:
+def risk_scores(signals: DataFrame, params: RiskParams = RiskParams(),
+                checkpoint: bool = True) -> DataFrame:
     """A-21 + A-22: min-max scale each signal to [0, 10] (constant -> 5), weighted
-    sum, clip to [score_min, score_max], round to 2 dp."""
+    sum, clip to [score_min, score_max], round to 2 dp.
+
+    The per-key signals feed the rows, the min/max aggregate and (later) the
+    band percentiles; ``checkpoint`` materialises them once in the shared
+    folder so the fact is not re-scanned per branch."""
+    if checkpoint:
+        signals = materialize(signals)
     scaled = minmax_scale(signals, list(SIGNALS), suffix="_scaled")
     score = sum(F.col(f"{name}_scaled") * w for name, w in params.weights)
     clipped = F.least(F.greatest(score, F.lit(params.score_min)), F.lit(params.score_max))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradelens.functions.numeric import money_sum
-from tradelens.functions.stats import attach_scalars, quantile_scalars, zscore
+from tradelens.functions.stats import attach_scalars, materialize, quantile_scalars, zscore
 from tradelens.params import SegmentParams
 
 FEATURES = ("cagr", "order_frequency", "avg_order_value", "last_year_fob")
@@ -65,9 +65,13 @@ def scale_features(features: DataFrame, log_cols=LOG_FEATURES, cols=FEATURES) ->
                   sample=False)
 
 
-def rule_labels(features: DataFrame, params: SegmentParams = SegmentParams()) -> DataFrame:
+def rule_labels(features: DataFrame, params: SegmentParams = SegmentParams(),
+                checkpoint: bool = True) -> DataFrame:
     """M-7: rule twin of k-means -- growth (CAGR >= 0) x size (last-year value
-    >= median) -> Core / Rising Star / Declining / Untapped."""
+    >= median) -> Core / Rising Star / Declining / Untapped.  The per-key
+    features are checkpointed (rows + median branch read them once)."""
+    if checkpoint:
+        features = materialize(features)
     med = quantile_scalars(features, "last_year_fob", {"__median": 0.5})
     f = attach_scalars(features, med)
     grow = F.col("cagr") >= 0
