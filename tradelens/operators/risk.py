@@ -2,12 +2,14 @@
 
 IDs: A-18..A-23, J-6, J-7, L-3, A-24, K-5.
 
-Plan: ONE scan of the fact, two shuffles.
-  1. (key, month) aggregate: monthly value, exact mean price, row and outlier
-     counts, early/late-year sums and the month's product set (bounded by
-     the product catalog).  Partial aggregation makes hot keys cheap.
-  2. key aggregate over the monthly panel: CVs, active months, distinct
-     products, outlier rate, trend ratio -- all five signals in one pass.
+Plan: ONE scan of the fact, then aggregates of shrinking grain.
+  1. (key, month, product) hash aggregate with fixed-width buffers only
+     (money and prices as exact LONG units): value, price sums, row and
+     outlier counts, early/late-year sums.  Partial aggregation makes hot
+     keys cheap.
+  2. (key, month) from (1): monthly value and exact mean price.
+  3. key from (2): CVs, active months, outlier rate, trend ratio; distinct
+     products come from (1)'s (key, product) pairs -- no collect_set.
 Global scaling (min/max) and the p60/p85 band thresholds are 1-row
 aggregates attached by broadcast (never an unpartitioned window).
 """
@@ -40,29 +42,46 @@ def risk_signals(df: DataFrame, key: str, date_col: str, value_col: str, price_c
     """
     year = F.year(date_col)
     early, late = list(params.early_years), list(params.late_years)
-    price = F.col(price_col).cast("decimal(18,4)")
-    monthly = (df.groupBy(F.col(key).alias("key"), F.trunc(date_col, "month").alias("ym"))
-                 .agg(money_sum(df, value_col).alias("m_value"),
-                      (F.sum(price).cast("double") / F.count(price)).alias("m_price"),
-                      F.count("*").alias("n"),
-                      F.count_if(F.col(outlier_col)).alias("n_out"),
-                      F.sum(F.when(year.isin(early), F.col(value_col))).alias("early_part"),
-                      F.sum(F.when(year.isin(late), F.col(value_col))).alias("late_part"),
-                      F.count_if(year.isin(early + late)).alias("n_trend_rows"),
-                      F.collect_set(product_col).alias("products")))
+    units = f"{value_col}_units"
+    money = F.col(units) if units in df.columns else F.col(value_col)
+    scale = 10_000.0 if units in df.columns else 1.0
+    # price carries 4 dp: an exact LONG count of 1e-4 units sums without
+    # object-backed decimals
+    price_units = F.round(F.col(price_col) * 10_000).cast("long")
+    # stage 1: (key, month, product) -- fixed-width buffers only, so this is
+    # a hash aggregate with map-side combine (collect_set here would force
+    # the sort-based object aggregate for every (key, month) group)
+    kmp = (df.groupBy(F.col(key).alias("key"), F.trunc(date_col, "month").alias("ym"),
+                      F.col(product_col).alias("product"))
+             .agg(F.sum(money).alias("v"), F.sum(price_units).alias("pu"),
+                  F.count(price_units).alias("np"), F.count("*").alias("n"),
+                  F.count_if(F.col(outlier_col)).alias("n_out"),
+                  F.sum(F.when(year.isin(early), money)).alias("early_part"),
+                  F.sum(F.when(year.isin(late), money)).alias("late_part"),
+                  F.count_if(year.isin(early + late)).alias("n_trend_rows")))
+    monthly = (kmp.groupBy("key", "ym")
+                  .agg((F.sum("v").cast("double") / scale).alias("m_value"),
+                       (F.sum("pu").cast("double") / 10_000.0 / F.sum("np")).alias("m_price"),
+                       F.sum("n").alias("n"), F.sum("n_out").alias("n_out"),
+                       F.sum("early_part").alias("early_part"),
+                       F.sum("late_part").alias("late_part"),
+                       F.sum("n_trend_rows").alias("n_trend_rows"),
+                       F.sum("v").alias("v_exact")))
+    n_products = (kmp.groupBy("key", "product").agg(F.count("*").alias("__c"))
+                     .groupBy("key").agg(F.count("*").alias("n_products")))
     per_key = (monthly.groupBy("key")
                .agg(F.count("*").alias("active_months"),
                     F.stddev_samp("m_price").alias("__sd_p"), F.avg("m_price").alias("__mu_p"),
-                    F.stddev_samp(F.col("m_value").cast("double")).alias("__sd_v"),
-                    (F.sum("m_value").cast("double") / F.count("m_value")).alias("__mu_v"),
-                    F.sum("early_part").alias("__early"), F.sum("late_part").alias("__late"),
+                    F.stddev_samp("m_value").alias("__sd_v"),
+                    (F.sum("v_exact").cast("double") / scale / F.count("v_exact")).alias("__mu_v"),
+                    (F.sum("early_part").cast("double") / scale).alias("__early"),
+                    (F.sum("late_part").cast("double") / scale).alias("__late"),
                     F.sum("n_trend_rows").alias("__n_trend"),
-                    F.size(F.array_distinct(F.flatten(F.collect_list("products"))))
-                     .alias("n_products"),
                     (F.sum("n_out") / F.sum("n")).alias("outlier_rate"),
-                    F.sum("m_value").cast("double").alias("total_value")))
-    early_v = F.when(F.col("__early") != 0, F.col("__early").cast("double"))
-    ratio = F.coalesce(F.try_divide(F.col("__late").cast("double"), early_v), F.lit(0.0))
+                    (F.sum("v_exact").cast("double") / scale).alias("total_value"))
+               .join(n_products, "key"))
+    early_v = F.when(F.col("__early") != 0, F.col("__early"))
+    ratio = F.coalesce(F.try_divide(F.col("__late"), early_v), F.lit(0.0))
     return (per_key.filter(F.col("active_months") >= params.min_active_months)
             .select(F.col("key"), "active_months", "total_value",
                     F.when(F.col("__n_trend") > 0, 1.0 / (ratio + params.epsilon))
@@ -106,8 +125,11 @@ def exposure(bands: DataFrame, fx: float, top_n: int = 15) -> DataFrame:
     reports) and all High keys (trap T-18), one row."""
     high = bands.filter(F.col("risk_band") == "High")
     top = high.orderBy(F.col("total_value").desc(), F.col("key")).limit(top_n)
-    cr = lambda c: fround(F.col(c) * fx / 1e7, 1)
-    t = top.agg(F.sum(cr("total_value")).alias("top_n_inr_cr"), F.count("*").alias("n_top"))
-    a = high.agg(F.sum(cr("total_value")).alias("all_high_inr_cr"),
+    # each amount is rounded to 1 dp, then summed exactly (DECIMAL) so the
+    # total does not depend on summation order
+    cr = lambda c: fround(F.col(c) * fx / 1e7, 1).cast("decimal(20,1)")
+    t = top.agg(F.sum(cr("total_value")).cast("double").alias("top_n_inr_cr"),
+                F.count("*").alias("n_top"))
+    a = high.agg(F.sum(cr("total_value")).cast("double").alias("all_high_inr_cr"),
                  F.count("*").alias("n_high"))
     return a.crossJoin(t)

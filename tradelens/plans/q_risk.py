@@ -20,7 +20,8 @@ FX = 83.0
 
 
 def _base(spark, sf_dir):
-    t = trade(spark, sf_dir).select("buyer", "shipment_date", "value", "qty", "product")
+    t = trade(spark, sf_dir).select("buyer", "shipment_date", "value", "value_units", "qty",
+                                    "product")
     t = C.with_unit_price(t, "value", "qty", out="price")
     return C.flag_outliers(t, "product", "price")
 
@@ -118,8 +119,8 @@ def risk_bands(spark, sf_dir):
 
 @register("risk_exposure", with_trade(f"""
 SELECT (SELECT count(*) FROM bd WHERE risk_band = 'High') AS n_high,
-       (SELECT sum(round(total_value * {FX} / 1e7, 1)) FROM bd WHERE risk_band = 'High') AS all_high_inr_cr,
-       count(*) AS n_top, sum(round(total_value * {FX} / 1e7, 1)) AS top_n_inr_cr
+       (SELECT CAST(sum(CAST(round(total_value * {FX} / 1e7, 1) AS DECIMAL(20,1))) AS DOUBLE) FROM bd WHERE risk_band = 'High') AS all_high_inr_cr,
+       count(*) AS n_top, CAST(sum(CAST(round(total_value * {FX} / 1e7, 1) AS DECIMAL(20,1))) AS DOUBLE) AS top_n_inr_cr
 FROM (SELECT * FROM bd WHERE risk_band = 'High' ORDER BY total_value DESC, key LIMIT 15)""",
     *SIG_SQL, *SCORE_SQL), ids=("A-23", "L-3"))
 def risk_exposure(spark, sf_dir):
