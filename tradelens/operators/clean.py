@@ -166,8 +166,19 @@ def dedupe_keep_first(df: DataFrame, keys, order_cols) -> DataFrame:
     return out.select(*df.columns)
 
 
+def dedupe_counts(valid: DataFrame, keys) -> DataFrame:
+    """A-25 for W-1: (kept, duplicate) row counts as one row -- per-key counts
+    with partial aggregation, no row identity needed (exact duplicates
+    included)."""
+    per_key = valid.groupBy(*list(keys)).agg(F.count("*").alias("__n"))
+    return per_key.agg(F.count("*").alias("kept"),
+                       (F.sum("__n") - F.count("*")).alias("duplicate"))
+
+
 def duplicate_flag(df: DataFrame, keys, order_cols, out="is_duplicate") -> DataFrame:
-    """W-1 as a flag (for counters): every row but the first of its key."""
+    """W-1 as a row flag: every row but the first of its key.  ``order_cols``
+    must be tie-free within a key (rows tying with the first are not
+    flagged); use ``dedupe_counts`` for counters."""
     keys, order_cols = list(keys), list(order_cols)
     firsts = (df.groupBy(*keys)
                 .agg(F.min(F.struct(*order_cols)).alias("__first")))

@@ -46,9 +46,11 @@ raw AS (SELECT shipment_date, l_orderkey, l_linenumber, l_partkey, l_suppkey, pr
 @register("clean_dedupe", with_trade("""
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, market, CAST(value AS DOUBLE) AS value
 FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-                                   ORDER BY l_partkey, l_suppkey) AS rn FROM trade)
+                                   ORDER BY l_partkey, l_suppkey, market, value) AS rn FROM trade)
 WHERE rn = 1"""), ids=("W-1",))
 def clean_dedupe(spark, sf_dir):
+    """Keep-first by (l_partkey, l_suppkey); remaining ties are broken by the
+    payload columns in order (the grouped struct minimum is a total order)."""
     t = trade(spark, sf_dir).select(*DEDUPE_KEYS, *DEDUPE_ORDER, "market",
                                     F.col("value").cast("double").alias("value"))
     return C.dedupe_keep_first(t, DEDUPE_KEYS, DEDUPE_ORDER)
@@ -78,14 +80,15 @@ SELECT reason, count(*) AS n_rows FROM (
         FROM raw))
 GROUP BY reason""", RAW_TRADE_SQL), ids=("A-25", "P-5", "W-1"))
 def clean_reject_counts(spark, sf_dir):
+    """One aggregate of reject reasons + per-key counts for duplicates."""
     raw = raw_trade(spark, sf_dir).withColumn("reject_reason", C.validity_reason())
-    valid = raw.filter(F.col("reject_reason").isNull())
-    flagged = C.duplicate_flag(valid, DEDUPE_KEYS, DEDUPE_ORDER)
-    tagged = (raw.filter(F.col("reject_reason").isNotNull())
-                 .unionByName(flagged.withColumn(
-                     "reject_reason", F.when(F.col("is_duplicate"), F.lit("duplicate")))
-                     .drop("is_duplicate")))
-    return C.reject_counts(tagged)
+    invalid = C.reject_counts(raw.filter(F.col("reject_reason").isNotNull()))
+    dd = C.dedupe_counts(raw.filter(F.col("reject_reason").isNull()), DEDUPE_KEYS)
+    valid = dd.select(F.explode(F.array(
+        F.struct(F.lit("kept").alias("reason"), F.col("kept").alias("n_rows")),
+        F.struct(F.lit("duplicate").alias("reason"), F.col("duplicate").alias("n_rows"))))
+        .alias("r")).select("r.*")
+    return invalid.unionByName(valid).filter(F.col("n_rows") > 0)
 
 
 @register("drop_aggregate_partners", with_trade("""
