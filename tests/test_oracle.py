@@ -12,6 +12,9 @@ from tradelens.sources.tables import TABLES
 
 SF = os.environ.get("TRADELENS_TEST_SF", "/root/testdata/sf0.001")
 QUERIES = {n: q for n, q in load_all().items() if q.sql}
+# DuckDB type -> Spark simpleString, for the schema part of the comparison
+TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+         "DATE": "date", "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz", "FLOAT": "float"}
 
 
 def _norm(v):
@@ -44,6 +47,10 @@ def test_query_matches_oracle(spark, con, name):
     q = QUERIES[name]
     sdf = q.fn(spark, SF)
     srows = [tuple(r) for r in sdf.collect()]
+    rel = con.sql(q.sql)
+    dtypes = {c: TYPES.get(str(t), str(t).lower()) for c, t in zip(rel.columns, rel.types)}
+    stypes = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    assert stypes == dtypes
     res = con.execute(q.sql)
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()

@@ -45,7 +45,7 @@ def fold_cuts(indexed: DataFrame, keys: list[str], params: ForecastParams) -> Da
     """W-10: cut = initial, initial+step, ..., n-horizon per key."""
     n = indexed.groupBy(*keys).agg(F.max("n").alias("n"))
     return n.select(*keys, F.explode(F.sequence(F.lit(params.initial),
-                                                F.col("n") - params.horizon,
+                                                (F.col("n") - params.horizon).cast("int"),
                                                 F.lit(params.step))).alias("cut"))
 
 

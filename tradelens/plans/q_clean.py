@@ -137,7 +137,7 @@ def dim_time(spark, sf_dir):
 
 @register("outlier_flag", with_trade("""
 SELECT g.product, g.group_rows, round(g.threshold, 6) AS threshold,
-       count_if(coalesce(p.price > g.threshold, false)) AS n_outliers
+       CAST(count_if(coalesce(p.price > g.threshold, false)) AS BIGINT) AS n_outliers
 FROM p JOIN g USING (product) GROUP BY g.product, g.group_rows, g.threshold""",
     "p AS (SELECT product, round(CAST(value AS DOUBLE) / qty, 4) AS price FROM trade)",
     """g AS (SELECT product, count(*) AS group_rows,

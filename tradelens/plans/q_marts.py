@@ -118,7 +118,7 @@ SELECT count(*) AS n_rows, count(DISTINCT market) AS n_distinct_market,
        count(DISTINCT product) AS n_distinct_product, count(DISTINCT buyer) AS n_distinct_buyer,
        min(shipment_date) AS min_date, max(shipment_date) AS max_date,
        CAST(sum(value) AS DOUBLE) AS total_value, sum(qty) AS total_qty,
-       count_if(l_returnflag = 'R') AS n_flagged,
+       CAST(count_if(l_returnflag = 'R') AS BIGINT) AS n_flagged,
        round(avg(CAST(l_returnflag = 'R' AS INTEGER)), 6) AS flag_rate
 FROM trade"""), ids=("A-3",))
 def dataset_profile(spark, sf_dir):

@@ -132,11 +132,11 @@ SELECT (SELECT count(*) FROM (SELECT l_orderkey, l_linenumber FROM li
                               GROUP BY 1, 2 HAVING count(*) > 1)) AS n_duplicate_keys,
        (SELECT count(*) FROM li WHERE l_partkey NOT IN (SELECT p_partkey FROM part)) AS n_orphan_part,
        (SELECT count(*) FROM li WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier)) AS n_orphan_supplier,
-       (SELECT count_if(NOT coalesce(round(l_extendedprice / l_quantity, 4) > 0, false)) FROM li)
+       (SELECT CAST(count_if(NOT coalesce(round(l_extendedprice / l_quantity, 4) > 0, false)) AS BIGINT) FROM li)
          AS chk_unit_price_positive,
-       (SELECT count_if(NOT coalesce(l_extendedprice >= 0 AND l_extendedprice <= 500000000, false)) FROM li)
+       (SELECT CAST(count_if(NOT coalesce(l_extendedprice >= 0 AND l_extendedprice <= 500000000, false)) AS BIGINT) FROM li)
          AS chk_value_range,
-       (SELECT count_if(NOT coalesce(l_quantity > 0, false)) FROM li) AS chk_qty_positive""",
+       (SELECT CAST(count_if(NOT coalesce(l_quantity > 0, false)) AS BIGINT) FROM li) AS chk_qty_positive""",
           ids=("Q-10",))
 def constraint_checks(spark, sf_dir):
     from tradelens.functions.numeric import fround

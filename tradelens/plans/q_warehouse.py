@@ -41,8 +41,8 @@ def dim_market(spark, sf_dir):
 
 
 @register("fk_resolve", with_trade(f"""
-SELECT count(*) AS rows, count_if(p.product_id IS NULL) AS null_product_id,
-       count_if(dm.country_id IS NULL) AS null_country_id,
+SELECT count(*) AS rows, CAST(count_if(p.product_id IS NULL) AS BIGINT) AS null_product_id,
+       CAST(count_if(dm.country_id IS NULL) AS BIGINT) AS null_country_id,
        count(DISTINCT year(shipment_date) * 10000 + month(shipment_date) * 100 + day(shipment_date)) AS n_time_id
 FROM trade t LEFT JOIN (SELECT p_type AS hs_code, row_number() OVER (ORDER BY p_type) AS product_id
                         FROM (SELECT DISTINCT p_type FROM part)) p ON t.product = p.hs_code
