@@ -120,3 +120,18 @@ def test_full_clean_chain_counters_reconcile(spark):
                               + rep["rows_dropped_null"] + rep["rows_deduped"])
     assert clean.columns == [c for c in C.CANONICAL_COLUMNS if c in clean.columns]
     assert {r["source"] for r in clean.collect()} == {"COMTRADE"}
+
+
+def test_distributed_quantiles_match_percentile(spark):
+    import random
+    from tradelens.functions.quantiles import exact_quantiles
+    rnd = random.Random(7)
+    rows = [("hot", float(rnd.randint(0, 500))) for _ in range(3000)]
+    rows += [("cold", float(rnd.randint(0, 50))) for _ in range(17)] + [("one", 4.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    qs = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    got = {r["g"]: (r["p50"], r["p95"], r["p99"]) for r in
+           exact_quantiles(df, ["g"], "v", qs, num_partitions=8).collect()}
+    want = {r["g"]: (r["p50"], r["p95"], r["p99"]) for r in
+            df.groupBy("g").agg(*[F.percentile("v", q).alias(n) for n, q in qs.items()]).collect()}
+    assert got == want
