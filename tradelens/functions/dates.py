@@ -59,6 +59,15 @@ def calendar_columns(d, peak_months=PEAK_MONTHS) -> dict[str, Column]:
     }
 
 
+def years_between(d, first_year: int, last_year: int) -> Column:
+    """first_year <= year(d) <= last_year as a plain range on ``d`` -- unlike
+    ``year(d) BETWEEN ...`` this reaches the Parquet scan as a pushed filter
+    and prunes row groups by their min/max statistics."""
+    import datetime as _dt
+    d = _c(d)
+    return (d >= F.lit(_dt.date(first_year, 1, 1))) & (d < F.lit(_dt.date(last_year + 1, 1, 1)))
+
+
 def month_sequence(start, end) -> Column:
     """Array of first-of-month dates from ``start`` to ``end`` inclusive."""
     return F.sequence(_c(start), _c(end), F.expr("INTERVAL 1 MONTH"))

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradelens.functions.dates import years_between
 from tradelens.functions.numeric import money_sum
 from tradelens.functions.stats import attach_scalars, materialize, quantile_scalars, zscore
 from tradelens.params import SegmentParams
@@ -33,8 +34,7 @@ def segment_features(df: DataFrame, key: str, date_col: str, value_col: str,
     CAGR = (end/start)^(1/(end_year-start_year)) - 1, NULL when the start total
     is 0; ``fill_cagr`` turns NULL into 0 as the study does (trap T-6).
     """
-    year = F.year(date_col)
-    hist = df.filter(year.between(params.start_year, params.end_year))
+    hist = df.filter(years_between(date_col, params.start_year, params.end_year))
     monthly = (hist.groupBy(F.col(key).alias("key"), F.trunc(date_col, "month").alias("ym"))
                    .agg(money_sum(hist, value_col).alias("m_value"), F.count("*").alias("n")))
     y = F.year("ym")

@@ -14,9 +14,8 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tradelens.functions.dates import calendar_columns, date_key
 from tradelens.session import list_files, path_exists
@@ -59,24 +58,36 @@ def first_name_per_key(df: DataFrame, key: str, name: str, order_col: str,
 
 def assign_surrogate_keys(new_keys: DataFrame, key_cols, id_col: str,
                           offset: int | DataFrame = 0) -> DataFrame:
-    """Dense ids offset+1..offset+n in key order, computed distributed.
-
-    Range-sorts the keys, then ``zipWithIndex`` (one small job counting rows
-    per partition, then per-partition offsets) -- no single-task window.
+    """Dense ids offset+1..offset+n in key order, computed distributed and
+    JVM-side.
+
+    The keys are range-partitioned (sampled bounds, so partitions hold
+    ordered, disjoint key ranges); a tiny per-partition count table gives
+    each partition its starting offset; a row number *within* a partition
+    (a window bounded by the partition, not by the key set) completes the
+    id.  No single-task window, no Python round trip.
     ``offset`` may be a 1-row frame with column ``max_id``.
     """
     key_cols = list(key_cols)
     spark = new_keys.sparkSession
-    ordered = new_keys.select(*key_cols).orderBy(*key_cols)
-    schema = T.StructType(ordered.schema.fields + [T.StructField("__idx", T.LongType(), False)])
-    indexed = spark.createDataFrame(
-        ordered.rdd.zipWithIndex().map(lambda ri: (*ri[0], ri[1])), schema)
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (new_keys.select(*key_cols).distinct()
+                      .repartitionByRange(n_parts, *key_cols)
+                      .withColumn("__pid", F.spark_partition_id()))
+    counts = ranged.groupBy("__pid").agg(F.count("*").alias("__cnt"))
+    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("__pid", F.coalesce(F.sum("__cnt").over(before), F.lit(0))
+                           .alias("__start"))  # one row per partition: bounded
+    within = Window.partitionBy("__pid").orderBy(*key_cols)
+    indexed = (ranged.withColumn("__idx", F.row_number().over(within) - 1)
+                     .join(F.broadcast(starts), "__pid"))
     if isinstance(offset, DataFrame):
         indexed = indexed.crossJoin(F.broadcast(offset.select(
             F.coalesce(F.col("max_id"), F.lit(0)).cast("long").alias("__off"))))
     else:
         indexed = indexed.withColumn("__off", F.lit(int(offset)).cast("long"))
-    return indexed.select(*key_cols, (F.col("__off") + F.col("__idx") + 1).alias(id_col))
+    return indexed.select(*key_cols, (F.col("__off") + F.col("__start") + F.col("__idx") + 1)
+                          .cast("long").alias(id_col))
 
 
 def extend_dimension(existing: DataFrame, candidates: DataFrame, key_cols, id_col: str

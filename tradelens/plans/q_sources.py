@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tradelens.functions.dates import years_between
 from tradelens.plans.registry import register
 from tradelens.sources.files import union_by_name as _union
 from tradelens.sources.tables import read_table, trade, with_trade
@@ -54,7 +55,7 @@ def star_read(spark, sf_dir):
     """Fact x dimensions with year/month projected, range + set + equality
     filters (pushed to the scans where they reference scan columns)."""
     t = trade(spark, sf_dir)
-    f = t.filter(F.year("shipment_date").between(1996, 1999)
+    f = t.filter(years_between("shipment_date", 1996, 1999)
                  & F.col("product").isin("ECONOMY", "SMALL")
                  & (F.col("reporter") == "NATION_3"))
     return (f.groupBy(F.year("shipment_date").alias("year"), F.month("shipment_date").alias("month"),

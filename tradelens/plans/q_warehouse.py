@@ -11,6 +11,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from tradelens.functions.dates import years_between
 from tradelens.operators import warehouse as W
 from tradelens.plans.q_marts import _cat_sql, products
 from tradelens.plans.registry import register
@@ -67,7 +68,7 @@ def fk_resolve(spark, sf_dir):
 
 
 def _year_totals(spark, sf_dir, year):
-    t = trade(spark, sf_dir).filter(F.year("shipment_date") == year)
+    t = trade(spark, sf_dir).filter(years_between("shipment_date", year, year))
     return t.groupBy("market", "brand").agg(F.sum("value").cast("double").alias("total"),
                                             F.count("*").alias("n_rows"))
 
