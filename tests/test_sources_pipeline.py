@@ -130,3 +130,16 @@ def test_pipeline_dry_run_writes_nothing(spark, landing, tmp_dir):
     out = run_pipeline(spark, cfg).collect()
     assert out[0]["run_status"] == "DRY_RUN"
     assert not os.path.exists(wh)
+
+
+def test_write_clean_partitioned_with_csv_twin(spark, tmp_dir):
+    import datetime as dt
+    df = spark.createDataFrame([(dt.date(2020, 1, 1), 2020, "440929", 1.0),
+                                (dt.date(2021, 5, 1), 2021, "130232", 2.0)],
+                               "shipment_date date, year int, hs_code string, fob_usd double")
+    FS.write_clean(df, tmp_dir, csv_twin=True)
+    back = spark.read.parquet(os.path.join(tmp_dir, "clean.parquet"))
+    assert sorted(r["year"] for r in back.collect()) == [2020, 2021]
+    assert back.filter("year = 2021").inputFiles()  # partition pruning by year
+    csv = spark.read.option("header", True).csv(os.path.join(tmp_dir, "clean.csv"))
+    assert csv.count() == 2
