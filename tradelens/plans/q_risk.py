@@ -154,3 +154,22 @@ def relabel_by_key(spark, sf_dir):
     b = bands(spark, sf_dir)
     return (b.join(names, "key", "left")
              .select("key", "name", "risk_score", "risk_band", "total_value", "active_months"))
+
+
+@register("risk_signal_matrix", with_trade(f"""
+SELECT key, active_months, round(total_value, 4) AS total_value,
+       {", ".join(f"round({c}, 6) AS {c}" for c in K.SIGNALS)}
+FROM sig
+WHERE NOT ({" AND ".join(f"{c} IS NULL" for c in K.SIGNALS)})""", *SIG_SQL), ids=("J-6", "J-5"))
+def risk_signal_matrix(spark, sf_dir):
+    """J-6: the five signals aligned per qualified key in ONE conditional
+    aggregate (no per-signal frames to join), rows with every signal
+    missing dropped (dropna(how='all'))."""
+    s = signals(spark, sf_dir)
+    all_null = None
+    for c in K.SIGNALS:
+        cond = F.col(c).isNull()
+        all_null = cond if all_null is None else (all_null & cond)
+    return (s.filter(~all_null)
+             .select("key", "active_months", fround("total_value", 4).alias("total_value"),
+                     *[fround(c, 6).alias(c) for c in K.SIGNALS]))
