@@ -44,11 +44,6 @@ def exact_mean(c: Column | str) -> Column:
     return F.sum(x).cast("double") / F.count(x)
 
 
-def _premium(total: Column, month: Column, peak_months) -> Column:
-    peak = F.avg(F.when(F.month(month).isin(list(peak_months)), total))
-    return peak / F.avg(total) - 1
-
-
 def peak_premium(df: DataFrame, keys: list[str], date_col: str = "shipment_date",
                  value_col: str = "value", peak_months=PEAK_MONTHS) -> DataFrame:
     """A-9: mean(peak-month totals) / mean(all monthly totals) - 1 per key.

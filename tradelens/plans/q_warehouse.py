@@ -16,7 +16,7 @@ from tradelens.operators import warehouse as W
 from tradelens.plans.q_marts import _cat_sql, products
 from tradelens.plans.registry import register
 from tradelens.session import scratch_path
-from tradelens.sources.tables import TABLES, read_table, trade, with_trade
+from tradelens.sources.tables import TABLES, trade, with_trade
 
 
 

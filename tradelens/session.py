@@ -85,10 +85,6 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_dir(spark), "tradelens", *parts])
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop FileSystem so it works on any store."""
     jvm = spark.sparkContext._jvm
@@ -107,10 +103,3 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(hpath):
         return []
     return sorted(st.getPath().getName() for st in fs.listStatus(hpath))
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
