@@ -12,7 +12,6 @@ own when that setting is absent, which is the local/test case.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
