@@ -12,7 +12,10 @@ own when that setting is absent, which is the local/test case.
 
 from __future__ import annotations
 
+import os
 import tempfile
+import threading
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -44,6 +47,7 @@ def get_session(master: str | None = None, app_name: str = "tradelens",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     apply_semantics(spark)
+    ship_package(spark)
     return spark
 
 
@@ -102,3 +106,35 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(hpath):
         return []
     return sorted(st.getPath().getName() for st in fs.listStatus(hpath))
+
+
+_SHIPPED: set[str] = set()
+_SHIP_LOCK = threading.Lock()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tradelens`` importable in the Python workers of any executor.
+
+    Grouped pandas functions are pickled by reference to their module, so
+    workers must import the package.  The package is zipped once per driver
+    process and added with ``addPyFile`` (what ``--py-files`` does on a
+    cluster); a no-op when already shipped to this application.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    with _SHIP_LOCK:
+        if app in _SHIPPED:
+            return
+        pkg_dir = os.path.dirname(os.path.abspath(__file__))
+        root = os.path.dirname(pkg_dir)
+        out = os.path.join(tempfile.mkdtemp(prefix="tradelens-pyfiles-"), "tradelens.zip")
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+            for dirpath, _, files in os.walk(pkg_dir):
+                if "__pycache__" in dirpath:
+                    continue
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(dirpath, f)
+                        zf.write(full, os.path.relpath(full, root))
+        sc.addPyFile(out)
+        _SHIPPED.add(app)
