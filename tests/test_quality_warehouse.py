@@ -99,3 +99,20 @@ def test_table_status_missing(spark, tmp_dir):
     st = W.table_status(spark, {"t": f"{tmp_dir}/t/v=1", "gone": f"{tmp_dir}/nope"})
     got = {r["table_name"]: (r["status"], r["row_count"]) for r in st.collect()}
     assert got == {"t": ("present", 1), "gone": ("missing", None)}
+
+
+def test_two_names_for_one_iso_pick_earliest(spark):
+    rows = [("TUR", "Türkiye", dt.date(2021, 1, 1)), ("TUR", "Turkey", dt.date(2019, 1, 1)),
+            ("TUR", "Turkiye", dt.date(2019, 1, 1)), ("IND", "India", dt.date(2020, 1, 1))]
+    df = spark.createDataFrame(rows, "iso string, name string, d date")
+    got = {r["iso"]: r["country_name"] for r in
+           W.first_name_per_key(df, "iso", "name", "d").collect()}
+    assert got == {"TUR": "Turkey", "IND": "India"}   # earliest date, then name
+
+
+def test_exact_duplicate_rows_counted_once(spark):
+    from tradelens.operators import clean as C
+    rows = [("a", 1.0), ("a", 1.0), ("a", 1.0), ("b", 2.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    r = C.dedupe_counts(df, ["k", "v"]).first()
+    assert (r["kept"], r["duplicate"]) == (2, 2)
