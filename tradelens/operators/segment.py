@@ -102,30 +102,39 @@ def _vectors(scaled: DataFrame, cols=FEATURES) -> DataFrame:
     return VectorAssembler(inputCols=list(cols), outputCol="features").transform(scaled)
 
 
-def kmeans_best(scaled: DataFrame, k: int, seed: int, restarts: int, cols=FEATURES):
-    """M-2: best of ``restarts`` distributed k-means fits (lowest training cost).
+def kmeans_best(scaled: DataFrame, k: int, seed: int, restarts: int, cols=FEATURES,
+                parallelism: int = 4):
+    """M-2: best of ``restarts`` distributed k-means fits (lowest training cost,
+    ties -> lowest seed).
 
     The feature vectors are sorted by key and written once with a reliable
     ``checkpoint()`` into the cluster's shared checkpoint folder: every
     restart then reads the same rows in the same partitions (repeatable), a
     lost executor recomputes from the checkpoint instead of re-running the
-    whole feature pipeline, and restarts do not re-scan the fact.
+    whole feature pipeline, and restarts do not re-scan the fact.  Restarts
+    are independent distributed fits submitted from ``parallelism`` driver
+    threads (as Spark ML's tuning ``parallelism`` does), so small fits
+    overlap instead of queueing.
     Returns (model, assignments, training cost).
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     from pyspark.ml.clustering import KMeans
 
     from tradelens.session import shared_dir
     shared_dir(scaled.sparkSession)
     vec = _vectors(scaled.orderBy("key"), cols).select("key", "features").checkpoint(eager=True)
-    best = None
-    for r in range(restarts):
+
+    def fit(r: int):
         model = KMeans(k=k, seed=seed + r, featuresCol="features",
                        predictionCol="cluster_id").fit(vec)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[0]:
-            best = (cost, model)
-    assigned = best[1].transform(vec).select("key", "cluster_id")
-    return best[1], assigned, best[0]
+        return model.summary.trainingCost, seed + r, model
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        results = list(pool.map(fit, range(restarts)))
+    cost, _, best = min(results, key=lambda t: (t[0], t[1]))
+    assigned = best.transform(vec).select("key", "cluster_id")
+    return best, assigned, cost
 
 
 def total_sum_of_squares(scaled: DataFrame, cols=FEATURES) -> DataFrame:
@@ -136,17 +145,37 @@ def total_sum_of_squares(scaled: DataFrame, cols=FEATURES) -> DataFrame:
     return s.agg(F.sum(sum((F.col(c) - F.col(f"__m_{c}")) ** 2 for c in cols)).alias("inertia"))
 
 
-def elbow(scaled: DataFrame, max_k: int, seed: int, restarts: int, cols=FEATURES) -> DataFrame:
-    """M-3: inertia for k = 1..max_k (best of ``restarts`` for k >= 2)."""
+def elbow(scaled: DataFrame, max_k: int, seed: int, restarts: int, cols=FEATURES,
+          parallelism: int = 4) -> DataFrame:
+    """M-3: inertia for k = 1..max_k (best of ``restarts`` for k >= 2).
+
+    k = 1 is the total sum of squares (one aggregate; Spark ML rejects k=1).
+    All (k, restart) fits read one checkpointed copy of the vectors and are
+    submitted together from ``parallelism`` driver threads."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark.ml.clustering import KMeans
+
+    from tradelens.session import shared_dir
     spark = scaled.sparkSession
-    tss = total_sum_of_squares(scaled, cols).first()["inertia"]
-    rows = [(1, float(tss))]
-    for k in range(2, max_k + 1):
-        _, _, cost = kmeans_best(scaled, k, seed, restarts, cols)
-        rows.append((k, float(cost)))
-    out = spark.createDataFrame(rows, "k int, inertia double")
+    shared_dir(spark)
+    tss = float(total_sum_of_squares(scaled, cols).first()["inertia"])
+    vec = _vectors(scaled.orderBy("key"), cols).select("key", "features").checkpoint(eager=True)
+
+    def fit(job):
+        k, r = job
+        m = KMeans(k=k, seed=seed + r, featuresCol="features").fit(vec)
+        return k, float(m.summary.trainingCost)
+
+    jobs = [(k, r) for k in range(2, max_k + 1) for r in range(restarts)]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        costs = list(pool.map(fit, jobs))
+    best = {1: tss}
+    for k, c in costs:
+        best[k] = min(best.get(k, c), c)
+    out = spark.createDataFrame(sorted(best.items()), "k int, inertia double")
     return out.withColumn("improvement_vs_k1_pct",
-                          (F.lit(rows[0][1]) - F.col("inertia")) / F.lit(rows[0][1]) * 100)
+                          (F.lit(tss) - F.col("inertia")) / F.lit(tss) * 100)
 
 
 def centroids_frame(model, features: DataFrame, scaled_input: DataFrame, assigned: DataFrame,
