@@ -5,7 +5,9 @@ import os
 
 from tradelens.operators import quality as Q
 from tradelens.operators import warehouse as W
-from tradelens.streaming.landing import start_refresh
+import pytest
+
+from tradelens.streaming.landing import read_live, start_refresh
 
 
 def _doc(values, code="440929", year=2020):
@@ -14,7 +16,8 @@ def _doc(values, code="440929", year=2020):
                       "primaryValue": v, "qty": 1.0} for m, v in values]}
 
 
-def test_refresh_replaces_newest_snapshot_only(spark, tmp_dir):
+@pytest.mark.parametrize("publish", ["partitions", "versioned"])
+def test_refresh_replaces_newest_snapshot_only(spark, tmp_dir, publish):
     raw, wh = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "wh")
     ckpt = os.path.join(tmp_dir, "stream_ckpt")
     os.makedirs(raw)
@@ -24,13 +27,18 @@ def test_refresh_replaces_newest_snapshot_only(spark, tmp_dir):
         json.dump(_doc([(1, 10.0), (2, 20.0)]), f)
     with open(f"{raw}/comtrade_130232_2020_20240101.json", "w") as f:
         json.dump(_doc([(1, 5.0)], code="130232"), f)
-    start_refresh(spark, raw, wh, iso, suite, checkpoint_location=ckpt).awaitTermination(120)
-    fact = W.read_current(spark, wh, "fact_shipment")
-    assert fact.count() == 3
+    def fact():
+        if publish == "partitions":
+            return read_live(spark, wh)
+        return W.read_current(spark, wh, "fact_shipment")
+
+    start_refresh(spark, raw, wh, iso, suite, checkpoint_location=ckpt,
+                  publish=publish).awaitTermination(120)
+    assert fact().count() == 3
     # a newer snapshot of one (code, year) replaces exactly that slice
     with open(f"{raw}/comtrade_440929_2020_20240301.json", "w") as f:
         json.dump(_doc([(1, 11.0), (2, 21.0), (3, 31.0)]), f)
-    start_refresh(spark, raw, wh, iso, suite, checkpoint_location=ckpt).awaitTermination(120)
-    fact = W.read_current(spark, wh, "fact_shipment")
-    got = sorted((r["hs_code"], r["fob_usd"]) for r in fact.collect())
+    start_refresh(spark, raw, wh, iso, suite, checkpoint_location=ckpt,
+                  publish=publish).awaitTermination(120)
+    got = sorted((r["hs_code"], r["fob_usd"]) for r in fact().collect())
     assert got == [("130232", 5.0), ("440929", 11.0), ("440929", 21.0), ("440929", 31.0)]

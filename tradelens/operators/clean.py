@@ -35,6 +35,14 @@ CANONICAL_COLUMNS = (
     "is_outlier", "source",
 )
 
+# Types of the canonical clean table (used to read partitioned copies without
+# partition-value type inference, which would turn '044209' into 44209).
+CLEAN_SCHEMA = ("shipment_date date, year int, month int, quarter int, financial_year string, "
+                "is_peak_season boolean, hs_code string, hs_desc string, "
+                "dest_iso_alpha3 string, dest_country_name string, "
+                "reporter_country_name string, fob_usd double, quantity_kg double, "
+                "unit_price_usd double, is_outlier boolean, source string")
+
 RAW_RENAMES = {
     "cmdCode": "hs_code",
     "cmdDesc": "hs_desc",

@@ -12,9 +12,14 @@ Per micro-batch (``foreachBatch``):
      newest stamp in the batch;
   2. flatten, tag, clean (the batch cleaning chain, unchanged);
   3. run the quality suite in one aggregate and stop on failure;
-  4. publish: fact rows of the refreshed (code, year) pairs are replaced
-     ("newest snapshot wins"), all other rows are kept -- a left-anti join on
-     the pair keys -- and the result is written as a new version.
+  4. publish "newest snapshot wins" for the refreshed (code, year) slices:
+     * ``publish='partitions'`` (default): the live fact is partitioned by
+       (hs_code, year) and written with dynamic partition overwrite -- only
+       the partitions present in the batch are replaced, so the cost of a
+       refresh grows with the batch, not with the table;
+     * ``publish='versioned'``: current rows of other slices (left-anti join
+       on the pair keys) + the batch are written as a new immutable version
+       and published by pointer flip (atomic for readers, full rewrite).
 No streaming state is needed: replacement is keyed by (code, year).
 """
 
@@ -39,8 +44,12 @@ def _latest_in_batch(docs: DataFrame) -> DataFrame:
     return named.join(best, ["__code", "__year", "__stamp"], "left_semi")
 
 
+LIVE_TABLE = "fact_shipment_live"
+
+
 def refresh_batch(batch: DataFrame, warehouse_dir: str, iso_table: DataFrame,
-                  suite: list, params: CleanParams = CleanParams()) -> int | None:
+                  suite: list, params: CleanParams = CleanParams(),
+                  publish: str = "partitions") -> int | None:
     """Clean one batch of landed documents and merge it into the fact."""
     spark = batch.sparkSession
     docs = _latest_in_batch(batch)
@@ -51,6 +60,10 @@ def refresh_batch(batch: DataFrame, warehouse_dir: str, iso_table: DataFrame,
     clean = C.clean_from_tagged(C.tag_records(flat, iso_table, ov, params), params)
     if suite:
         Q.gate(Q.run_suite(clean, suite))
+    if publish == "partitions":
+        (clean.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy("hs_code", "year").parquet(f"{warehouse_dir}/{LIVE_TABLE}"))
+        return 0
     refreshed = flat.select(F.col("cmdCode").alias("hs_code"),
                             F.col("refYear").alias("__ref_year")).distinct()
     if W.current_version(spark, warehouse_dir, "fact_shipment") is None:
@@ -69,7 +82,7 @@ def refresh_batch(batch: DataFrame, warehouse_dir: str, iso_table: DataFrame,
 
 def start_refresh(spark: SparkSession, raw_dir: str, warehouse_dir: str, iso_table: DataFrame,
                   suite: list | None = None, params: CleanParams = CleanParams(),
-                  checkpoint_location: str | None = None):
+                  checkpoint_location: str | None = None, publish: str = "partitions"):
     """Start the availableNow refresh; returns the StreamingQuery (call
     ``awaitTermination()`` to wait for the catch-up to finish)."""
     ckpt = checkpoint_location or scratch_path(spark, "streams", "landing_refresh")
@@ -82,12 +95,19 @@ def start_refresh(spark: SparkSession, raw_dir: str, warehouse_dir: str, iso_tab
                            "_corrupt_record"))
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        refresh_batch(batch, warehouse_dir, iso_table, suite or [], params)
+        refresh_batch(batch, warehouse_dir, iso_table, suite or [], params, publish)
 
     return (stream.writeStream.foreachBatch(each)
                   .option("checkpointLocation", ckpt)
                   .trigger(availableNow=True).start())
 
 
+def read_live(spark: SparkSession, warehouse_dir: str) -> DataFrame:
+    """The partition-published live fact (partition pruning on hs_code/year).
+    Read with the canonical schema: product codes stay zero-padded strings."""
+    return spark.read.schema(C.CLEAN_SCHEMA).parquet(f"{warehouse_dir}/{LIVE_TABLE}")
+
+
 def has_published(spark: SparkSession, warehouse_dir: str) -> bool:
-    return path_exists(spark, f"{warehouse_dir}/fact_shipment/_current")
+    return (path_exists(spark, f"{warehouse_dir}/fact_shipment/_current")
+            or path_exists(spark, f"{warehouse_dir}/{LIVE_TABLE}"))
