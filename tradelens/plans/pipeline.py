@@ -34,15 +34,23 @@ class PipelineConfig:
     params: CleanParams = field(default_factory=CleanParams)
     dry_run: bool = False
     skip_load: bool = False
+    # optional already-flattened records (S-1 output) instead of raw_dir,
+    # with their tie-free input-order columns
+    flat: DataFrame | None = None
+    order_cols: tuple = ("__file", "__pos")
 
 
 STAGE_SCHEMA = "stage string, status string, detail string, seconds double"
 
 
-def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
-    """O-1: run clean -> validate (gate) -> load; return the stage report."""
+def run_pipeline(spark: SparkSession, cfg: PipelineConfig,
+                 out_state: dict | None = None) -> DataFrame:
+    """O-1: run clean -> validate (gate) -> load; return the stage report.
+
+    ``out_state`` (optional) receives the run's state: clean counters,
+    loaded row count and the failed step, if any."""
     report: list[tuple] = []
-    state: dict = {}
+    state: dict = out_state if out_state is not None else {}
     run_id = uuid.uuid4().hex
     started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
@@ -64,10 +72,10 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
             return False
 
     def do_clean():
-        flat, rejects = R.load_latest(spark, cfg.raw_dir)
+        flat = cfg.flat if cfg.flat is not None else R.load_latest(spark, cfg.raw_dir)[0]
         ov = C.overrides_frame(spark, cfg.params.overrides)
         tagged = C.tag_records(flat, cfg.iso_table, ov, cfg.params)
-        clean = C.clean_from_tagged(tagged, cfg.params)
+        clean = C.clean_from_tagged(tagged, cfg.params, cfg.order_cols)
         counters = C.clean_report(tagged, clean).first().asDict()
         state.update(clean=clean, counters=counters)
         return counters

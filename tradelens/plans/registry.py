@@ -47,6 +47,7 @@ def load_all() -> dict[str, Query]:
         q_clean,
         q_benchmark,
         q_marts,
+        q_pipeline,
         q_quality,
         q_risk,
         q_seasonality,
