@@ -3,8 +3,9 @@
 IDs: K-1..K-6, J-1..J-3, A-1, A-2, S-13..S-19, Q-9 publish step.
 
 Plain Parquet has no MERGE, so every write produces a new immutable version
-directory ``<root>/<table>/v=<n>/`` and then flips a one-row pointer
-``<root>/<table>/_current``; readers resolve the pointer.  A failed or
+directory ``<root>/<table>/v=<n>/`` and then publishes a pointer record
+``<root>/<table>/_published/n=<n>`` (the data folders of that version);
+readers take the highest complete pointer.  A failed or
 interrupted job never touches the published version (the reference's
 truncate-then-insert can leave an empty fact).  Single writer per table is
 assumed, as in the reference's weekly job.
@@ -231,6 +232,7 @@ def risk_register_view(companies: DataFrame, countries: DataFrame, fact: DataFra
 # --- S-13 / S-17 / S-19: versioned tables, audit, status ---------------------------
 
 def _versions(spark: SparkSession, table_dir: str) -> list[int]:
+    """Data version folders v=<n> (published or not)."""
     out = []
     for name in list_files(spark, table_dir):
         if name.startswith("v="):
@@ -241,43 +243,62 @@ def _versions(spark: SparkSession, table_dir: str) -> list[int]:
     return sorted(out)
 
 
+def _published(spark: SparkSession, root: str, table: str) -> list[int]:
+    """Versions whose pointer record is completely written (has _SUCCESS)."""
+    base = f"{root}/{table}/_published"
+    out = []
+    for name in list_files(spark, base):
+        if name.startswith("n=") and path_exists(spark, f"{base}/{name}/_SUCCESS"):
+            out.append(int(name[2:]))
+    return sorted(out)
+
+
 def current_version(spark: SparkSession, root: str, table: str) -> int | None:
-    ptr = f"{root}/{table}/_current"
-    if not path_exists(spark, ptr):
-        return None
-    row = spark.read.json(ptr).first()
-    return int(row["version"]) if row else None
+    pub = _published(spark, root, table)
+    return pub[-1] if pub else None
+
+
+def _current_paths(spark: SparkSession, root: str, table: str) -> list[str]:
+    v = current_version(spark, root, table)
+    if v is None:
+        return []
+    row = spark.read.json(f"{root}/{table}/_published/n={v}").first()
+    return list(row["paths"])
 
 
 def write_version(df: DataFrame, root: str, table: str, mode: str = "overwrite",
                   partition_by: list[str] | None = None) -> int:
-    """S-13: write a new version and publish it by flipping the pointer.
-
-    ``mode='overwrite'``: the new version holds exactly ``df`` (full replace).
-    ``mode='append'``: the new version holds current rows + ``df``.
+    """S-13: write a new version, then publish it with a new pointer record.
+
+    ``mode='overwrite'``: the new version is exactly ``df`` (full replace).
+    ``mode='append'``: only ``df`` is written; the new version is the previous
+    version's data folders plus this one (cost grows with the appended rows,
+    not with the table).
+    Publishing never deletes or rewrites: each version gets its own pointer
+    folder ``_published/n=<n>`` and readers take the highest complete one, so
+    a crash mid-write leaves the last good version in place.
     """
     spark = df.sparkSession
-    cur = current_version(spark, root, table)
-    data = df
-    if mode == "append" and cur is not None:
-        data = read_current(spark, root, table).unionByName(df, allowMissingColumns=True)
     versions = _versions(spark, f"{root}/{table}")
     nxt = (max(versions) if versions else 0) + 1
-    w = data.write.mode("errorifexists")
+    w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(f"{root}/{table}/v={nxt}")
-    (spark.createDataFrame([(nxt, _dt.datetime.now(_dt.timezone.utc).isoformat())],
-                           "version int, published_at string")
-          .coalesce(1).write.mode("overwrite").json(f"{root}/{table}/_current"))
+    paths = (_current_paths(spark, root, table) if mode == "append" else []) + [f"v={nxt}"]
+    rec = spark.createDataFrame(
+        [(nxt, paths, _dt.datetime.now(_dt.timezone.utc).isoformat())],
+        "version int, paths array<string>, published_at string")
+    rec.coalesce(1).write.mode("errorifexists").json(f"{root}/{table}/_published/n={nxt}")
     return nxt
 
 
 def read_current(spark: SparkSession, root: str, table: str) -> DataFrame:
-    v = current_version(spark, root, table)
-    if v is None:
+    paths = _current_paths(spark, root, table)
+    if not paths:
         raise FileNotFoundError(f"table {table} has no published version under {root}")
-    return spark.read.parquet(f"{root}/{table}/v={v}")
+    full = [f"{root}/{table}/{p}" for p in paths]
+    return spark.read.option("mergeSchema", len(full) > 1).parquet(*full)
 
 
 AUDIT_SCHEMA = ("run_id string, started_at timestamp, finished_at timestamp, status string, "

@@ -109,5 +109,5 @@ def read_live(spark: SparkSession, warehouse_dir: str) -> DataFrame:
 
 
 def has_published(spark: SparkSession, warehouse_dir: str) -> bool:
-    return (path_exists(spark, f"{warehouse_dir}/fact_shipment/_current")
+    return (W.current_version(spark, warehouse_dir, "fact_shipment") is not None
             or path_exists(spark, f"{warehouse_dir}/{LIVE_TABLE}"))
