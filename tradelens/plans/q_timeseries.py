@@ -309,3 +309,14 @@ def scenario_swing(spark, sf_dir):
     sw = FC.scenario_swing(g)
     return sw.select("scenario_pct", fround("total", 2).alias("total"),
                      fround("vs_base", 2).alias("vs_base"), fround("swing", 2).alias("swing"))
+
+
+@register("arx_cv_metrics", None, ids=("W-10", "W-11"))
+def arx_cv_metrics(spark, sf_dir):
+    """W-11 on the ARX folds: MAPE / RMSE / pass flag per series, failed folds
+    counted separately (never silently dropped)."""
+    folds = FC.arx_cv(arx_panel(spark, sf_dir), ["rig_z", "lpa_pct_z"], ARX_PARAMS)
+    ok = folds.filter(F.col("status") == "ok")
+    failed = (folds.groupBy("series")
+                   .agg(F.count_if(F.col("status") != "ok").alias("failed_folds")))
+    return FC.cv_metrics(ok, ["series"]).join(failed, "series", "right")
