@@ -145,6 +145,17 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy(col).agg(F.count("*").alias("n"))
 
 
+def describe(df: DataFrame, col: str) -> DataFrame:
+    """A-24 describe(): count, mean, sample std, min, quartiles (exact, linear
+    interpolation as pandas), max -- one aggregate, one row.  (Spark's own
+    ``summary()`` uses approximate percentiles.)"""
+    x = F.col(col).cast("double")
+    return df.agg(F.count(x).alias("count"), F.avg(x).alias("mean"),
+                  F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
+                  F.percentile(x, 0.25).alias("p25"), F.percentile(x, 0.5).alias("p50"),
+                  F.percentile(x, 0.75).alias("p75"), F.max(x).alias("max"))
+
+
 def unexpected_examples(df: DataFrame, col: str, bad: F.Column, n: int = 5) -> DataFrame:
     """L-5: up to n smallest distinct offending values (as strings), one agg.
 

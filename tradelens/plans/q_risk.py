@@ -173,3 +173,16 @@ def risk_signal_matrix(spark, sf_dir):
     return (s.filter(~all_null)
              .select("key", "active_months", fround("total_value", 4).alias("total_value"),
                      *[fround(c, 6).alias(c) for c in K.SIGNALS]))
+
+
+@register("risk_score_describe", with_trade("""
+SELECT count(risk_score) AS count, round(avg(risk_score), 6) AS mean,
+       round(stddev_samp(risk_score), 6) AS std, min(risk_score) AS min,
+       round(quantile_cont(risk_score, 0.25), 6) AS p25, round(quantile_cont(risk_score, 0.5), 6) AS p50,
+       round(quantile_cont(risk_score, 0.75), 6) AS p75, max(risk_score) AS max
+FROM sc""", *SIG_SQL, *SCORE_SQL), ids=("A-24",))
+def risk_score_describe(spark, sf_dir):
+    from tradelens.operators.marts import describe
+    d = describe(scores(spark, sf_dir), "risk_score")
+    return d.select("count", *[fround(c, 6).alias(c) for c in ("mean", "std")], "min",
+                    *[fround(c, 6).alias(c) for c in ("p25", "p50", "p75")], "max")
