@@ -24,10 +24,14 @@ def test_flagship_reads_only_needed_columns(spark):
 
 
 def test_filters_reach_the_scan(spark):
-    plan = _plan(load_all()["star_read"].fn(spark, SF))
-    scans = [ln for ln in plan.splitlines() if "PushedFilters" in ln]
-    assert any("GreaterThanOrEqual(shipment_date" in ln.split("PushedFilters")[1]
-               and "EqualTo(reporter" in ln.split("PushedFilters")[1] for ln in scans)
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        load_all()["star_read"].fn(spark, SF).explain("formatted")
+    pushed = [ln for ln in buf.getvalue().splitlines() if ln.startswith("PushedFilters")]
+    assert any("GreaterThanOrEqual(shipment_date" in ln and "EqualTo(reporter" in ln
+               for ln in pushed)
 
 
 def test_quality_suite_scans_fact_at_most_twice(spark):
