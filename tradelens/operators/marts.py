@@ -135,9 +135,19 @@ def yoy_change(df: DataFrame, key: str, year_col: str, value_col: str) -> DataFr
 
 def top_n_per_group(df: DataFrame, group_col: str, order_col: str, n: int, tie_col: str
                     ) -> DataFrame:
-    """L-2: top-n rows per group by ``order_col`` desc (input: one row per key)."""
-    w = Window.partitionBy(group_col).orderBy(F.col(order_col).desc(), F.col(tie_col))
-    return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    """L-2: top-n rows per group by ``order_col`` desc, ties by ``tie_col``.
+
+    Two phases so a group holding most rows is never sorted in one task:
+    (1) rank within (group, input partition) and keep each partition's top n
+    -- the window's tasks are as balanced as the input partitions; (2) rank
+    the surviving <= n x partitions candidates per group."""
+    order = [F.col(order_col).desc(), F.col(tie_col)]
+    local = Window.partitionBy(group_col, "__part").orderBy(*order)
+    cand = (df.withColumn("__part", F.spark_partition_id())
+              .withColumn("__r", F.row_number().over(local))
+              .filter(F.col("__r") <= n).drop("__r", "__part"))
+    final = Window.partitionBy(group_col).orderBy(*order)
+    return cand.withColumn("rank", F.row_number().over(final)).filter(F.col("rank") <= n)
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:

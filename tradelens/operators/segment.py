@@ -90,9 +90,10 @@ def watchlist(labelled: DataFrame, labels, value_col: str = "last_year_fob") ->
 
 def top_per_label(labelled: DataFrame, n: int = 8, value_col: str = "last_year_fob"
                   ) -> DataFrame:
-    """L-2: top-n keys per label by value (window over one row per key)."""
-    w = Window.partitionBy("cluster_label").orderBy(F.col(value_col).desc(), F.col("key"))
-    return labelled.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    """L-2: top-n keys per label by value (two-phase top-n, see
+    ``marts.top_n_per_group``: no label's keys are sorted in one task)."""
+    from tradelens.operators.marts import top_n_per_group
+    return top_n_per_group(labelled, "cluster_label", value_col, n, "key")
 
 
 # --- k-means (M-2..M-6, L-6) ---------------------------------------------------------
