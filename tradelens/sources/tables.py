@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import threading
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,11 +96,31 @@ def trade(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "fact", "trade", _fingerprint(spark, sf_dir))
     with _FACT_LOCK:
         if not path_exists(spark, f"{path}/_SUCCESS"):
+            # write aside, then publish with one atomic rename: a concurrent
+            # job either sees nothing or the complete table, and a second
+            # writer that loses the race simply reads the winner's copy
+            tmp = f"{path}.tmp-{uuid.uuid4().hex}"
             (build_trade(spark, sf_dir).sortWithinPartitions("shipment_date")
-                .write.mode("overwrite").parquet(path))
+                .write.mode("errorifexists").parquet(tmp))
+            _rename(spark, tmp, path)
     return spark.read.parquet(path)
 
 
+def _rename(spark: SparkSession, src: str, dst: str) -> None:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    s_path, d_path = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
+    fs = s_path.getFileSystem(conf)
+    parent = d_path.getParent()
+    if not fs.exists(parent):
+        fs.mkdirs(parent)
+    if fs.exists(d_path):  # another job published first: keep its copy
+        fs.delete(s_path, True)
+        return
+    if not fs.rename(s_path, d_path) and not fs.exists(d_path):
+        raise OSError(f"could not publish {src} as {dst}")
+
+
 def build_trade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S-6 / J-1: fact joined with its dimensions, at shipment-line grain."""
     li = read_table(spark, sf_dir, "lineitem").select(
