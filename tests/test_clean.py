@@ -135,3 +135,17 @@ def test_distributed_quantiles_match_percentile(spark):
     want = {r["g"]: (r["p50"], r["p95"], r["p99"]) for r in
             df.groupBy("g").agg(*[F.percentile("v", q).alias(n) for n, q in qs.items()]).collect()}
     assert got == want
+
+
+def test_group_quantiles_split_paths_agree(spark):
+    import random
+    from tradelens.functions.quantiles import group_quantiles
+    rnd = random.Random(3)
+    rows = [("hot", float(rnd.randint(0, 300))) for _ in range(2000)]
+    rows += [("cold", float(rnd.randint(0, 30))) for _ in range(40)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    qs = {"p10": 0.1, "p99": 0.99}
+    forced = {r["g"]: (r["p10"], r["p99"]) for r in
+              group_quantiles(df, ["g"], "v", qs, max_map_rows=100).collect()}
+    mapped = {r["g"]: (r["p10"], r["p99"]) for r in group_quantiles(df, ["g"], "v", qs).collect()}
+    assert forced == mapped

@@ -79,3 +79,37 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
     if not group_cols:
         out = out.drop("__g")
     return out
+
+
+# Groups above this many rows take the distributed path in ``group_quantiles``
+# (the map-based aggregate holds up to this many distinct values per task).
+MAP_PATH_MAX_ROWS = 5_000_000
+
+
+def group_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
+                    qs: dict[str, float], max_map_rows: int = MAP_PATH_MAX_ROWS) -> DataFrame:
+    """Exact per-group quantiles, choosing the method per group by its size.
+
+    Groups with at most ``max_map_rows`` rows use Spark's ``percentile``
+    aggregate (one pass; its value->count map is bounded by the group size);
+    larger groups -- e.g. one product holding a third of all rows -- use
+    ``exact_quantiles``, which never gathers a group into one task.  The list
+    of large groups is collected to decide the split: it has at most
+    total_rows / max_map_rows entries, so it is small by construction.
+    Both paths compute the same interpolated values.
+    """
+    groups = list(group_cols)
+    x = F.col(value_col).cast("double")
+    counts = df.groupBy(*groups).agg(F.count(x).alias("__n"))
+    big = [tuple(r) for r in counts.filter(F.col("__n") > max_map_rows).select(*groups).collect()]
+
+    def map_path(frame):
+        return frame.groupBy(*groups).agg(*[F.percentile(x, q).alias(n) for n, q in qs.items()])
+
+    if not big:
+        return map_path(df)
+    spark = df.sparkSession
+    big_df = F.broadcast(spark.createDataFrame(big, df.select(*groups).schema))
+    small_part = map_path(df.join(big_df, groups, "left_anti"))
+    big_part = exact_quantiles(df.join(big_df, groups, "left_semi"), groups, value_col, qs)
+    return small_part.unionByName(big_part.select(*small_part.columns))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tradelens.functions.dates import calendar_columns, month_from_parts
 from tradelens.functions.numeric import coerce_double, unit_price
-from tradelens.functions.quantiles import exact_quantiles
+from tradelens.functions.quantiles import exact_quantiles, group_quantiles
 from tradelens.params import CleanParams
 
 CANONICAL_COLUMNS = (
@@ -200,37 +200,33 @@ def duplicate_flag(df: DataFrame, keys, order_cols, out="is_duplicate") -> DataF
 
 def outlier_thresholds(df: DataFrame, group_col: str, price_col: str,
                        quantile: float = 0.99, min_rows: int = 20,
-                       approx_accuracy: int | None = None, method: str = "map") -> DataFrame:
-    """Per group: row count and the ``quantile`` of price.
-
-    ``method='map'`` (default): Spark's exact ``percentile`` aggregate, one
-    pass with partial aggregation; its buffer is a value->count map, so a
-    group's *distinct* prices must fit one task (prices carry 4 dp).
-    ``method='distributed'``: ``exact_quantiles`` -- exact, and no group is
-    ever gathered into one task (range-partitioned selection), at the price
-    of a few more stages; use it when one product holds a large share of
-    rows with many distinct prices.  ``approx_accuracy``: the mergeable
-    ``percentile_approx`` sketch (bounded memory, not exact)."""
+                       approx_accuracy: int | None = None, method: str = "auto") -> DataFrame:
+    """Per group: row count and the exact ``quantile`` of price.
+
+    ``method='auto'`` (default): ``group_quantiles`` -- Spark's ``percentile``
+    aggregate for ordinary groups, the distributed exact selection for groups
+    large enough to strain one task; ``'map'`` / ``'distributed'`` force one
+    path.  ``approx_accuracy``: the mergeable ``percentile_approx`` sketch
+    (bounded memory, not exact)."""
     x = F.col(price_col).cast("double")
+    counts = df.groupBy(group_col).agg(F.count("*").alias("group_rows"))
     if approx_accuracy:
-        q = F.percentile_approx(x, quantile, approx_accuracy)
+        thr = df.groupBy(group_col).agg(
+            F.percentile_approx(x, quantile, approx_accuracy).alias("threshold"))
     elif method == "map":
-        q = F.percentile(x, quantile)
-    else:
-        counts = df.groupBy(group_col).agg(F.count("*").alias("group_rows"))
+        thr = df.groupBy(group_col).agg(F.percentile(x, quantile).alias("threshold"))
+    elif method == "distributed":
         thr = exact_quantiles(df, [group_col], price_col, {"threshold": quantile})
-        return (counts.join(thr, group_col, "left")
-                      .withColumn("threshold", F.when(F.col("group_rows") >= min_rows,
-                                                      F.col("threshold"))))
-    return (df.groupBy(group_col)
-              .agg(F.count("*").alias("group_rows"), q.alias("threshold"))
-              .withColumn("threshold", F.when(F.col("group_rows") >= min_rows,
-                                              F.col("threshold"))))
+    else:
+        thr = group_quantiles(df, [group_col], price_col, {"threshold": quantile})
+    return (counts.join(thr, group_col, "left")
+                  .withColumn("threshold", F.when(F.col("group_rows") >= min_rows,
+                                                  F.col("threshold"))))
 
 
 def flag_outliers(df: DataFrame, group_col: str, price_col: str, out: str = "is_outlier",
                   quantile: float = 0.99, min_rows: int = 20,
-                  approx_accuracy: int | None = None, method: str = "map") -> DataFrame:
+                  approx_accuracy: int | None = None, method: str = "auto") -> DataFrame:
     """A-12: price strictly above the group's quantile, only for groups >= min_rows.
 
     The thresholds frame has one row per group; it is joined back without a

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradelens.functions.numeric import money_sum
-from tradelens.functions.quantiles import exact_quantiles
+from tradelens.functions.quantiles import group_quantiles
 from tradelens.functions.stats import attach_scalars
 
 
@@ -82,18 +82,10 @@ def pivot_sum(df: DataFrame, row_key: str, pivot_col: str, values: list, value_c
     return p.fillna(fill, subset=[str(v) for v in values])
 
 
-def price_quantiles(df: DataFrame, key: str, price_col: str, qs=(0.5, 0.95),
-                    distributed: bool = False) -> DataFrame:
-    """A-11: exact linear-interpolated quantiles per key (pandas .quantile).
-
-    Default: one ``percentile`` aggregate (value->count map per key);
-    ``distributed=True``: the skew-proof selection of ``functions.quantiles``
-    for keys whose distinct values do not fit one task."""
-    names = {f"p{int(round(q * 100))}": q for q in qs}
-    if distributed:
-        return exact_quantiles(df, [key], price_col, names)
-    x = F.col(price_col).cast("double")
-    return df.groupBy(key).agg(*[F.percentile(x, q).alias(n) for n, q in names.items()])
+def price_quantiles(df: DataFrame, key: str, price_col: str, qs=(0.5, 0.95)) -> DataFrame:
+    """A-11: exact linear-interpolated quantiles per key (pandas .quantile);
+    the method is chosen per key by size (``functions.quantiles``)."""
+    return group_quantiles(df, [key], price_col, {f"p{int(round(q * 100))}": q for q in qs})
 
 
 def histogram(df: DataFrame, key: str, value_col: str, bins: int = 30,
