@@ -49,11 +49,16 @@ def zscore(df: DataFrame, cols: list[str], sample: bool = True,
 def quantile_scalars(df: DataFrame, col: str, qs: dict[str, float]) -> DataFrame:
     """1-row frame of exact (linear-interpolated) quantiles of ``col``.
 
-    Exact ``percentile`` keeps a value->count map; on a score column with one
-    row per key that is bounded by the number of distinct values.
+    Up to ``MAP_PATH_MAX_ROWS`` values: one ``percentile`` aggregate (its
+    value->count map then fits a task); beyond that the distributed exact
+    selection of ``functions.quantiles`` (no single task holds the column).
     """
-    return df.agg(*[F.percentile(F.col(col).cast("double"), q).alias(name)
-                    for name, q in qs.items()])
+    from tradelens.functions.quantiles import MAP_PATH_MAX_ROWS, exact_quantiles
+    x = F.col(col).cast("double")
+    n = df.agg(F.count(x).alias("n")).first()["n"]
+    if n > MAP_PATH_MAX_ROWS:
+        return exact_quantiles(df, [], col, qs)
+    return df.agg(*[F.percentile(x, q).alias(name) for name, q in qs.items()])
 
 
 def materialize(df: DataFrame) -> DataFrame:
