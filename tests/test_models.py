@@ -95,7 +95,7 @@ def test_yearly_broadcast_default(spark):
 def test_annual_to_weekly_mondays(spark):
     y = spark.createDataFrame([(2019, 1000.7), (2024, 580.2)], "year int, v double")
     w = D.annual_to_weekly(y, "year", "v").collect()
-    assert len(w) == 52 + 52   # Mondays in 2019 and in 2024
+    assert len(w) == 52 + 53   # Mondays in 2019 and in 2024 (leap year starting on a Monday)
     assert all(r["week_start_date"].weekday() == 0 for r in w)
     assert {r["value"] for r in w} == {1000, 580}
 
@@ -140,3 +140,11 @@ def test_quantile_scalars_distributed_path(spark, monkeypatch):
     monkeypatch.setattr(quantiles, "MAP_PATH_MAX_ROWS", 10)
     got = stats.quantile_scalars(df, "x", {"p60": 0.6, "p85": 0.85}).first()
     assert (got["p60"], got["p85"]) == (want["p60"], want["p85"])
+
+
+def test_annual_to_weekly_reference_span_has_313_weeks(spark):
+    y = spark.createDataFrame([(yr, 100.0) for yr in range(2019, 2025)], "year int, v double")
+    w = D.annual_to_weekly(y, "year", "v")
+    r = w.agg(F.count("*").alias("n"), F.min("week_start_date").alias("lo"),
+              F.max("week_start_date").alias("hi")).first()
+    assert (r["n"], r["lo"], r["hi"]) == (313, dt.date(2019, 1, 7), dt.date(2024, 12, 30))
