@@ -146,9 +146,11 @@ FROM p JOIN g USING (product) GROUP BY g.product, g.group_rows, g.threshold""",
 def outlier_flag(spark, sf_dir):
     t = trade(spark, sf_dir).select("product", "value", "qty")
     t = C.with_unit_price(t, "value", "qty", out="price")
-    flagged = C.flag_outliers(t, "product", "price", quantile=0.99, min_rows=20)
-    thr = C.outlier_thresholds(t, "product", "price")
-    counts = flagged.groupBy("product").agg(F.count_if("is_outlier").alias("n_outliers"))
+    thr = C.outlier_thresholds(t, "product", "price", quantile=0.99, min_rows=20)
+    counts = (t.join(thr.select("product", "threshold"), "product", "left")
+               .groupBy("product")
+               .agg(F.count_if(F.coalesce(F.col("price") > F.col("threshold"), F.lit(False)))
+                     .alias("n_outliers")))
     return (thr.join(counts, "product")
                .select("product", "group_rows", fround("threshold", 6).alias("threshold"),
                        "n_outliers"))
