@@ -145,7 +145,8 @@ def test_group_quantiles_split_paths_agree(spark):
     rows += [("cold", float(rnd.randint(0, 30))) for _ in range(40)]
     df = spark.createDataFrame(rows, "g string, v double")
     qs = {"p10": 0.1, "p99": 0.99}
-    forced = {r["g"]: (r["p10"], r["p99"]) for r in
-              group_quantiles(df, ["g"], "v", qs, max_map_rows=100).collect()}
-    mapped = {r["g"]: (r["p10"], r["p99"]) for r in group_quantiles(df, ["g"], "v", qs).collect()}
-    assert forced == mapped
+    forced = {r["g"]: (r["n"], r["p10"], r["p99"]) for r in
+              group_quantiles(df, ["g"], "v", qs, max_map_rows=100, count_col="n").collect()}
+    mapped = {r["g"]: (r["n"], r["p10"], r["p99"]) for r in
+              group_quantiles(df, ["g"], "v", qs, count_col="n").collect()}
+    assert forced == mapped and forced["hot"][0] == 2000

@@ -87,7 +87,8 @@ MAP_PATH_MAX_ROWS = 5_000_000
 
 
 def group_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
-                    qs: dict[str, float], max_map_rows: int = MAP_PATH_MAX_ROWS) -> DataFrame:
+                    qs: dict[str, float], max_map_rows: int = MAP_PATH_MAX_ROWS,
+                    count_col: str | None = None) -> DataFrame:
     """Exact per-group quantiles, choosing the method per group by its size.
 
     Groups with at most ``max_map_rows`` rows use Spark's ``percentile``
@@ -96,20 +97,27 @@ def group_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
     ``exact_quantiles``, which never gathers a group into one task.  The list
     of large groups is collected to decide the split: it has at most
     total_rows / max_map_rows entries, so it is small by construction.
-    Both paths compute the same interpolated values.
+    Both paths compute the same interpolated values.  ``count_col`` adds the
+    group's row count to the same aggregate.
     """
     groups = list(group_cols)
     x = F.col(value_col).cast("double")
-    counts = df.groupBy(*groups).agg(F.count(x).alias("__n"))
-    big = [tuple(r) for r in counts.filter(F.col("__n") > max_map_rows).select(*groups).collect()]
+    big = [tuple(r) for r in (df.groupBy(*groups).agg(F.count("*").alias("__n"))
+                                .filter(F.col("__n") > max_map_rows).select(*groups).collect())]
+    extra = [F.count("*").alias(count_col)] if count_col else []
 
     def map_path(frame):
-        return frame.groupBy(*groups).agg(*[F.percentile(x, q).alias(n) for n, q in qs.items()])
+        return frame.groupBy(*groups).agg(*extra, *[F.percentile(x, q).alias(n)
+                                                   for n, q in qs.items()])
 
     if not big:
         return map_path(df)
     spark = df.sparkSession
     big_df = F.broadcast(spark.createDataFrame(big, df.select(*groups).schema))
     small_part = map_path(df.join(big_df, groups, "left_anti"))
-    big_part = exact_quantiles(df.join(big_df, groups, "left_semi"), groups, value_col, qs)
+    big_rows = df.join(big_df, groups, "left_semi")
+    big_part = exact_quantiles(big_rows, groups, value_col, qs)
+    if count_col:
+        big_part = big_part.join(big_rows.groupBy(*groups).agg(F.count("*").alias(count_col)),
+                                 groups)
     return small_part.unionByName(big_part.select(*small_part.columns))

@@ -209,19 +209,20 @@ def outlier_thresholds(df: DataFrame, group_col: str, price_col: str,
     path.  ``approx_accuracy``: the mergeable ``percentile_approx`` sketch
     (bounded memory, not exact)."""
     x = F.col(price_col).cast("double")
-    counts = df.groupBy(group_col).agg(F.count("*").alias("group_rows"))
+    n = F.count("*").alias("group_rows")
     if approx_accuracy:
         thr = df.groupBy(group_col).agg(
-            F.percentile_approx(x, quantile, approx_accuracy).alias("threshold"))
+            n, F.percentile_approx(x, quantile, approx_accuracy).alias("threshold"))
     elif method == "map":
-        thr = df.groupBy(group_col).agg(F.percentile(x, quantile).alias("threshold"))
+        thr = df.groupBy(group_col).agg(n, F.percentile(x, quantile).alias("threshold"))
     elif method == "distributed":
-        thr = exact_quantiles(df, [group_col], price_col, {"threshold": quantile})
+        thr = (exact_quantiles(df, [group_col], price_col, {"threshold": quantile})
+               .join(df.groupBy(group_col).agg(n), group_col, "right"))
     else:
-        thr = group_quantiles(df, [group_col], price_col, {"threshold": quantile})
-    return (counts.join(thr, group_col, "left")
-                  .withColumn("threshold", F.when(F.col("group_rows") >= min_rows,
-                                                  F.col("threshold"))))
+        thr = group_quantiles(df, [group_col], price_col, {"threshold": quantile},
+                              count_col="group_rows")
+    return thr.withColumn("threshold", F.when(F.col("group_rows") >= min_rows,
+                                              F.col("threshold")))
 
 
 def flag_outliers(df: DataFrame, group_col: str, price_col: str, out: str = "is_outlier",
