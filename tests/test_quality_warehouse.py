@@ -116,3 +116,14 @@ def test_exact_duplicate_rows_counted_once(spark):
     df = spark.createDataFrame(rows, "k string, v double")
     r = C.dedupe_counts(df, ["k", "v"]).first()
     assert (r["kept"], r["duplicate"]) == (2, 2)
+
+
+def test_suite_kwargs_with_quotes_and_backslashes_round_trip(spark):
+    import json
+    df = spark.createDataFrame([("a'b",), ("x\\y",)], "c string")
+    pattern = r"[a-z]'[a-z]|\w\\\w"
+    res = Q.run_suite(df, [Q.matches_regex("c", pattern), Q.in_set("c", ["a'b"])]).collect()
+    assert json.loads(res[0]["kwargs"]) == {"pattern": pattern}
+    assert res[0]["unexpected_count"] == 0
+    assert json.loads(res[1]["kwargs"]) == {"value_set": ["a'b"]}
+    assert res[1]["unexpected_count"] == 1 and res[1]["unexpected_percent"] == 50.0

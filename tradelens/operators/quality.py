@@ -22,7 +22,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradelens.functions.numeric import fround
 from tradelens.functions.text import full_match
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
@@ -113,44 +112,56 @@ def _observed(df: DataFrame, e: Expectation, n_bad: Column) -> Column:
     return F.lit(None).cast("string")
 
 
+def _sql_str(v: str | None) -> str:
+    """A Spark SQL string literal (backslashes and quotes escaped)."""
+    if v is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def run_suite(df: DataFrame, suite: list[Expectation]) -> DataFrame:
-    """Run every expectation in ONE aggregate; one result row per expectation."""
+    """Run every expectation in ONE aggregate; one result row per expectation.
+
+    The per-check conditions are Column expressions inside the single
+    aggregate; the result rows are one SQL ``inline(array(named_struct...))``
+    over that 1-row aggregate (assembled as text, which keeps plan building
+    cheap for long suites)."""
     cols = set(df.columns)
-    rows = F.count(F.lit(1))
-    aggs: list[Column] = [rows.alias("__rows")]
-    specs = []
+    aggs: list[Column] = [F.count(F.lit(1)).alias("__rows")]
+    specs = []   # (idx, expectation, kwargs json, success, observed, n, error) as SQL
     for i, e in enumerate(suite):
         kwargs = json.dumps(e.kwargs, sort_keys=True, default=str)
         if e.kind == "columns_to_exist":
             missing = [c for c in e.kwargs["columns"] if c not in cols]
-            specs.append((i, e, kwargs, F.lit(not missing),
-                          F.lit(json.dumps({"missing": missing})), F.lit(0).cast("long"),
-                          None))
+            specs.append((i, e, kwargs, "false" if missing else "true",
+                          _sql_str(json.dumps({"missing": missing})),
+                          "CAST(0 AS BIGINT)", None))
             continue
         if e.kind == "table_row_count_to_be_above":
-            specs.append((i, e, kwargs, F.col("__rows") >= e.kwargs["min_rows"],
-                          F.col("__rows").cast("string"), F.lit(0).cast("long"), None))
+            specs.append((i, e, kwargs, f"__rows >= {int(e.kwargs['min_rows'])}",
+                          "CAST(__rows AS STRING)", "CAST(0 AS BIGINT)", None))
             continue
         if e.column not in cols:
-            specs.append((i, e, kwargs, F.lit(False), F.lit(None).cast("string"),
-                          F.lit(0).cast("long"), f"column missing: {e.column}"))
+            specs.append((i, e, kwargs, "false", "CAST(NULL AS STRING)", "CAST(0 AS BIGINT)",
+                          f"column missing: {e.column}"))
             continue
         bad = unexpected_condition(df, e)
         n_bad = F.count_if(bad)
         aggs += [n_bad.alias(f"__n{i}"), _observed(df, e, n_bad).alias(f"__o{i}")]
-        specs.append((i, e, kwargs, F.col(f"__n{i}") == 0, F.col(f"__o{i}"),
-                      F.col(f"__n{i}"), None))
+        specs.append((i, e, kwargs, f"__n{i} = 0", f"CAST(__o{i} AS STRING)",
+                      f"CAST(__n{i} AS BIGINT)", None))
     one = df.agg(*aggs)
     structs = []
     for i, e, kwargs, success, observed, n, err in specs:
-        pct = fround(F.lit(100.0) * n / F.greatest(F.col("__rows"), F.lit(1)), 4)
-        structs.append(F.struct(
-            F.lit(i).alias("idx"), F.lit(e.name).alias("expectation_type"),
-            F.lit(e.column).cast("string").alias("column"), F.lit(kwargs).alias("kwargs"),
-            success.alias("success"), observed.cast("string").alias("observed_value"),
-            n.cast("long").alias("unexpected_count"), pct.alias("unexpected_percent"),
-            F.lit(err).cast("string").alias("error")))
-    return one.select(F.inline(F.array(*structs)))
+        # same arithmetic as functions.numeric.fround(100 * n / max(rows, 1), 4)
+        pct = f"round(100D * {n} / greatest(__rows, 1) * 10000D, 0) / 10000D"
+        structs.append(
+            f"named_struct('idx', {i}, 'expectation_type', {_sql_str(e.name)}, "
+            f"'column', {_sql_str(e.column)}, 'kwargs', {_sql_str(kwargs)}, "
+            f"'success', {success}, 'observed_value', {observed}, "
+            f"'unexpected_count', {n}, 'unexpected_percent', {pct}, "
+            f"'error', {_sql_str(err)})")
+    return one.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
 def unexpected_examples(df: DataFrame, e: Expectation, n: int = 5) -> DataFrame:
