@@ -148,3 +148,29 @@ def test_annual_to_weekly_reference_span_has_313_weeks(spark):
     r = w.agg(F.count("*").alias("n"), F.min("week_start_date").alias("lo"),
               F.max("week_start_date").alias("hi")).first()
     assert (r["n"], r["lo"], r["hi"]) == (313, dt.date(2019, 1, 7), dt.date(2024, 12, 30))
+
+
+def test_decomposition_seasonal_is_centred_and_trend_edges_null(spark):
+    import math
+    months = [dt.date(2015 + i // 12, i % 12 + 1, 1) for i in range(48)]
+    rows = [("s", m, 100.0 + i + 10.0 * math.sin(2 * math.pi * (i % 12) / 12))
+            for i, m in enumerate(months)]
+    df = spark.createDataFrame(rows, "k string, month date, total double")
+    d = S.seasonal_decompose(df, ["k"]).orderBy("month").collect()
+    assert all(r["trend"] is None for r in d[:6] + d[-6:])
+    assert all(r["trend"] is not None for r in d[6:-6])
+    assert abs(sum(r["seasonal"] for r in d[:12])) < 1e-9      # one period sums to 0
+    for r in d[6:-6]:
+        assert abs(r["trend"] + r["seasonal"] + r["resid"] - r["total"]) < 1e-9
+
+
+def test_scenario_grid_shape_and_monotone(spark):
+    base = spark.createDataFrame([(dt.date(2025, m, 1), 100.0, 20.0) for m in range(1, 13)],
+                                 "month date, base double, effect double")
+    g = FC.scenario_grid(base, tuple(range(-40, 45, 5)))
+    assert g.count() == 17 * 12
+    tot = {r["scenario_pct"]: r["total"] for r in FC.scenario_swing(g).collect()}
+    levels = sorted(tot)
+    assert all(tot[a] < tot[b] for a, b in zip(levels, levels[1:]))
+    sw = FC.scenario_swing(g).first()["swing"]
+    assert abs(sw - (tot[30] - tot[-30])) < 1e-9
