@@ -151,6 +151,10 @@ def _named(kind: str, spans: str) -> Column:
     return F.transform(spans, lambda s: F.concat_ws(":", F.lit(kind), s["start"], s["end"]))
 
 
+def _tagged(kind: str, spans: str) -> Column:
+    return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(kind).alias("kind")))
+
+
 def digest(docs: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans."""
     base = F.concat(*[_named(k, k) for k in KINDS])
@@ -163,8 +167,7 @@ def digest(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, columns: list[str]) -> DataFrame:
     """``columns`` and text with every span replaced by its kind in brackets; null text stays null."""
     rows = find(docs, [*columns, F.col("text").isNull().alias("_null")], keep_text=True)
-    tagged = F.array_sort(F.concat(*[F.transform(c, lambda s, k=k: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(k).alias("kind")))
-                                     for c, k in [*((k, k) for k in KINDS), ("ids", "id")]]))
+    tagged = F.array_sort(F.concat(*[_tagged(k, k) for k in KINDS], _tagged("id", "ids")))
     walk = F.aggregate(
         tagged, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda a, s: F.struct(

@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
+SLICE_ROWS = 1000
 _U = np.uint64
 
 
@@ -66,11 +67,11 @@ def string_bytes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that each part holds about ``limit`` bytes of text, one row at least."""
+    """Cut a batch so that each part holds about ``limit`` bytes of text and SLICE_ROWS rows, one row at least."""
     _, off = string_bytes(batch.column(column))
     at = 0
     while at < batch.num_rows:
-        to = max(at + 1, int(np.searchsorted(off, off[at] + limit, side="right")) - 1)
+        to = min(at + SLICE_ROWS, max(at + 1, int(np.searchsorted(off, off[at] + limit, side="right")) - 1))
         yield batch.slice(at, to - at)
         at = to
 
