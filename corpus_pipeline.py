@@ -1,16 +1,85 @@
 """Corpus pipeline: quality, near copies, repeated passages, personal data, packing.
 
-Stages are added as their operators are.
+Each stage takes (spark, docs, sf_dir) and returns a frame that is written as
+Parquet and read again as the next stage's docs.  All but the last return the
+columns of documents, with n_chars counting the text as it now is.
+
+Defined cases: null and empty texts pass every stage (an empty text is scored
+like any other); of rows with equal doc_id in one group of near copies one
+stays; rows with a null doc_id are never dropped as near copies; an empty table
+gives an empty result; further columns pass through, up to packing.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tradelens.llm import jaccard, packing, pii, quality, substring_dedup
+from tradelens.llm.frames import prepare, stored, text_key
+from tradelens.llm.q_tokens import tokenizer_path
 
-STAGES: list = []
 #: Learned scores, FM-index search and packing have no SQL form; see tests/llm.
 ORACLE_SQL = None
 
 
+def _recounted(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs``, n_chars (if it has one) counted anew."""
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return rows.select(*docs.columns)
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality network accepts."""
+    prepare(spark)
+    p = quality.Params()
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), p)
+    return quality.score(docs, model, docs.columns, "_score").where(F.col("_score") >= p.threshold).drop("_score")
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of least doc_id of every group that the n-gram Jaccard join links."""
+    prepare(spark)
+    first = jaccard.link(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct()
+    kept = docs.join(first, F.col("doc_id") == F.col("_first"), "left_semi").dropDuplicates(["doc_id"])
+    return kept.union(docs.where("doc_id is null"))
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the words of repeated windows; a text without any stays as it is."""
+    prepare(spark)
+    cut = substring_dedup.remove_repeated_words(docs).where("n_removed > 0").select(
+        F.col("key").alias("_key"), F.col("kept").alias("_kept"))
+    rows = docs.withColumn("_key", text_key(F.col("text"))).join(cut, "_key", "left")
+    return _recounted(rows.withColumn("text", F.coalesce("_kept", "text")), docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with every span of personal data replaced by its kind."""
+    prepare(spark)
+    return _recounted(pii.redact(docs, [c for c in docs.columns if c != "text"]), docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents, with their ids, placed in sequences."""
+    prepare(spark)
+    return packing.pack(docs, tokenizer_path("word_bpe_49k.json"), with_ids=True)
+
+
+STAGES = [
+    ("quality classifier", quality_filter),
+    ("n-gram Jaccard join", near_copies),
+    ("substring dedup", repeated_passages),
+    ("PII", personal_data),
+    ("packing", packed),
+]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over documents; each result is written to the shared folder and read again."""
+    prepare(spark)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

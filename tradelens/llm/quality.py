@@ -171,19 +171,19 @@ def train(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> ByteCNN |
     return ByteCNN(p).fit([r["text"].encode() for r in rows], np.array([r["quality"] for r in rows], np.float32))
 
 
-def score(docs: DataFrame, model: ByteCNN | None, id_columns: list[str]) -> DataFrame:
-    """``id_columns`` and the score of every whole text."""
+def score(docs: DataFrame, model: ByteCNN | None, columns: list[str], name: str = "score") -> DataFrame:
+    """``columns`` (with text among them or not) and the score of every whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few thousand numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in (x for batch in batches for x in scan.slices(batch)):
-            data, off = scan.string_bytes(b.column("text"))
+        for b in (x for batch in batches for x in scan.slices(batch, "_text")):
+            data, off = scan.string_bytes(b.column("_text"))
             s = shared.value.forward(data, off) if shared.value else np.full(b.num_rows, 0.5)
-            yield pa.record_batch([*(b.column(c) for c in id_columns), pa.array(s)], names=[*id_columns, "score"])
+            yield pa.record_batch([*(b.column(c) for c in columns), pa.array(s)], names=[*columns, name])
 
-    kinds = dict(docs.dtypes)
-    return docs.select(*id_columns, "text").mapInArrow(
-        run, ", ".join(f"`{c}` {kinds[c]}" for c in id_columns) + ", score double")
+    kept = docs.select(*columns)
+    return docs.select(*columns, F.col("text").alias("_text")).mapInArrow(
+        run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema) + f", `{name}` double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> DataFrame:
