@@ -47,4 +47,5 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     return (docs.select(text_key(F.col("text")).alias("key"), text.alias("text"))
+            .where("key is not null")  # always true; else joins on key add it and their exchange is another one
             .groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.first("text").alias("text")))

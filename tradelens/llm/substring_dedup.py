@@ -166,7 +166,7 @@ def remove_repeated_words(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR
     """One row per distinct text: key, n_words, n_removed, kept (kept words joined by one space)."""
     texts = distinct_texts(docs)
     spans = repeats.repeated_spans(texts, symbols(window, k), FMIndexJudge, hot)
-    return repeats.with_spans(texts, spans).drop("n").mapInArrow(
+    return repeats.with_spans(texts, spans).mapInArrow(
         _cut, "key binary, n_words long, n_removed long, kept string")
 
 

@@ -237,7 +237,7 @@ def remove_repeated_bytes(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR
     """One row per distinct text: key, n_bytes, n_removed, n_spans, kept (remaining bytes, binary)."""
     texts = distinct_texts(docs)
     spans = repeats.repeated_spans(texts, symbols(window, k), DeepShallowJudge, hot)
-    return repeats.with_spans(texts, spans).drop("n").mapInArrow(
+    return repeats.with_spans(texts, spans).mapInArrow(
         _cut, "key binary, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
