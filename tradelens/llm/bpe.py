@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,8 +55,11 @@ class Codec:
         self.other = re.compile(f"[{SPACE.replace(' ', '')}\x00]".replace("\t-\r", "\t\x0b-\r"))
         self.stable: dict[tuple[int, int], bool] = {}
         self.parts: dict[bytes, list[int]] = {}
+        # leaves and matches are kept in two generations, so frequent ones stay
         self.known_pieces: dict[str, bytes] = {}
+        self.older_pieces: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merged(self, data: bytes) -> list[int]:
         """Encoding of a short part, kept: syllables come again in other words."""
@@ -114,12 +118,14 @@ class Codec:
         """ids of one match of the pattern."""
         got = self.known_pieces.get(piece)
         if got is None:
-            data = piece.encode()
-            rank = self.ranks.get(data)
-            got = np.array([rank] if rank is not None else self.tree(data), "<i4").tobytes()
+            got = self.older_pieces.get(piece)
+            if got is None:
+                data = piece.encode()
+                rank = self.ranks.get(data)
+                got = array("i", [rank] if rank is not None else self.tree(data)).tobytes()
             if len(piece) <= 100:  # long ones hardly come again
                 if len(self.known_pieces) > CACHE:
-                    self.known_pieces.clear()
+                    self.older_pieces, self.known_pieces = self.known_pieces, {}
                 self.known_pieces[piece] = got
         return got
 
@@ -127,7 +133,9 @@ class Codec:
         """ids of white space and the word that follows it."""
         got = self.known.get(c)
         if got is None:
-            got = b"".join([self.match(p) for p in self.pieces.findall(c)])
+            got = self.older.get(c)
+            if got is None:
+                got = b"".join([self.match(p) for p in self.pieces.findall(c)])
             if len(c) <= 100:
                 self.known[c] = got
         return got
@@ -135,7 +143,7 @@ class Codec:
     def encode_bytes(self, text: str) -> bytes:
         """ids of a text as little-endian 32-bit integers."""
         if len(self.known) > CACHE:
-            self.known.clear()
+            self.older, self.known = self.known, {}
         if "  " in text or "\n " in text or " \n" in text or "\n\n" in text or self.other.search(text):
             return b"".join([self.chunk(c) for c in self.chunks.findall(text)])
         # single spaces and line breaks only: every one of them begins a leaf
@@ -154,12 +162,23 @@ class Codec:
         return level[0] if level else b""
 
 
+_CODECS: dict[tuple[str, str], Codec] = {}
+
+
+def _codec(name: str, ranks, pattern: str) -> Codec:
+    """The codec of this worker: tasks that follow use what earlier ones have kept."""
+    got = _CODECS.get((name, pattern))
+    if got is None:
+        got = _CODECS[(name, pattern)] = Codec(ranks.value, pattern)
+    return got
+
+
 def encode(docs: DataFrame, ranks_file: str, pattern: str) -> DataFrame:
     """doc_id, ids (array of int) of every text."""
     raw = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_file))  # the vocabulary: about 1 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(raw.value, pattern)
+        codec = _codec(ranks_file, raw, pattern)
         for b in (p for batch in batches for p in scan.slices(batch)):
             got = [codec.encode_bytes(t) for t in b.column("text").to_pylist()]
             off = np.concatenate([[0], np.cumsum([len(x) // 4 for x in got])]).astype(np.int32)
@@ -175,7 +194,7 @@ def decode(encoded: DataFrame, ranks_file: str) -> DataFrame:
     raw = encoded.sparkSession.sparkContext.broadcast(read_ranks(ranks_file))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(raw.value, "")
+        codec = _codec(ranks_file, raw, "")
         for batch in batches:
             for at in range(0, batch.num_rows, 100):
                 b = batch.slice(at, 100)

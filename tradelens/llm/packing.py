@@ -74,9 +74,9 @@ class WordIds:
     Words are kept in two generations, so frequent ones stay.
     """
 
-    def __init__(self, tokenizer_file: str):
+    def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
@@ -103,6 +103,10 @@ class WordIds:
                     else:
                         known[x] = got
         todo = list(missing)
+        plain = [w for w in todo if w.isalpha()]  # one piece each: many at a time
+        for at in range(0, len(plain), 500):
+            self._learn_plain(plain[at:at + 500])
+        todo = [w for w in todo if w not in known]
         for at in range(0, len(todo), 1000):
             part = todo[at:at + 1000]
             for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
@@ -110,6 +114,15 @@ class WordIds:
         for w, (core, marks) in split.items():
             known[w] = known[core] + known[marks]
 
+    def _learn_plain(self, part: list[str]) -> None:
+        """Encode words as one text and divide its ids by piece."""
+        e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+        ids, owner = array("I", e.ids), e.word_ids
+        cuts = [0, *(i for i in range(1, len(owner)) if owner[i] != owner[i - 1]), len(owner)]
+        if len(cuts) == len(part) + 1:
+            for w, a, b in zip(part, cuts, cuts[1:]):
+                self.known[w] = ids[a:b].tobytes()
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         """ids of each text as little-endian 32-bit integers."""
         parts = [t.replace("\n", " ").split(" ") for t in texts]
@@ -122,6 +135,16 @@ class WordIds:
         return [b"".join([known[w] for w in p]) for p in parts]
 
 
+_ENCODERS: dict[str, WordIds] = {}
+
+
+def _encoder(name: str, content) -> WordIds:
+    """The encoder of this worker: tasks that follow know the words of earlier ones."""
+    if name not in _ENCODERS:
+        _ENCODERS[name] = WordIds(content.value)
+    return _ENCODERS[name]
+
+
 class Packer:
     """Fills one sequence after another from a pool of examples."""
 
@@ -220,8 +243,11 @@ def pack(docs: DataFrame, tokenizer_file: str, limits: Limits = Limits(), loss_s
     first = F.lit(1).cast("int") if loss_start is None else F.coalesce(F.col(loss_start), F.lit(1)).cast("int")
     items = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), first.alias("loss_start"))
 
+    with open(tokenizer_file, encoding="utf-8") as f:
+        content = docs.sparkSession.sparkContext.broadcast(f.read())  # the vocabulary: under 2 MB
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordIds(tokenizer_file)
+        encode = _encoder(tokenizer_file, content)
         packer = Packer(limits, TaskContext.get().partitionId() << 33)
         end = np.array([end_id], "<u4").tobytes()
         rows: list[tuple] = []
