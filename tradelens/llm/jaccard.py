@@ -257,12 +257,14 @@ def overlaps(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
 
 
 def bucketed(texts: DataFrame) -> DataFrame:
-    """Write nid, key, text as a table bucketed by nid in the shared folder."""
+    """Write nid, key, text as a table bucketed by nid in the shared folder.
+
+    ``texts`` comes from a join on nid and so lies in the table's buckets already.
+    """
     spark = texts.sparkSession
     name = f"jaccard_texts_{uuid.uuid4().hex}"
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    (texts.repartition(n, "nid").write.bucketBy(n, "nid").option("path", scratch_path(spark, "llm", name))
-     .saveAsTable(name))
+    texts.write.bucketBy(n, "nid").option("path", scratch_path(spark, "llm", name)).saveAsTable(name)
     return spark.table(name)
 
 
