@@ -70,7 +70,7 @@ class FMIndex:
     def __init__(self, seq: np.ndarray, sigma: int, depth: int):
         n = len(seq)
         rank, size = seq.astype(np.int64), 1
-        while size < depth:
+        while size < min(depth, n):
             nxt = np.zeros(n, np.int64)
             nxt[:n - size] = rank[size:] + 1
             _, rank = np.unique(rank * (n + sigma + 2) + nxt, return_inverse=True)
