@@ -274,8 +274,11 @@ def link(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("key"),
                        F.coalesce("text", F.lit("")).alias("text"))
     least = rows.groupBy("key").agg(F.min("doc_id").alias("nid"))
-    texts = bucketed(rows.where("doc_id is not null").join(least.withColumnRenamed("key", "own"), F.col("doc_id") == F.col("nid"))
-                     .where("key = own").select("nid", "key", "text").dropDuplicates(["nid", "key"]))
+    # dealt out by node alone: as an equality, the comparison of keys would become a second join key
+    same_text = F.least("key", "own") == F.greatest("key", "own")
+    texts = bucketed(rows.where("doc_id is not null")
+                     .join(least.withColumnRenamed("key", "own"), (F.col("doc_id") == F.col("nid")) & same_text, "left_semi")
+                     .select(F.col("doc_id").alias("nid"), "key", "text").dropDuplicates(["nid", "key"]))
     members = stored(texts.select("key", "nid", "text").mapInArrow(
         _members(rule), "key binary, nid long, size long, set binary, bands array<long>"), "jaccard-members")
 
