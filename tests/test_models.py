@@ -174,3 +174,12 @@ def test_scenario_grid_shape_and_monotone(spark):
     assert all(tot[a] < tot[b] for a, b in zip(levels, levels[1:]))
     sw = FC.scenario_swing(g).first()["swing"]
     assert abs(sw - (tot[30] - tot[-30])) < 1e-9
+
+
+def test_short_series_has_no_folds(spark):
+    from tradelens.operators.forecast import fold_cuts
+    from tradelens.params import ForecastParams
+
+    indexed = spark.createDataFrame([("short", 10), ("edge", 42), ("long", 72)], "brand string, n long")
+    got = fold_cuts(indexed, ["brand"], ForecastParams()).groupBy("brand").count().collect()
+    assert {r["brand"]: r["count"] for r in got} == {"edge": 1, "long": 11}

@@ -42,11 +42,14 @@ def with_time_index(series: DataFrame, keys: list[str], month_col: str = "month"
 
 
 def fold_cuts(indexed: DataFrame, keys: list[str], params: ForecastParams) -> DataFrame:
-    """W-10: cut = initial, initial+step, ..., n-horizon per key."""
+    """W-10: cut = initial, initial+step, ..., n-horizon per key.
+
+    A series too short for one fold has no cuts.
+    """
     n = indexed.groupBy(*keys).agg(F.max("n").alias("n"))
-    return n.select(*keys, F.explode(F.sequence(F.lit(params.initial),
-                                                (F.col("n") - params.horizon).cast("int"),
-                                                F.lit(params.step))).alias("cut"))
+    last = (F.col("n") - params.horizon).cast("int")
+    cuts = F.when(last >= params.initial, F.sequence(F.lit(params.initial), last, F.lit(params.step)))
+    return n.select(*keys, F.explode(cuts).alias("cut"))
 
 
 def seasonal_naive_cv(indexed: DataFrame, keys: list[str], params: ForecastParams,

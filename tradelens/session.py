@@ -73,6 +73,9 @@ def shared_dir(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not base:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a folder "
+                               "that the driver and all executors share")
         app = sc.applicationId
         base = _LOCAL_FALLBACK.get(app)
         if base is None:
