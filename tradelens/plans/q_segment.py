@@ -18,8 +18,6 @@ from tradelens.sources.tables import read_table, trade, with_trade
 
 PARAMS = SegmentParams(start_year=1996, end_year=2000, last_year=2000)
 KMEANS_RESTARTS = 10
-ELBOW_MAX_K = 6
-ELBOW_RESTARTS = 2
 
 
 def features(spark, sf_dir):
@@ -143,7 +141,7 @@ def segment_centroids(spark, sf_dir):
 @register("segment_elbow", None, ids=("M-3",))
 def segment_elbow(spark, sf_dir):
     scaled = G.scale_features(features(spark, sf_dir))
-    return G.elbow(scaled, ELBOW_MAX_K, PARAMS.seed, ELBOW_RESTARTS)
+    return G.elbow(scaled, PARAMS.max_k_elbow, PARAMS.seed, PARAMS.restarts)
 
 
 @register("segment_pca", None, ids=("M-6",))
