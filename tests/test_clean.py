@@ -122,31 +122,44 @@ def test_full_clean_chain_counters_reconcile(spark):
     assert {r["source"] for r in clean.collect()} == {"COMTRADE"}
 
 
-def test_distributed_quantiles_match_percentile(spark):
+def test_quantiles_match_percentile_with_hot_values_null_groups_and_null_keys(spark):
     import random
-    from tradelens.functions.quantiles import exact_quantiles
+
+    from tradelens.functions.quantiles import group_quantiles
     rnd = random.Random(7)
-    rows = [("hot", float(rnd.randint(0, 500))) for _ in range(3000)]
-    rows += [("cold", float(rnd.randint(0, 50))) for _ in range(17)] + [("one", 4.0)]
+    rows = [("hot", 12.5) for _ in range(2000)]
+    rows += [("hot", rnd.choice([-1, 1]) * rnd.random() * 10 ** rnd.randint(-9, 9)) for _ in range(1000)]
+    rows += [("cold", float(rnd.randint(-5, 50))) for _ in range(17)] + [("one", 4.0), ("cold", None)]
+    rows += [(None, float(rnd.randint(0, 9))) for _ in range(40)] + [("none", None)] * 3
+    rows += [("wide", v) for v in (float("inf"), -float("inf"), 0.0, -0.0, 5e-324, 1.7e308)]
     df = spark.createDataFrame(rows, "g string, v double")
-    qs = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
-    got = {r["g"]: (r["p50"], r["p95"], r["p99"]) for r in
-           exact_quantiles(df, ["g"], "v", qs, num_partitions=8).collect()}
-    want = {r["g"]: (r["p50"], r["p95"], r["p99"]) for r in
-            df.groupBy("g").agg(*[F.percentile("v", q).alias(n) for n, q in qs.items()]).collect()}
-    assert got == want
+    qs = {"p0": 0.0, "p10": 0.1, "p50": 0.5, "p95": 0.95, "p99": 0.99, "p100": 1.0}
+    finite = df.where("g is null or g <> 'wide'")
+    got = {r["g"]: tuple(r)[1:] for r in group_quantiles(finite, ["g"], "v", qs, count_col="n").collect()}
+    want = {r["g"]: tuple(r)[1:] for r in finite.groupBy("g").agg(
+        F.count("*").alias("n"), *[F.percentile("v", q).alias(n) for n, q in qs.items()]).collect()}
+    assert got == want and got["none"] == (3,) + (None,) * 6
+    wide = group_quantiles(df.where("g = 'wide'"), ["g"], "v", {"lo": 0.0, "hi": 1.0}).first()
+    assert (wide["lo"], wide["hi"]) == (-float("inf"), float("inf"))
 
 
-def test_group_quantiles_split_paths_agree(spark):
-    import random
+def test_quantiles_of_an_empty_table(spark):
     from tradelens.functions.quantiles import group_quantiles
-    rnd = random.Random(3)
-    rows = [("hot", float(rnd.randint(0, 300))) for _ in range(2000)]
-    rows += [("cold", float(rnd.randint(0, 30))) for _ in range(40)]
-    df = spark.createDataFrame(rows, "g string, v double")
-    qs = {"p10": 0.1, "p99": 0.99}
-    forced = {r["g"]: (r["n"], r["p10"], r["p99"]) for r in
-              group_quantiles(df, ["g"], "v", qs, max_map_rows=100, count_col="n").collect()}
-    mapped = {r["g"]: (r["n"], r["p10"], r["p99"]) for r in
-              group_quantiles(df, ["g"], "v", qs, count_col="n").collect()}
-    assert forced == mapped and forced["hot"][0] == 2000
+    df = spark.createDataFrame([], "g string, v double")
+    assert group_quantiles(df, ["g"], "v", {"p": 0.5}).collect() == []
+    assert [tuple(r) for r in group_quantiles(df, [], "v", {"p": 0.5}, count_col="n").collect()] == [(0, None)]
+
+
+def test_outlier_join_does_not_shuffle_the_rows(spark):
+    df = spark.range(1000).selectExpr("cast(id % 3 as string) as g", "cast(id as double) as p")
+    plan = C.flag_outliers(df, "g", "p")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_money_sums_pass_the_long_range(spark):
+    from tradelens.functions.numeric import exact_long_sum, money_sum
+    df = spark.createDataFrame([(4 * 10 ** 18 + i,) for i in range(4)] + [(-7,), (None,)], "value_units long")
+    exact = 16 * 10 ** 18 + 6 - 7
+    assert int(df.agg(exact_long_sum("value_units")).first()[0]) == exact
+    assert df.agg(money_sum(df, "value")).first()[0] * 10_000 == exact
+    assert df.where("value_units is null").agg(exact_long_sum("value_units")).first()[0] is None

@@ -133,15 +133,6 @@ def test_adf_flags_random_walk_vs_noise(spark):
     assert res == {"walk": False, "noise": True}
 
 
-def test_quantile_scalars_distributed_path(spark, monkeypatch):
-    from tradelens.functions import quantiles, stats
-    df = spark.createDataFrame([(float(i % 97),) for i in range(500)], "x double")
-    want = stats.quantile_scalars(df, "x", {"p60": 0.6, "p85": 0.85}).first()
-    monkeypatch.setattr(quantiles, "MAP_PATH_MAX_ROWS", 10)
-    got = stats.quantile_scalars(df, "x", {"p60": 0.6, "p85": 0.85}).first()
-    assert (got["p60"], got["p85"]) == (want["p60"], want["p85"])
-
-
 def test_annual_to_weekly_reference_span_has_313_weeks(spark):
     y = spark.createDataFrame([(yr, 100.0) for yr in range(2019, 2025)], "year int, v double")
     w = D.annual_to_weekly(y, "year", "v")

@@ -1,123 +1,100 @@
-"""Exact, skew-proof per-group quantiles (linear interpolation, pandas/numpy
-default = SQL ``quantile_cont``).
+"""Exact per-group quantiles (linear interpolation, pandas/numpy default = SQL
+``quantile_cont``), by one path for every size.
 
 Spark's exact ``percentile`` aggregate keeps a value->count map per group and
-merges it in ONE task per group: a group holding a third of all rows puts
-all its distinct values into one task's memory.  This version never does:
+merges it in ONE task per group.  Here no group is gathered:
 
-1. range-partition the (group, value) pairs -- the partitioner samples the
-   pairs, so a hot group is spread over many partitions, each holding a
-   disjoint, ordered value range of that group;
-2. per (partition, group) block: row count (partial aggregation, tiny);
-   running counts over the blocks of a group (ordered by partition) give
-   each block's rank interval;
-3. the target ranks floor(q(n-1)) and ceil(q(n-1)) are located in their
-   blocks, and only the rows of those blocks are ranked -- a window over
-   (partition, group), i.e. within one range partition, bounded by the
-   partition size, not the group size;
+1. rows per (group, value), with map-side combine: a value that half of all
+   rows share is one row from here on;
+2. rows per (group, bucket), where the bucket is a monotone function of the
+   value (sign and 1/256 octave): at most about 1.2 million buckets a group
+   whatever its size, some thousands for prices.  Running counts over them say
+   which buckets hold the ranks floor(q(n-1)) and ceil(q(n-1));
+3. only the distinct values of those buckets are ranked (a window over (group,
+   bucket), which streams and spills);
 4. interpolate: (hi - pos) * v_lo + (pos - lo) * v_hi with pos = q(n-1).
 
-NULL values are ignored; a group without values gets NULL quantiles.
+Nothing runs while the plan is built.  NULL values are ignored; a group without
+values gets NULL quantiles; a NULL key is a group of its own; NaN is the largest
+value; an empty table has no groups, and NULL quantiles if there are no keys.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from functools import reduce
 
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
-def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
-                    qs: dict[str, float], num_partitions: int | None = None) -> DataFrame:
-    groups = list(group_cols) or ["__g"]
-    base = df if group_cols else df.withColumn("__g", F.lit(0))
-    v = base.select(*groups, F.col(value_col).cast("double").alias("__v")).filter(
-        F.col("__v").isNotNull())
-    n_parts = num_partitions or int(v.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (v.repartitionByRange(n_parts, *groups, "__v")
-               .withColumn("__pid", F.spark_partition_id()))
-    blocks = ranged.groupBy(*groups, "__pid").agg(F.count("*").alias("__cnt"))
-    w = Window.partitionBy(*groups).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (blocks.withColumn("__start", F.coalesce(F.sum("__cnt").over(w), F.lit(0)))
-                    .withColumn("__n", F.sum("__cnt").over(Window.partitionBy(*groups))))
-    # target ranks per group and quantile
-    targets = None
-    for name, q in qs.items():
-        pos = F.lit(float(q)) * (F.col("__n") - 1)
-        t = (blocks.select(*groups, "__n").distinct()
-                   .withColumn("__q", F.lit(name)).withColumn("__pos", pos)
-                   .withColumn("__lo", F.floor("__pos").cast("long"))
-                   .withColumn("__hi", F.ceil("__pos").cast("long")))
-        targets = t if targets is None else targets.unionByName(t)
-    ranks = (targets.select(*groups, "__q", F.col("__lo").alias("__rank"))
-                    .unionByName(targets.select(*groups, "__q", F.col("__hi").alias("__rank")))
-                    .distinct())
-    located = (ranks.join(blocks.select(*groups, "__pid", "__start", "__cnt"), groups)
-                    .filter((F.col("__rank") >= F.col("__start"))
-                            & (F.col("__rank") < F.col("__start") + F.col("__cnt")))
-                    .select(*groups, "__pid", "__q", "__rank",
-                            (F.col("__rank") - F.col("__start")).alias("__local")))
-    wanted = located.select(*groups, "__pid", "__local").distinct()
-    in_block = Window.partitionBy(*groups, "__pid").orderBy("__v")
-    picked = (ranged.join(wanted.select(*groups, "__pid").distinct(), [*groups, "__pid"],
-                          "left_semi")
-                    .withColumn("__local", F.row_number().over(in_block) - 1)
-                    .join(wanted, [*groups, "__pid", "__local"], "left_semi")
-                    .select(*groups, "__pid", "__local", "__v"))
-    vals = (located.join(picked, [*groups, "__pid", "__local"])
-                   .select(*groups, "__q", "__rank", "__v"))
-    lo = targets.join(vals.withColumnRenamed("__v", "__vlo").withColumnRenamed("__rank", "__lo"),
-                      [*groups, "__q", "__lo"])
-    both = lo.join(vals.withColumnRenamed("__v", "__vhi").withColumnRenamed("__rank", "__hi"),
-                   [*groups, "__q", "__hi"])
-    # same arithmetic as the percentile aggregate (and quantile_cont):
-    # (hi - pos) * v_lo + (pos - lo) * v_hi, or v_lo when lo == hi
-    interp = both.select(*groups, "__q", F.when(F.col("__hi") == F.col("__lo"), F.col("__vlo"))
-                         .otherwise((F.col("__hi") - F.col("__pos")) * F.col("__vlo")
-                                    + (F.col("__pos") - F.col("__lo")) * F.col("__vhi"))
-                         .alias("__val"))
-    out = (interp.groupBy(*groups).pivot("__q", list(qs)).agg(F.first("__val")))
-    if not group_cols:
-        out = out.drop("__g")
-    return out
+BUCKETS_PER_OCTAVE = 256
+_POSITIVE = 300_000  # log2 of a double is above -1075, so 256 times it is above -275,200
+_INFINITE = 590_000
+_NAN = 600_000
 
 
-# Groups above this many rows take the distributed path in ``group_quantiles``
-# (the map-based aggregate holds up to this many distinct values per task).
-MAP_PATH_MAX_ROWS = 5_000_000
+def value_bucket(v: Column) -> Column:
+    """A long that never falls as the double ``v`` rises (log2 is StrictMath's, the
+    same on every executor)."""
+    size = F.abs(v)
+    octave = F.floor(F.log2(F.when(size < float("inf"), size)) * BUCKETS_PER_OCTAVE) + _POSITIVE
+    place = F.coalesce(octave, F.lit(_INFINITE))
+    return (F.when(F.isnan(v), F.lit(_NAN)).when(v == 0, F.lit(0))
+             .when(v > 0, place).when(v < 0, -place).cast("long"))
 
 
 def group_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
-                    qs: dict[str, float], max_map_rows: int = MAP_PATH_MAX_ROWS,
-                    count_col: str | None = None) -> DataFrame:
-    """Exact per-group quantiles, choosing the method per group by its size.
+                    qs: dict[str, float], count_col: str | None = None) -> DataFrame:
+    """One row per group: the exact quantiles ``qs`` (name -> fraction) of ``value_col``
+    and, as ``count_col``, the group's rows (those with NULL values included)."""
+    keys = [f"__k{i}" for i in range(len(group_cols))] or ["__k0"]
+    key_cols = [F.col(g).alias(k) for g, k in zip(group_cols, keys)] or [F.lit(0).alias("__k0")]
+    values = (df.select(*key_cols, F.col(value_col).cast("double").alias("__v"))
+                .groupBy(*keys, "__v").agg(F.count("*").alias("__c"))
+                .withColumn("__b", value_bucket(F.col("__v"))))
+    blocks = values.groupBy(*keys, "__b").agg(
+        F.sum("__c").alias("__rows"),
+        F.sum(F.when(F.col("__v").isNotNull(), F.col("__c")).otherwise(0)).alias("__cnt"))
+    w = Window.partitionBy(*keys)
+    blocks = (blocks.withColumn("__n", F.sum("__cnt").over(w))
+                    .withColumn("__total", F.sum("__rows").over(w))
+                    .withColumn("__start", F.sum("__cnt").over(
+                        w.orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)) - F.col("__cnt")))
+
+    def pos(q):
+        return F.lit(float(q)) * (F.col("__n") - 1)
 
-    Groups with at most ``max_map_rows`` rows use Spark's ``percentile``
-    aggregate (one pass; its value->count map is bounded by the group size);
-    larger groups -- e.g. one product holding a third of all rows -- use
-    ``exact_quantiles``, which never gathers a group into one task.  The list
-    of large groups is collected to decide the split: it has at most
-    total_rows / max_map_rows entries, so it is small by construction.
-    Both paths compute the same interpolated values.  ``count_col`` adds the
-    group's row count to the same aggregate.
-    """
-    groups = list(group_cols)
-    x = F.col(value_col).cast("double")
-    big = [tuple(r) for r in (df.groupBy(*groups).agg(F.count("*").alias("__n"))
-                                .filter(F.col("__n") > max_map_rows).select(*groups).collect())]
-    extra = [F.count("*").alias(count_col)] if count_col else []
+    ranks = [r for q in qs.values() for r in (F.floor(pos(q)), F.ceil(pos(q)))]
+    start, end = F.col("__start"), F.col("__start") + F.col("__cnt")
+    needed = reduce(lambda a, b: a | b, [(r >= start) & (r < end) for r in ranks])
+    located = blocks.where(needed).select(*[F.col(k).alias(k + "r") for k in keys],
+                                          F.col("__b").alias("__br"), "__n", "__start")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(k + "r")) for k in keys],
+                  F.col("__b") == F.col("__br"))
+    in_bucket = (Window.partitionBy(*keys, "__b").orderBy("__v")
+                       .rowsBetween(Window.unboundedPreceding, 0))
+    ranked = (values.join(located, same)
+                    .withColumn("__to", F.col("__start") + F.sum("__c").over(in_bucket))
+                    .withColumn("__from", F.col("__to") - F.col("__c")))
+    held = [(r >= F.col("__from")) & (r < F.col("__to")) for r in ranks]
+    picked = ranked.select(*keys, "__n", F.lit(None).cast("long").alias("__total"),
+                           *[F.when(h, F.col("__v")).alias(f"__r{i}") for i, h in enumerate(held)])
+    groups = blocks.groupBy(*keys).agg(F.max("__total").alias("__total"), F.max("__n").alias("__n"))
+    nothing = [F.lit(None).cast("double").alias(f"__r{i}") for i in range(len(ranks))]
+    both = (groups.select(*keys, "__n", "__total", *nothing).union(picked)
+                  .groupBy(*keys).agg(F.max("__n").alias("__n"), F.max("__total").alias("__total"),
+                                      *[F.max(f"__r{i}").alias(f"__r{i}") for i in range(len(ranks))]))
 
-    def map_path(frame):
-        return frame.groupBy(*groups).agg(*extra, *[F.percentile(x, q).alias(n)
-                                                   for n, q in qs.items()])
+    def interpolated(i, q):
+        lo, hi = F.col(f"__r{2 * i}"), F.col(f"__r{2 * i + 1}")
+        p = pos(q)
+        return F.when(F.floor(p) == F.ceil(p), lo).otherwise(
+            (F.ceil(p) - p) * lo + (p - F.floor(p)) * hi)
 
-    if not big:
-        return map_path(df)
-    spark = df.sparkSession
-    big_df = F.broadcast(spark.createDataFrame(big, df.select(*groups).schema))
-    small_part = map_path(df.join(big_df, groups, "left_anti"))
-    big_rows = df.join(big_df, groups, "left_semi")
-    big_part = exact_quantiles(big_rows, groups, value_col, qs)
-    if count_col:
-        big_part = big_part.join(big_rows.groupBy(*groups).agg(F.count("*").alias(count_col)),
-                                 groups)
-    return small_part.unionByName(big_part.select(*small_part.columns))
+    out = [F.col(k).alias(g) for g, k in zip(group_cols, keys)]
+    out += [F.col("__total").alias(count_col)] if count_col else []
+    out += [interpolated(i, q).alias(name) for i, (name, q) in enumerate(qs.items())]
+    if not group_cols:  # one row even for an empty table
+        both = both.groupBy().agg(*[F.max(c).alias(c) for c in both.columns if c not in keys])
+        out = [F.coalesce(c, F.lit(0)).alias(count_col) if count_col and i == 0 else c
+               for i, c in enumerate(out)]
+    return both.select(*out)

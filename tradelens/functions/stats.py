@@ -47,18 +47,24 @@ def zscore(df: DataFrame, cols: list[str], sample: bool = True,
 
 
 def quantile_scalars(df: DataFrame, col: str, qs: dict[str, float]) -> DataFrame:
-    """1-row frame of exact (linear-interpolated) quantiles of ``col``.
+    """1-row frame of exact (linear-interpolated) quantiles of ``col``
+    (``functions.quantiles``: no single task holds the column)."""
+    from tradelens.functions.quantiles import group_quantiles
+    return group_quantiles(df, [], col, qs)
 
-    Up to ``MAP_PATH_MAX_ROWS`` values: one ``percentile`` aggregate (its
-    value->count map then fits a task); beyond that the distributed exact
-    selection of ``functions.quantiles`` (no single task holds the column).
-    """
-    from tradelens.functions.quantiles import MAP_PATH_MAX_ROWS, exact_quantiles
-    x = F.col(col).cast("double")
-    n = df.agg(F.count(x).alias("n")).first()["n"]
-    if n > MAP_PATH_MAX_ROWS:
-        return exact_quantiles(df, [], col, qs)
-    return df.agg(*[F.percentile(x, q).alias(name) for name, q in qs.items()])
+
+def measured(df: DataFrame, name: str) -> DataFrame:
+    """Write a per-group table to the shared folder and read it back, so that joins
+    with it are planned by its true size: broadcast below the session's threshold,
+    shuffled above it.  The fact on the other side is then not shuffled on a key
+    of a few values only because the planner could not know."""
+    import uuid
+
+    from tradelens.session import scratch_path
+    spark = df.sparkSession
+    path = scratch_path(spark, "measured", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -12,10 +12,9 @@ Scale notes
   ``struct(order..., payload...)``: partial aggregation collapses a hot key
   to one row per map task before the shuffle, so a key holding a third of
   all rows never lands whole in one task (a ``row_number`` window would).
-* The outlier threshold is an exact per-group percentile.  Its buffer is a
-  value->count map, bounded by the number of *distinct* prices in a group
-  (prices are rounded to 4 dp); ``approx_accuracy`` switches to the
-  streaming ``percentile_approx`` sketch for groups too large for that.
+* The outlier threshold is an exact per-group percentile that gathers no group
+  (``functions.quantiles``); ``approx_accuracy`` takes the ``percentile_approx``
+  sketch instead.
 """
 
 from __future__ import annotations
@@ -25,7 +24,8 @@ from pyspark.sql import functions as F
 
 from tradelens.functions.dates import calendar_columns, month_from_parts
 from tradelens.functions.numeric import coerce_double, unit_price
-from tradelens.functions.quantiles import exact_quantiles, group_quantiles
+from tradelens.functions.quantiles import group_quantiles
+from tradelens.functions.stats import measured
 from tradelens.params import CleanParams
 
 CANONICAL_COLUMNS = (
@@ -200,24 +200,15 @@ def duplicate_flag(df: DataFrame, keys, order_cols, out="is_duplicate") -> DataF
 
 def outlier_thresholds(df: DataFrame, group_col: str, price_col: str,
                        quantile: float = 0.99, min_rows: int = 20,
-                       approx_accuracy: int | None = None, method: str = "auto") -> DataFrame:
-    """Per group: row count and the exact ``quantile`` of price.
-
-    ``method='auto'`` (default): ``group_quantiles`` -- Spark's ``percentile``
-    aggregate for ordinary groups, the distributed exact selection for groups
-    large enough to strain one task; ``'map'`` / ``'distributed'`` force one
-    path.  ``approx_accuracy``: the mergeable ``percentile_approx`` sketch
+                       approx_accuracy: int | None = None) -> DataFrame:
+    """Per group: row count and the exact ``quantile`` of price (NULL below ``min_rows``
+    rows).  ``approx_accuracy``: the mergeable ``percentile_approx`` sketch instead
     (bounded memory, not exact)."""
     x = F.col(price_col).cast("double")
-    n = F.count("*").alias("group_rows")
     if approx_accuracy:
         thr = df.groupBy(group_col).agg(
-            n, F.percentile_approx(x, quantile, approx_accuracy).alias("threshold"))
-    elif method == "map":
-        thr = df.groupBy(group_col).agg(n, F.percentile(x, quantile).alias("threshold"))
-    elif method == "distributed":
-        thr = (exact_quantiles(df, [group_col], price_col, {"threshold": quantile})
-               .join(df.groupBy(group_col).agg(n), group_col, "right"))
+            F.count("*").alias("group_rows"),
+            F.percentile_approx(x, quantile, approx_accuracy).alias("threshold"))
     else:
         thr = group_quantiles(df, [group_col], price_col, {"threshold": quantile},
                               count_col="group_rows")
@@ -227,18 +218,19 @@ def outlier_thresholds(df: DataFrame, group_col: str, price_col: str,
 
 def flag_outliers(df: DataFrame, group_col: str, price_col: str, out: str = "is_outlier",
                   quantile: float = 0.99, min_rows: int = 20,
-                  approx_accuracy: int | None = None, method: str = "auto") -> DataFrame:
+                  approx_accuracy: int | None = None) -> DataFrame:
     """A-12: price strictly above the group's quantile, only for groups >= min_rows.
 
-    The thresholds frame has one row per group; it is joined back without a
-    broadcast hint (group count is unbounded in general) and AQE turns the
-    join into a broadcast at runtime when the measured size is small.
+    The thresholds (one row per group) are written and read back, so the join
+    back is planned by their measured size: no hint, and no shuffle of the rows
+    while the thresholds fit the broadcast threshold.
     """
-    thr = outlier_thresholds(df, group_col, price_col, quantile, min_rows, approx_accuracy,
-                             method)
-    return (df.join(thr.select(group_col, "threshold"), group_col, "left")
+    thr = measured(outlier_thresholds(df, group_col, price_col, quantile, min_rows,
+                                      approx_accuracy), "outlier-thresholds")
+    thr = thr.select(F.col(group_col).alias("__group"), "threshold")
+    return (df.join(thr, F.col(group_col).eqNullSafe(F.col("__group")), "left")
               .withColumn(out, F.coalesce(F.col(price_col) > F.col("threshold"), F.lit(False)))
-              .drop("threshold"))
+              .drop("threshold", "__group"))
 
 
 # --- A-25: one-pass counters ----------------------------------------------------

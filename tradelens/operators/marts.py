@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tradelens.functions.numeric import money_sum
 from tradelens.functions.quantiles import group_quantiles
+from tradelens.functions.stats import attach_scalars, measured, quantile_scalars
 from tradelens.functions.stats import attach_scalars
 
 
@@ -83,8 +84,7 @@ def pivot_sum(df: DataFrame, row_key: str, pivot_col: str, values: list, value_c
 
 
 def price_quantiles(df: DataFrame, key: str, price_col: str, qs=(0.5, 0.95)) -> DataFrame:
-    """A-11: exact linear-interpolated quantiles per key (pandas .quantile);
-    the method is chosen per key by size (``functions.quantiles``)."""
+    """A-11: exact linear-interpolated quantiles per key (pandas .quantile)."""
     return group_quantiles(df, [key], price_col, {f"p{int(round(q * 100))}": q for q in qs})
 
 
@@ -94,18 +94,21 @@ def histogram(df: DataFrame, key: str, value_col: str, bins: int = 30,
     quantile; returns (key, bin, count) for non-empty bins.
 
     Bin edges follow numpy: [min, max] split in ``bins``; the max lands in
-    the last bin.
+    the last bin.  NULL values are in no bin; a NULL key has no bins.  Caps and
+    ranges are one row per key, joined back by their measured size.
     """
     x = F.col(value_col).cast("double")
-    stats = df.groupBy(key).agg(F.percentile(x, clip_quantile).alias("__cap"))
-    clipped = (df.join(stats, key)
-                 .withColumn("__v", F.least(x, F.col("__cap"))))
-    rng = clipped.groupBy(key).agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+    rows = df.select(F.col(key), x.alias("__x")).where(F.col(key).isNotNull() & F.col("__x").isNotNull())
+    cap = F.col("__cap")
+    ranges = (group_quantiles(rows, [key], "__x", {"__cap": clip_quantile})
+              .join(rows.groupBy(key).agg(F.min("__x").alias("__min"), F.max("__x").alias("__max")), key)
+              .select(key, "__cap", F.least("__min", cap).alias("__lo"), F.least("__max", cap).alias("__hi")))
+    v = F.least(F.col("__x"), cap)
     b = F.when(F.col("__hi") == F.col("__lo"), F.lit(0)).otherwise(
-        F.least(F.floor((F.col("__v") - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * bins),
+        F.least(F.floor((v - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * bins),
                 F.lit(bins - 1)))
-    return (clipped.join(rng, key).groupBy(key, b.cast("int").alias("bin"))
-                   .agg(F.count("*").alias("n")))
+    return (rows.join(measured(ranges, "histogram-ranges"), key)
+                .groupBy(key, b.cast("int").alias("bin")).agg(F.count("*").alias("n")))
 
 
 def yoy_change(df: DataFrame, key: str, year_col: str, value_col: str) -> DataFrame:
@@ -149,24 +152,14 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 def describe(df: DataFrame, col: str) -> DataFrame:
     """A-24 describe(): count, mean, sample std, min, quartiles (exact, linear
-    interpolation as pandas), max -- one aggregate, one row.  (Spark's own
-    ``summary()`` uses approximate percentiles.)"""
+    interpolation as pandas), max -- one row.  (Spark's own ``summary()`` uses
+    approximate percentiles.)"""
     x = F.col(col).cast("double")
-    return df.agg(F.count(x).alias("count"), F.avg(x).alias("mean"),
-                  F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-                  F.percentile(x, 0.25).alias("p25"), F.percentile(x, 0.5).alias("p50"),
-                  F.percentile(x, 0.75).alias("p75"), F.max(x).alias("max"))
-
-
-def unexpected_examples(df: DataFrame, col: str, bad: F.Column, n: int = 5) -> DataFrame:
-    """L-5: up to n smallest distinct offending values (as strings), one agg.
-
-    ``collect_set`` on the offending values only; the set is bounded by the
-    number of distinct bad values, and only the first n are kept.
-    """
-    return df.agg(F.slice(F.sort_array(F.collect_set(F.when(bad, F.col(col).cast("string")))),
-                          1, n).alias("examples"),
-                  F.count_if(bad).alias("n_unexpected"))
+    moments = df.agg(F.count(x).alias("count"), F.avg(x).alias("mean"),
+                     F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
+    quartiles = quantile_scalars(df, col, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    return attach_scalars(moments, quartiles).select("count", "mean", "std", "min", "p25", "p50",
+                                                     "p75", "max")
 
 
 def unpivot_prices(df: DataFrame, id_cols: list[str], value_cols: list[str], suffix: str,

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelens.functions.numeric import cv, fround
+from tradelens.functions.numeric import cv, exact_long_sum, fround
 from tradelens.functions.stats import attach_scalars, materialize, minmax_scale, quantile_scalars
 from tradelens.params import RiskParams
 
@@ -44,6 +44,7 @@ def risk_signals(df: DataFrame, key: str, date_col: str, value_col: str, price_c
     early, late = list(params.early_years), list(params.late_years)
     units = f"{value_col}_units"
     money = F.col(units) if units in df.columns else F.col(value_col)
+    total = exact_long_sum if units in df.columns else F.sum
     scale = 10_000.0 if units in df.columns else 1.0
     # price carries 4 dp: an exact LONG count of 1e-4 units sums without
     # object-backed decimals
@@ -53,11 +54,11 @@ def risk_signals(df: DataFrame, key: str, date_col: str, value_col: str, price_c
     # the sort-based object aggregate for every (key, month) group)
     kmp = (df.groupBy(F.col(key).alias("key"), F.trunc(date_col, "month").alias("ym"),
                       F.col(product_col).alias("product"))
-             .agg(F.sum(money).alias("v"), F.sum(price_units).alias("pu"),
+             .agg(total(money).alias("v"), exact_long_sum(price_units).alias("pu"),
                   F.count(price_units).alias("np"), F.count("*").alias("n"),
                   F.count_if(F.col(outlier_col)).alias("n_out"),
-                  F.sum(F.when(year.isin(early), money)).alias("early_part"),
-                  F.sum(F.when(year.isin(late), money)).alias("late_part"),
+                  total(F.when(year.isin(early), money)).alias("early_part"),
+                  total(F.when(year.isin(late), money)).alias("late_part"),
                   F.count_if(year.isin(early + late)).alias("n_trend_rows")))
     monthly = (kmp.groupBy("key", "ym")
                   .agg((F.sum("v").cast("double") / scale).alias("m_value"),

@@ -15,6 +15,7 @@ from tradelens.functions.numeric import fround
 from tradelens.functions import dates as D
 from tradelens.functions.dates import calendar_columns
 from tradelens.functions.numeric import clip, coerce_double
+from tradelens.functions.stats import measured
 from tradelens.functions.text import millions, signed_pct
 from tradelens.operators import clean as C
 from tradelens.plans.registry import register
@@ -146,7 +147,8 @@ FROM p JOIN g USING (product) GROUP BY g.product, g.group_rows, g.threshold""",
 def outlier_flag(spark, sf_dir):
     t = trade(spark, sf_dir).select("product", "value", "qty")
     t = C.with_unit_price(t, "value", "qty", out="price")
-    thr = C.outlier_thresholds(t, "product", "price", quantile=0.99, min_rows=20)
+    thr = measured(C.outlier_thresholds(t, "product", "price", quantile=0.99, min_rows=20),
+                   "outlier-thresholds")
     counts = (t.join(thr.select("product", "threshold"), "product", "left")
                .groupBy("product")
                .agg(F.count_if(F.coalesce(F.col("price") > F.col("threshold"), F.lit(False)))
