@@ -61,11 +61,16 @@ def test_all_empty_raises(spark, tmp_dir):
         R.load_latest(spark, d)
 
 
-def test_manifest_reports_missing_pairs(spark, landing):
-    flat, _ = R.load_latest(spark, landing)
-    expected = spark.createDataFrame([("440929", 2020), ("130232", 2020)], "code string, year int")
-    st = {r["code"]: r["status"] for r in R.landing_manifest(flat, expected).collect()}
-    assert st == {"440929": "OK", "130232": "MISSING"}
+def test_manifest_states(spark, landing):
+    files = R.snapshot_files(spark, landing)
+    docs = R.read_documents(spark, [f"{landing}/{r['file']}" for r in files.collect()])
+    expected = spark.createDataFrame(
+        [("440929", 2020), ("130232", 2020), ("330749", 2020), ("999999", 2020)], "code string, year int")
+    manifest = R.landing_manifest(files, docs, expected)
+    assert {r["code"]: (r["status"], r["rows"]) for r in manifest.collect()} == {
+        "440929": ("OK", 13), "130232": ("FAILED", 0), "330749": ("EMPTY", 0), "999999": ("MISSING", 0)}
+    totals = {r["status"]: (r["documents"], r["rows"]) for r in R.manifest_totals(manifest).collect()}
+    assert totals == {"OK": (1, 13), "FAILED": (1, 0), "EMPTY": (1, 0), "MISSING": (1, 0)}
 
 
 def test_competitor_panel_defaults(spark, tmp_dir):
@@ -93,11 +98,19 @@ def test_csv_code_padding_and_resolve_source(spark, tmp_dir):
         FS.resolve_source([("broken", lambda: df.select("no_such_column"))])
 
 
-def test_land_records_never_overwrites(spark, tmp_dir):
-    df = spark.createDataFrame([(1,)], "x int")
-    R.land_records(df, tmp_dir, "440929", 2020, "20240101")
-    with pytest.raises(Exception):
-        R.land_records(df, tmp_dir, "440929", 2020, "20240101")
+def test_landed_records_are_read_back_and_never_overwritten(spark, tmp_dir):
+    recs = [_rec(2020, m, 356, "India", "440929", 10.0 * m, 1.0) for m in (1, 2, 3)]
+    df = spark.createDataFrame([tuple(r.get(f.name) and str(r[f.name]) for f in R.RECORD) for r in recs],
+                               ", ".join(f"{f.name} string" for f in R.RECORD))
+    df = df.select(*[F.col(f.name).cast(f.dataType) for f in R.RECORD])
+    R.land_records(df.limit(1), tmp_dir, "440929", 2020, "20240101")
+    R.land_records(df, tmp_dir, "440929", 2020, "20240201")
+    flat, _ = R.load_latest(spark, tmp_dir)
+    assert sorted(r["refMonth"] for r in flat.collect()) == [1, 2, 3]
+    with pytest.raises(FileExistsError):
+        R.land_records(df, tmp_dir, "440929", 2020, "20240201")
+    R.land_records(df.limit(0), tmp_dir, "130232", 2020, "20240201")
+    assert R.snapshot_files(spark, tmp_dir).count() == 3
 
 
 def _iso(spark):

@@ -111,6 +111,12 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(hpath))
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create ``path`` through the Hadoop FileSystem (an existing one stays)."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hpath)
+
+
 _SHIPPED: set[str] = set()
 _SHIP_LOCK = threading.Lock()
 

@@ -13,13 +13,14 @@ the competitor cache (``comtrade_benchmark_...``) out (trap T-8).
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradelens.params import SNAPSHOT_FILE_PATTERN
-from tradelens.session import list_files
+from tradelens.session import list_files, path_exists
 
 RECORD = T.StructType([
     T.StructField("refYear", T.IntegerType()),
@@ -123,20 +124,45 @@ def competitor_panel(spark: SparkSession, cache_dir: str,
 
 
 def land_records(records: DataFrame, landing_dir: str, code: str, year: int, stamp: str) -> str:
-    """S-12: land one pull under a date-stamped folder; never overwrites
-    (``errorifexists``), so history is immutable."""
-    path = f"{landing_dir.rstrip('/')}/comtrade_{code}_{year}_{stamp}"
-    records.write.mode("errorifexists").json(path)
-    return path
-
-
-def landing_manifest(flat: DataFrame, expected: DataFrame) -> DataFrame:
-    """S-20: rows per expected (code, year) and status OK / EMPTY / MISSING.
-
-    ``expected`` is the requested (code, year) grid; pairs that never
-    arrived show up as MISSING instead of silently vanishing."""
-    got = flat.groupBy(F.col("cmdCode").alias("code"), F.col("refYear").alias("year")).agg(
-        F.count("*").alias("rows"))
-    j = expected.join(got, ["code", "year"], "left")
-    return j.withColumn("status", F.when(F.col("rows").isNull(), "MISSING")
-                                    .when(F.col("rows") == 0, "EMPTY").otherwise("OK"))
+    """S-12: land one pull as the document ``comtrade_{code}_{year}_{stamp}.json``
+    that S-1 reads; never overwrites, so history is immutable.
+
+    One pull is one answer of the statistics API, which limits its size, so it is
+    one document.  It is written aside (Spark's listings skip the ``_`` folder) and
+    renamed when complete."""
+    spark = records.sparkSession
+    base = landing_dir.rstrip("/")
+    target = f"{base}/comtrade_{code}_{year}_{stamp}.json"
+    if path_exists(spark, target):
+        raise FileExistsError(target)
+    aside = f"{base}/_landing-{uuid.uuid4().hex}"
+    rows = F.collect_list(F.struct(*[F.col(c) for c in records.columns]))
+    records.agg(rows.alias("data")).coalesce(1).write.json(aside)
+    part = next(n for n in list_files(spark, aside) if n.startswith("part-"))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.rename(path(f"{aside}/{part}"), path(target)):
+        raise FileExistsError(target)
+    fs.delete(path(aside), True)
+    return target
+
+
+def landing_manifest(files: DataFrame, docs: DataFrame, expected: DataFrame) -> DataFrame:
+    """S-20: (code, year, rows, status) of every expected (code, year).
+
+    By the file list, so that documents without records are seen: MISSING (no file),
+    FAILED (the newest document is malformed), EMPTY (no records) or OK.  ``files`` is
+    ``snapshot_files``, ``docs`` their ``read_documents``."""
+    per_doc = docs.groupBy("__file").agg(
+        F.sum(F.size(F.coalesce("data", F.array().cast(DOCUMENT["data"].dataType)))).alias("rows"),
+        F.max(F.col("_corrupt_record").isNotNull() & F.col("data").isNull()).alias("bad"))
+    newest = latest_snapshots(files).select("code", "year", F.col("file").alias("__file"))
+    j = expected.join(newest.join(per_doc, "__file", "left"), ["code", "year"], "left")
+    status = (F.when(F.col("__file").isNull(), "MISSING").when(F.col("bad"), "FAILED")
+               .when(F.coalesce("rows", F.lit(0)) == 0, "EMPTY").otherwise("OK"))
+    return j.select("code", "year", F.coalesce("rows", F.lit(0)).alias("rows"), status.alias("status"))
+
+
+def manifest_totals(manifest: DataFrame) -> DataFrame:
+    """S-20: documents and records per status."""
+    return manifest.groupBy("status").agg(F.count("*").alias("documents"), F.sum("rows").alias("rows"))

@@ -23,7 +23,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelens.session import path_exists, scratch_path
+from tradelens.session import list_files, make_folder, scratch_path
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
@@ -69,15 +69,17 @@ _FACT_LOCK = threading.Lock()
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
-    """Identity of the input version: file names and sizes of every input."""
-    jvm = spark.sparkContext._jvm
+    """Identity of the input version: name, length and modification time of every file."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     h = hashlib.sha1(sf_dir.encode())
     for t in FACT_INPUTS:
-        p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
-        fs = p.getFileSystem(conf)
-        st = fs.getContentSummary(p)
-        h.update(f"{t}:{st.getLength()}:{st.getFileCount()}".encode())
+        p = path(f"{sf_dir.rstrip('/')}/{t}.parquet")
+        found, entries = p.getFileSystem(conf).listFiles(p, True), []
+        while found.hasNext():
+            f = found.next()
+            entries.append(f"{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}")
+        h.update(f"{t}:{sorted(entries)}".encode())
     return h.hexdigest()[:16]
 
 
@@ -93,32 +95,23 @@ def trade(spark: SparkSession, sf_dir: str) -> DataFrame:
     join k times).  Files are sorted by month so row-group statistics
     prune date filters.
     """
-    path = scratch_path(spark, "fact", "trade", _fingerprint(spark, sf_dir))
+    base = scratch_path(spark, "fact", "trade", _fingerprint(spark, sf_dir))
     with _FACT_LOCK:
-        if not path_exists(spark, f"{path}/_SUCCESS"):
-            # write aside, then publish with one atomic rename: a concurrent
-            # job either sees nothing or the complete table, and a second
-            # writer that loses the race simply reads the winner's copy
-            tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+        done = _complete_copies(spark, base)
+        if not done:
+            # every writer has a folder of its own, and a copy counts once its
+            # pointer is there; writers that race leave equal copies, and all
+            # readers take the first by name
+            copy = uuid.uuid4().hex
             (build_trade(spark, sf_dir).sortWithinPartitions("shipment_date")
-                .write.mode("errorifexists").parquet(tmp))
-            _rename(spark, tmp, path)
-    return spark.read.parquet(path)
+                .write.mode("errorifexists").parquet(f"{base}/{copy}"))
+            make_folder(spark, f"{base}/_complete/{copy}")
+            done = _complete_copies(spark, base)
+    return spark.read.parquet(f"{base}/{done[0]}")
 
 
-def _rename(spark: SparkSession, src: str, dst: str) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    s_path, d_path = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
-    fs = s_path.getFileSystem(conf)
-    parent = d_path.getParent()
-    if not fs.exists(parent):
-        fs.mkdirs(parent)
-    if fs.exists(d_path):  # another job published first: keep its copy
-        fs.delete(s_path, True)
-        return
-    if not fs.rename(s_path, d_path) and not fs.exists(d_path):
-        raise OSError(f"could not publish {src} as {dst}")
+def _complete_copies(spark: SparkSession, base: str) -> list[str]:
+    return list_files(spark, f"{base}/_complete")
 
 
 def build_trade(spark: SparkSession, sf_dir: str) -> DataFrame:

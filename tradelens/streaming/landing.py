@@ -8,19 +8,17 @@ file source's checkpoint in the shared folder records them), then stops.
 A re-run after a crash or a lost executor resumes from that checkpoint.
 
 Per micro-batch (``foreachBatch``):
-  1. keep strictly named snapshot files (trap T-8) and, per (code, year), the
-     newest stamp in the batch;
+  1. keep strictly named snapshot files (trap T-8), per (code, year) the newest
+     stamp in the batch, and none older than the stamp already published;
   2. flatten, tag, clean (the batch cleaning chain, unchanged);
-  3. run the quality suite in one aggregate and stop on failure;
-  4. publish "newest snapshot wins" for the refreshed (code, year) slices:
-     * ``publish='partitions'`` (default): the live fact is partitioned by
-       (hs_code, year) and written with dynamic partition overwrite -- only
-       the partitions present in the batch are replaced, so the cost of a
-       refresh grows with the batch, not with the table;
-     * ``publish='versioned'``: current rows of other slices (left-anti join
-       on the pair keys) + the batch are written as a new immutable version
-       and published by pointer flip (atomic for readers, full rewrite).
-No streaming state is needed: replacement is keyed by (code, year).
+  3. merge: a refreshed slice replaces the published one, also when no row of it
+     survived; outlier flags are set anew from all rows of each product, as the
+     batch job sets them;
+  4. run the quality suite in one aggregate and stop on failure;
+  5. write the merged fact as a new immutable version and flip the pointer
+     (readers see the old or the new version, never a mixture), then record the
+     stamps.  A crash between the two repeats the batch with the same result.
+A refresh rewrites the fact, as the reference's reload does.
 """
 
 from __future__ import annotations
@@ -32,57 +30,57 @@ from tradelens.operators import clean as C
 from tradelens.operators import quality as Q
 from tradelens.operators import warehouse as W
 from tradelens.params import SNAPSHOT_FILE_PATTERN, CleanParams
-from tradelens.session import path_exists, scratch_path
+from tradelens.session import scratch_path
 from tradelens.sources.raw_json import DOCUMENT, flatten_documents
 
+FACT = "fact_shipment"
+STAMPS = "landing_stamps"
 
-def _latest_in_batch(docs: DataFrame) -> DataFrame:
+
+def _newest(docs: DataFrame, published: DataFrame | None) -> DataFrame:
+    """Documents of the newest stamp per (code, year), none older than the published one."""
     parts = docs.select("*", *[F.regexp_extract("__file", SNAPSHOT_FILE_PATTERN, i).alias(n)
                                 for i, n in ((1, "__code"), (2, "__year"), (3, "__stamp"))])
     named = parts.filter(F.col("__code") != "")
-    best = named.groupBy("__code", "__year").agg(F.max("__stamp").alias("__stamp"))
+    stamps = named.select("__code", "__year", "__stamp")
+    if published is not None:
+        stamps = stamps.union(published)
+    best = stamps.groupBy("__code", "__year").agg(F.max("__stamp").alias("__stamp"))
     return named.join(best, ["__code", "__year", "__stamp"], "left_semi")
 
 
-LIVE_TABLE = "fact_shipment_live"
-
-
 def refresh_batch(batch: DataFrame, warehouse_dir: str, iso_table: DataFrame,
-                  suite: list, params: CleanParams = CleanParams(),
-                  publish: str = "partitions") -> int | None:
-    """Clean one batch of landed documents and merge it into the fact."""
+                  suite: list, params: CleanParams = CleanParams()) -> int | None:
+    """Clean one batch of landed documents and merge it into the fact; the new
+    version, or None when the batch holds nothing newer."""
     spark = batch.sparkSession
-    docs = _latest_in_batch(batch)
-    flat = flatten_documents(docs)
-    if flat.limit(1).count() == 0:
+    known = W.current_version(spark, warehouse_dir, STAMPS) is not None
+    docs = _newest(batch, W.read_current(spark, warehouse_dir, STAMPS) if known else None)
+    # a malformed document replaces nothing
+    ok = docs.filter(F.col("_corrupt_record").isNull() | F.col("data").isNotNull())
+    slices = ok.select("__code", "__year", "__stamp").distinct()
+    if slices.isEmpty():
         return None
     ov = C.overrides_frame(spark, params.overrides)
-    clean = C.clean_from_tagged(C.tag_records(flat, iso_table, ov, params), params)
+    fact = C.clean_from_tagged(C.tag_records(flatten_documents(ok), iso_table, ov, params), params)
+    if W.current_version(spark, warehouse_dir, FACT) is not None:
+        current = W.read_current(spark, warehouse_dir, FACT)
+        keys = slices.select(F.col("__code").alias("hs_code"), F.col("__year").cast("int").alias("year"))
+        kept = current.join(keys, ["hs_code", "year"], "left_anti")
+        both = kept.select(*fact.columns).unionByName(fact).drop("is_outlier")
+        fact = C.canonical_projection(C.flag_outliers(
+            both, "hs_code", "unit_price_usd", quantile=params.outlier_quantile,
+            min_rows=params.outlier_min_rows))
     if suite:
-        Q.gate(Q.run_suite(clean, suite))
-    if publish == "partitions":
-        (clean.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("hs_code", "year").parquet(f"{warehouse_dir}/{LIVE_TABLE}"))
-        return 0
-    refreshed = flat.select(F.col("cmdCode").alias("hs_code"),
-                            F.col("refYear").alias("__ref_year")).distinct()
-    if W.current_version(spark, warehouse_dir, "fact_shipment") is None:
-        merged = clean
-    else:
-        current = W.read_current(spark, warehouse_dir, "fact_shipment")
-        keys = refreshed.select("hs_code", F.col("__ref_year").alias("year"))
-        # annual/NULL-month rows never reach the fact, so (code, year) of the
-        # clean rows identifies the replaced slice
-        # the new version is written to a new folder, so reading the current
-        # one while writing is safe
-        merged = current.join(keys, ["hs_code", "year"], "left_anti").unionByName(
-            clean.select(*current.columns))
-    return W.write_version(merged, warehouse_dir, "fact_shipment", partition_by=["year"])
+        Q.gate(Q.run_suite(fact, suite))
+    version = W.write_version(fact, warehouse_dir, FACT, partition_by=["year"])
+    W.write_version(slices, warehouse_dir, STAMPS, mode="append")
+    return version
 
 
 def start_refresh(spark: SparkSession, raw_dir: str, warehouse_dir: str, iso_table: DataFrame,
                   suite: list | None = None, params: CleanParams = CleanParams(),
-                  checkpoint_location: str | None = None, publish: str = "partitions"):
+                  checkpoint_location: str | None = None):
     """Start the availableNow refresh; returns the StreamingQuery (call
     ``awaitTermination()`` to wait for the catch-up to finish)."""
     ckpt = checkpoint_location or scratch_path(spark, "streams", "landing_refresh")
@@ -95,19 +93,8 @@ def start_refresh(spark: SparkSession, raw_dir: str, warehouse_dir: str, iso_tab
                            "_corrupt_record"))
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        refresh_batch(batch, warehouse_dir, iso_table, suite or [], params, publish)
+        refresh_batch(batch, warehouse_dir, iso_table, suite or [], params)
 
     return (stream.writeStream.foreachBatch(each)
                   .option("checkpointLocation", ckpt)
                   .trigger(availableNow=True).start())
-
-
-def read_live(spark: SparkSession, warehouse_dir: str) -> DataFrame:
-    """The partition-published live fact (partition pruning on hs_code/year).
-    Read with the canonical schema: product codes stay zero-padded strings."""
-    return spark.read.schema(C.CLEAN_SCHEMA).parquet(f"{warehouse_dir}/{LIVE_TABLE}")
-
-
-def has_published(spark: SparkSession, warehouse_dir: str) -> bool:
-    return (W.current_version(spark, warehouse_dir, "fact_shipment") is not None
-            or path_exists(spark, f"{warehouse_dir}/{LIVE_TABLE}"))
