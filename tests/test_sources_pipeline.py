@@ -136,6 +136,35 @@ def test_pipeline_publishes_and_gate_halts(spark, landing, tmp_dir):
     assert sorted(r["status"] for r in audit.collect()) == ["FAILED", "SUCCESS"]
 
 
+def test_pipeline_publishes_a_star_whose_keys_resolve(spark, landing, tmp_dir):
+    wh = os.path.join(tmp_dir, "wh_star")
+    annual = spark.createDataFrame([(2020, 5.0), (2021, 6.0)], "year int, rain double")
+    cfg = PipelineConfig(raw_dir=landing, warehouse_dir=wh, iso_table=_iso(spark), suite=[Q.row_count_at_least(1)],
+                         drivers={"rain": (annual, ["year", "rain"], ["rain"])})
+    for _ in range(2):  # known members keep their ids
+        rep = {r["stage"]: r["status"] for r in run_pipeline(spark, cfg).collect()}
+        assert rep == {s: "SUCCESS" for s in ("drivers", "clean", "validate", "load")}
+        assert [tuple(r) for r in W.read_current(spark, wh, "dim_country").collect()] == [("IND", "India", 1)]
+    fact = W.read_current(spark, wh, "fact_shipment")
+    time = W.read_current(spark, wh, "dim_time").withColumnRenamed("date", "shipment_date")
+    assert fact.join(time.select("shipment_date", "time_id"), ["shipment_date", "time_id"]).count() == 12
+    assert fact.join(W.read_current(spark, wh, "dim_product"), ["hs_code", "product_id"]).count() == 12
+    header = spark.read.json(os.path.join(wh, "validation_report", "*", "header"))
+    assert [r["success_count"] for r in header.collect()] == [1, 1]
+
+
+def test_pipeline_halts_on_drivers_that_are_not_positive_and_on_no_clean_rows(spark, landing, tmp_dir):
+    wh = os.path.join(tmp_dir, "wh_halt")
+    annual = spark.createDataFrame([(2020, 5.0), (2021, None)], "year int, rain double")
+    cfg = PipelineConfig(raw_dir=landing, warehouse_dir=wh, iso_table=_iso(spark),
+                         drivers={"rain": (annual, ["year", "rain"], ["rain"])})
+    assert [(r["stage"], r["status"]) for r in run_pipeline(spark, cfg).collect()] == [("drivers", "FAILED")]
+    none = spark.createDataFrame([], "name string, iso string")
+    cfg = PipelineConfig(raw_dir=landing, warehouse_dir=wh, iso_table=none, suite=[Q.not_null("fob_usd")])
+    assert [(r["stage"], r["status"]) for r in run_pipeline(spark, cfg).collect()] == [("clean", "FAILED")]
+    assert W.current_version(spark, wh, "fact_shipment") is None
+
+
 def test_pipeline_dry_run_writes_nothing(spark, landing, tmp_dir):
     wh = os.path.join(tmp_dir, "wh_dry")
     cfg = PipelineConfig(raw_dir=landing, warehouse_dir=wh, iso_table=_iso(spark),

@@ -56,6 +56,11 @@ def invalid_driver_rows(df: DataFrame, positive: list[str]) -> DataFrame:
     return df.filter(~F.coalesce(_all_positive(positive), F.lit(False)))
 
 
+def valid_driver_rows(df: DataFrame, positive: list[str]) -> DataFrame:
+    """S-10: the rows that pass the gate (all of ``positive`` known and above zero)."""
+    return df.filter(F.coalesce(_all_positive(positive), F.lit(False)))
+
+
 def weekly_to_monthly(weekly: DataFrame, week_col: str, value_col: str,
                       keys: list[str] | None = None) -> DataFrame:
     """J-11 part 1: mean of the weekly values per month of the week start."""

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from tradelens.functions.numeric import money_sum
 from tradelens.functions.quantiles import group_quantiles
 from tradelens.functions.stats import attach_scalars, measured, quantile_scalars
-from tradelens.functions.stats import attach_scalars
 
 
 def map_category(df: DataFrame, code_col: str, mapping: dict[str, str], out: str = "category"
@@ -65,14 +64,15 @@ def top_k(df: DataFrame, order_col: str, k: int, tie_cols: list[str]) -> DataFra
 def concentration(df: DataFrame, key: str, value_col: str, top_n: int = 10) -> DataFrame:
     """A-5: one row -- number of keys, top-1 share, top-N share.
 
-    Ranks are taken over the per-key totals (one row per key) with a
-    partitioned-free ``max``/``sum`` over the top-N set from ``top_k``.
+    The per-key totals feed two branches (their count and sum, and the top-N
+    rows from ``top_k``); both share one scan and one exchange.
     """
-    shares = totals_with_share(df, key, value_col)
-    top = top_k(shares, "share", top_n, [key])
-    head = top.agg(F.max("share").alias("top1_share"), F.sum("share").alias(f"top{top_n}_share"))
-    n = shares.agg(F.count("*").alias("n_keys"))
-    return n.crossJoin(head)
+    per = df.groupBy(key).agg(money_sum(df, value_col).cast("double").alias("total"))
+    whole = per.agg(F.count("*").alias("n_keys"), F.sum("total").alias("__grand"))
+    shares = (attach_scalars(top_k(per, "total", top_n, [key]), whole)
+              .select(F.try_divide(F.col("total"), F.col("__grand")).alias("share")))
+    head = shares.agg(F.max("share").alias("top1_share"), F.sum("share").alias(f"top{top_n}_share"))
+    return attach_scalars(head, whole.select("n_keys")).select("n_keys", "top1_share", f"top{top_n}_share")
 
 
 def pivot_sum(df: DataFrame, row_key: str, pivot_col: str, values: list, value_col: str,

@@ -188,6 +188,15 @@ def failures(results: DataFrame) -> DataFrame:
     return results.filter(~F.col("success"))
 
 
+def write_report(results: DataFrame, path: str) -> DataFrame:
+    """S-18 sink: one JSON record per check under ``checks`` and the header counts under
+    ``header``; returns the checks as written, so the suite is not run again."""
+    results.coalesce(1).write.json(f"{path}/checks")
+    written = results.sparkSession.read.schema(results.schema).json(f"{path}/checks")
+    summary(written).coalesce(1).write.json(f"{path}/header")
+    return written
+
+
 def gate(results: DataFrame) -> dict:
     """Q-9: raise if any expectation failed (after the whole suite ran)."""
     s = summary(results).first().asDict()

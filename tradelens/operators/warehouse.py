@@ -194,16 +194,21 @@ def monthly_export_view(fact: DataFrame, countries: DataFrame, products: DataFra
     """A-1: (month, iso, name, code, category) -> sums, unweighted avg price, count.
 
     Prices carry 4 dp, so their mean is taken as an exact DECIMAL sum over a
-    count (order-independent, identical on every engine).
+    count (order-independent, identical on every engine).  The fact is
+    aggregated by (month, country_id, product_id) first: the dimensions join
+    one row per id pair and month, not every shipment.
     """
-    j = (fact.join(countries, "country_id").join(products, "product_id"))
-    return (j.groupBy(F.trunc(date_col, "month").alias("month"), "iso_alpha3",
-                      "country_name", "hs_code", "category")
-             .agg(F.sum(value_col).alias("total_fob_usd"),
-                  F.sum(qty_col).alias("total_quantity_kg"),
-                  (F.sum(F.col(price_col).cast("decimal(18,4)")).cast("double")
-                   / F.count(price_col)).alias("avg_unit_price_usd"),
-                  F.count("*").alias("shipment_count")))
+    ids = (fact.groupBy(F.trunc(date_col, "month").alias("month"), "country_id", "product_id")
+               .agg(F.sum(value_col).alias("__value"), F.sum(qty_col).alias("__qty"),
+                    F.sum(F.col(price_col).cast("decimal(18,4)")).alias("__price"),
+                    F.count(price_col).alias("__priced"), F.count("*").alias("__n")))
+    j = ids.join(countries, "country_id").join(products, "product_id")
+    return (j.groupBy("month", "iso_alpha3", "country_name", "hs_code", "category")
+             .agg(F.sum("__value").alias("total_fob_usd"),
+                  F.sum("__qty").alias("total_quantity_kg"),
+                  F.try_divide(F.sum("__price").cast("double"), F.sum("__priced"))
+                   .alias("avg_unit_price_usd"),
+                  F.sum("__n").alias("shipment_count")))
 
 
 def risk_register_view(companies: DataFrame, countries: DataFrame, fact: DataFrame,

@@ -5,9 +5,10 @@ Each trade line becomes a raw record: partner = customer nation (key 0 is
 an aggregate partner code, so its rows are dropped as aggregates), returned
 lines carry an unparsable value ('n/a'), 'A'-flag lines are annual rows
 (month 52 -> no date) and the quantity is shifted down by one (single-unit
-lines get zero).  The job cleans, gates and publishes a new fact version in
-the shared folder; the query returns the one-pass clean counters and the
-run status.
+lines get zero).  The job checks a driver series (mean order price by year),
+cleans, gates and publishes the dimensions and a new fact version in
+the shared folder; the query returns the clean counters, the row counts of
+the star as read back, and the run status.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tradelens.operators import quality as Q
+from tradelens.operators import warehouse as W
 from tradelens.params import AGGREGATE_PARTNER_CODES
 from tradelens.plans.pipeline import PipelineConfig, run_pipeline
 from tradelens.plans.registry import register
@@ -86,12 +88,24 @@ SELECT (SELECT count(*) FROM tagged) AS rows_in,
        (SELECT CAST(count_if(coalesce(unit_price_usd > t, false)) AS BIGINT)
         FROM dedup JOIN thr USING (hs_code)) AS rows_outlier_flagged,
        (SELECT count(*) FROM dedup) AS rows_out,
-       'SUCCESS' AS run_status""", *PIPE_SQL), ids=("O-1", "O-2", "A-25", "S-13", "S-17", "Q-9"))
+       (SELECT count(DISTINCT CAST(year(o_orderdate) AS INTEGER)) FROM orders) AS driver_years,
+       (SELECT count(DISTINCT dest_iso_alpha3) FROM dedup) AS countries,
+       (SELECT count(DISTINCT hs_code) FROM dedup) AS products,
+       (SELECT date_diff('day', min(shipment_date), max(shipment_date)) + 1 FROM dedup) AS days,
+       (SELECT count(*) FROM dedup) AS fact_rows,
+       (SELECT CAST(sum(country_id) AS BIGINT) FROM dedup JOIN (
+          SELECT dest_iso_alpha3, row_number() OVER (ORDER BY dest_iso_alpha3) AS country_id
+          FROM (SELECT DISTINCT dest_iso_alpha3 FROM dedup)) USING (dest_iso_alpha3)) AS country_id_sum,
+       'SUCCESS' AS run_status""", *PIPE_SQL), ids=("O-1", "O-2", "A-25", "S-10", "S-13", "S-17", "S-18", "Q-9", "J-2"))
 def pipeline_refresh(spark, sf_dir):
-    """clean -> gate -> publish on trade-derived records; counters + status."""
+    """drivers -> clean -> gate -> star on trade-derived records; counters, star counts, status."""
     suite = [Q.row_count_at_least(1), Q.not_null("fob_usd"), Q.not_null("dest_iso_alpha3"),
              Q.between("unit_price_usd", 0, strict_min=True)]
-    cfg = PipelineConfig(raw_dir="", warehouse_dir=scratch_path(spark, "pipeline", uuid.uuid4().hex),
+    root = scratch_path(spark, "pipeline", uuid.uuid4().hex)
+    annual = (read_table(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("year"))
+              .agg(F.avg("o_totalprice").alias("price")))
+    cfg = PipelineConfig(raw_dir="", warehouse_dir=root,
+                         drivers={"price": (annual, ["year", "price"], ["price"])},
                          iso_table=nation_iso(spark, sf_dir), suite=suite,
                          flat=trade_records(spark, sf_dir), order_cols=ORDER)
     state: dict = {}
@@ -100,6 +114,15 @@ def pipeline_refresh(spark, sf_dir):
     counters = state.get("counters") or {}
     cols = ["rows_in", "rows_dropped_aggregate", "rows_dropped_null", "rows_deduped",
             "rows_outlier_flagged", "rows_out"]
+    star = {}
+    if status == "SUCCESS":
+        for c, table in (("driver_years", "driver_price"), ("countries", "dim_country"),
+                         ("products", "dim_product"), ("days", "dim_time")):
+            star[c] = W.read_current(spark, root, table).count()
+        star |= W.read_current(spark, root, "fact_shipment").agg(
+            F.count("*").alias("fact_rows"), F.sum("country_id").alias("country_id_sum")).first().asDict()
+    counters = counters | star
+    cols += ["driver_years", "countries", "products", "days", "fact_rows", "country_id_sum"]
     row = tuple(counters.get(c) for c in cols) + (status,)
     return spark.createDataFrame([row], ", ".join(f"{c} bigint" for c in cols)
                                  + ", run_status string")

@@ -33,14 +33,15 @@ def semi_structured_props(spark, sf_dir):
 
 
 @register("union_by_name", """
-SELECT event_id, ts, value, NULL::VARCHAR AS event_type, NULL::BIGINT AS user_id FROM events WHERE event_type = 'click'
+SELECT event_id, ts, value, NULL::VARCHAR AS event_type, NULL::BIGINT AS user_id FROM events
 UNION ALL
-SELECT event_id, NULL::TIMESTAMP, NULL::DOUBLE, event_type, user_id FROM events WHERE event_type = 'view'""",
+SELECT event_id, NULL::TIMESTAMP, NULL::DOUBLE, event_type, user_id FROM events""",
           ids=("S-3",))
 def union_by_name(spark, sf_dir):
+    """Two feeds of all events with different columns, in different order."""
     e = read_table(spark, sf_dir, "events")
-    a = e.filter(F.col("event_type") == "click").select("event_id", "ts", "value")
-    b = e.filter(F.col("event_type") == "view").select("user_id", "event_type", "event_id")
+    a = e.select("event_id", "ts", "value")
+    b = e.select("user_id", "event_type", "event_id")
     return _union([a, b]).select("event_id", "ts", "value", "event_type", "user_id")
 
 

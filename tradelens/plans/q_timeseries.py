@@ -156,8 +156,8 @@ def drop_invalid_driver_rows(spark, sf_dir):
           .crossJoin(F.broadcast(allmean))
           .select("year", "state", (F.col("__avg") / 1000).alias("rainfall_mm"),
                   (F.col("__avg") / F.col("__all") * 100 - 100).alias("lpa_pct")))
-    bad = D.invalid_driver_rows(a, ["rainfall_mm", "lpa_pct"])
-    good = a.join(bad.select("year", "state"), ["year", "state"], "left_anti")
+    positive = ["rainfall_mm", "lpa_pct"]
+    good = D.validate_annual(D.valid_driver_rows(a, positive), ["year", "state", *positive], positive)
     return good.select("year", "state", fround("rainfall_mm", 6).alias("rainfall_mm"),
                        fround("lpa_pct", 6).alias("lpa_pct"))
 

@@ -1,8 +1,9 @@
 """Star-schema maintenance bound to the test tables.
 
-Dimension 'country' = customer nation (iso 'Nxx'); the updates of the
-upsert tests are the (market, brand) totals of the last full year (2000)
-applied to a target built from the first year (1995).
+Dimension 'country' = customer nation (iso 'Nxx').  The upserts apply the
+(buyer, brand) totals of the lines that were not returned to a target built
+from the returned and the annual ones: together the whole fact, with keys in
+either part alone and in both.
 """
 
 from __future__ import annotations
@@ -11,7 +12,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tradelens.functions.dates import years_between
 from tradelens.operators import warehouse as W
 from tradelens.plans.q_marts import _cat_sql, products
 from tradelens.plans.registry import register
@@ -67,40 +67,46 @@ def fk_resolve(spark, sf_dir):
     return check.select("rows", "null_product_id", "null_country_id").crossJoin(n_time)
 
 
-def _year_totals(spark, sf_dir, year):
-    t = trade(spark, sf_dir).filter(years_between("shipment_date", year, year))
-    return t.groupBy("market", "brand").agg(F.sum("value").cast("double").alias("total"),
-                                            F.count("*").alias("n_rows"))
+KEY = ["buyer", "brand"]
 
 
-YEAR_SQL = (
-    """tg AS (SELECT market, brand, CAST(sum(value) AS DOUBLE) AS total, count(*) AS n_rows
-             FROM trade WHERE year(shipment_date) = 1995 GROUP BY 1, 2)""",
-    """up AS (SELECT market, brand, CAST(sum(value) AS DOUBLE) AS total, count(*) AS n_rows
-             FROM trade WHERE year(shipment_date) = 2000 GROUP BY 1, 2)""",
+def _loads(spark, sf_dir):
+    """(target, updates): totals per key of the first and of the second load."""
+    t = trade(spark, sf_dir)
+    second = F.col("l_returnflag") == "N"
+
+    def totals(rows):
+        return rows.groupBy(*KEY).agg(F.sum("value").cast("double").alias("total"), F.count("*").alias("n_rows"))
+
+    return totals(t.filter(~second)), totals(t.filter(second))
+
+
+LOAD_SQL = (
+    """tg AS (SELECT buyer, brand, CAST(sum(value) AS DOUBLE) AS total, count(*) AS n_rows
+             FROM trade WHERE l_returnflag <> 'N' GROUP BY 1, 2)""",
+    """up AS (SELECT buyer, brand, CAST(sum(value) AS DOUBLE) AS total, count(*) AS n_rows
+             FROM trade WHERE l_returnflag = 'N' GROUP BY 1, 2)""",
 )
 
 
 @register("upsert_market", with_trade("""
-SELECT coalesce(u.market, t.market) AS market, coalesce(u.brand, t.brand) AS brand,
-       CASE WHEN u.market IS NOT NULL THEN u.total ELSE t.total END AS total,
-       CASE WHEN u.market IS NOT NULL THEN u.n_rows ELSE t.n_rows END AS n_rows,
-       CASE WHEN t.market IS NOT NULL AND u.market IS NOT NULL THEN 'updated'
-            WHEN u.market IS NOT NULL THEN 'inserted' ELSE 'kept' END AS status
-FROM tg t FULL OUTER JOIN up u ON t.market = u.market AND t.brand = u.brand""", *YEAR_SQL),
+SELECT coalesce(u.buyer, t.buyer) AS buyer, coalesce(u.brand, t.brand) AS brand,
+       CASE WHEN u.buyer IS NOT NULL THEN u.total ELSE t.total END AS total,
+       CASE WHEN u.buyer IS NOT NULL THEN u.n_rows ELSE t.n_rows END AS n_rows,
+       CASE WHEN t.buyer IS NOT NULL AND u.buyer IS NOT NULL THEN 'updated'
+            WHEN u.buyer IS NOT NULL THEN 'inserted' ELSE 'kept' END AS status
+FROM tg t FULL OUTER JOIN up u ON t.buyer = u.buyer AND t.brand = u.brand""", *LOAD_SQL),
           ids=("S-14",))
 def upsert_market(spark, sf_dir):
-    return W.upsert(_year_totals(spark, sf_dir, 1995), _year_totals(spark, sf_dir, 2000),
-                    ["market", "brand"], status_col="status")
+    return W.upsert(*_loads(spark, sf_dir), KEY, status_col="status")
 
 
 @register("insert_absent", with_trade("""
 SELECT * FROM tg UNION ALL
-SELECT * FROM up WHERE NOT EXISTS (SELECT 1 FROM tg WHERE tg.market = up.market AND tg.brand = up.brand)""",
-    *YEAR_SQL), ids=("S-15",))
+SELECT * FROM up WHERE NOT EXISTS (SELECT 1 FROM tg WHERE tg.buyer = up.buyer AND tg.brand = up.brand)""",
+    *LOAD_SQL), ids=("S-15",))
 def insert_absent(spark, sf_dir):
-    return W.insert_absent(_year_totals(spark, sf_dir, 1995), _year_totals(spark, sf_dir, 2000),
-                           ["market", "brand"])
+    return W.insert_absent(*_loads(spark, sf_dir), KEY)
 
 
 @register("dim_product", f"""
@@ -112,21 +118,14 @@ def dim_product(spark, sf_dir):
 
 
 @register("surrogate_keys", with_trade("""
-SELECT market, brand, CAST(row_number() OVER (ORDER BY market, brand) AS BIGINT) AS key_id
-FROM (SELECT DISTINCT market, brand FROM trade WHERE year(shipment_date) = 1995)
+SELECT buyer, brand, CAST(row_number() OVER (ORDER BY buyer, brand) AS BIGINT) AS key_id FROM tg
 UNION ALL
-SELECT market, brand, (SELECT count(*) FROM (SELECT DISTINCT market, brand FROM trade
-                                             WHERE year(shipment_date) = 1995))
-                      + CAST(row_number() OVER (ORDER BY market, brand) AS BIGINT)
-FROM (SELECT DISTINCT market, brand FROM trade WHERE year(shipment_date) > 1995
-      EXCEPT SELECT DISTINCT market, brand FROM trade WHERE year(shipment_date) = 1995)"""),
-          ids=("K-4",))
+SELECT buyer, brand, (SELECT count(*) FROM tg) + CAST(row_number() OVER (ORDER BY buyer, brand) AS BIGINT)
+FROM (SELECT buyer, brand FROM up EXCEPT SELECT buyer, brand FROM tg)""", *LOAD_SQL), ids=("K-4",))
 def surrogate_keys(spark, sf_dir):
-    t = trade(spark, sf_dir)
-    first = t.filter(F.year("shipment_date") == 1995).select("market", "brand").distinct()
-    existing = W.assign_surrogate_keys(first, ["market", "brand"], "key_id")
-    later = t.filter(F.year("shipment_date") > 1995).select("market", "brand")
-    return W.extend_dimension(existing, later, ["market", "brand"], "key_id")
+    first, second = _loads(spark, sf_dir)
+    existing = W.assign_surrogate_keys(first.select(*KEY), KEY, "key_id")
+    return W.extend_dimension(existing, second.select(*KEY), KEY, "key_id")
 
 
 @register("buyer_dim", with_trade(f"""
