@@ -121,7 +121,10 @@ def expectation_suite(spark, sf_dir):
                       "unexpected_count", "unexpected_percent")
 
 
-@register("suite_summary", None, ids=("S-18", "Q-9"))
+@register("suite_summary", f"""
+SELECT count(*) AS n_expectations, CAST(count_if(success) AS BIGINT) AS success_count,
+       CAST(count_if(NOT success) AS BIGINT) AS failure_count, count_if(NOT success) = 0 AS overall_success
+FROM ({_suite_sql()})""", ids=("S-18", "Q-9"))
 def suite_summary(spark, sf_dir):
     return Q.summary(Q.run_suite(clean_like(spark, sf_dir), binding_suite()))
 
