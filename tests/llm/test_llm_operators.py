@@ -278,6 +278,22 @@ def test_personal_data(docs, none, spark):
     assert pii.digest(docs).count() == len(ROWS) and pii.digest(none).collect() == []
 
 
+def test_addresses_with_zero_parts(spark):
+    g = random.Random(9)
+    parts = ["0", "00", "000", "007", "0255", "0256", "10.0.0.1", "0.0.0.0", "127.0.0.1", "1", "255", "256", ".", ".", ".", " "]
+    texts = ["".join(g.choice(parts) for _ in range(g.randint(1, 15))) for _ in range(400)]
+    texts += ["10.0.0.1", "127.0.0.1 192.168.0.1", "0" * 4_000 + ".0.0.0", "0" * 4_000 + "256.0.0.0"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = 0
+    for r in pii.digest(docs).collect():
+        spans = brute.personal(texts[r.doc_id])
+        base = ",".join(f"{k}:{a}:{b}" for k, x in spans.items() for a, b in x)
+        assert r.n_ip == len(spans["ip"]) and r.base_sha256 == brute.sha(base.encode()), texts[r.doc_id]
+        found += r.n_ip
+    assert found > 100
+    assert {r.text for r in pii.redact(docs.where("doc_id = 400"), ["doc_id"]).collect()} == {"[IP]"}
+
+
 def test_contexts_discover_identifiers(spark):
     g = random.Random(6)
     rows = [f'see token = "{"".join(g.choice("0123456789abcdef") for _ in range(38))}a1" here {i}' for i in range(30)]

@@ -35,7 +35,7 @@ EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[ -]?[0-9])++"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
-PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: An identifier-shaped token.
 TOKEN = r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]{0,64}[0-9][A-Za-z_-]{0,64}[0-9])[A-Za-z0-9_-]{8,64}(?![A-Za-z0-9_-])"
 SECRET = r"^(?=[0-9]*[a-f])(?=[a-f]*[0-9])[0-9a-f]{32,64}$"
