@@ -19,6 +19,8 @@ from tradelens.llm import jaccard, packing, pii, quality, substring_dedup
 from tradelens.llm.frames import prepare, stored, text_key
 from tradelens.llm.q_tokens import tokenizer_path
 
+#: Near copies: sets of five-word shingles at least 0.8 alike (op5_jaccard_join has numbers of its own).
+NEAR = jaccard.Rule(words=5, percent=80)
 #: Learned scores, FM-index search and packing have no SQL form; see tests/llm.
 ORACLE_SQL = None
 
@@ -39,9 +41,9 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least doc_id of every group that the n-gram Jaccard join links."""
+    """The document of least doc_id of every group that the n-gram Jaccard join links under ``NEAR``."""
     prepare(spark)
-    first = jaccard.link(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct()
+    first = jaccard.link(docs, NEAR).where("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct()
     kept = docs.join(first, F.col("doc_id") == F.col("_first"), "left_semi").dropDuplicates(["doc_id"])
     return kept.union(docs.where("doc_id is null"))
 

@@ -373,6 +373,27 @@ def test_pipeline_stage_decisions(spark):
             assert r.text == dict(ROWS)[r.doc_id]
 
 
+def test_pipeline_near_copies_rule(spark, monkeypatch):
+    """Pairs on both sides of 0.8 on five-word shingles, many of them below 0.85 on four."""
+    g, texts = random.Random(12), []
+    for i in range(24):
+        words = [f"w{i}x{j}" for j in range(200)]
+        texts.append(words)
+        texts.append(words + [f"v{i}x{j}" for j in range(30 + i)])
+        edited = list(words)
+        for j in g.sample(range(5, 195, 10), 3 + i % 4):
+            edited[j] = "e"
+        texts.append(edited)
+    rows = [(i, " ".join(t), "en", "s", 1) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    pairs = [r[:2] for r in rows]
+    narrow = [c for _, c in brute.jaccard_components(pairs)]
+    monkeypatch.setattr(brute.shingles, "__defaults__", (5,))
+    wide = [c for _, c in brute.jaccard_components(pairs, 80)]
+    kept = {r.doc_id for r in corpus_pipeline.near_copies(spark, docs, "").collect()}
+    assert wide != narrow and kept == {i for i, c in enumerate(wide) if i == c}
+
+
 def test_queries_are_registered():
     names = list(registry.load_all())
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
