@@ -242,6 +242,25 @@ def test_quality_learns(spark, none):
     assert {r.score for r in quality.classify(docs, labels.limit(0)).collect()} == {0.5}
 
 
+def test_quality_learns_from_whole_texts(spark, monkeypatch):
+    """Junk that begins after 17,000 characters; the bound of bytes takes fewer rows, all whole."""
+    g = random.Random(13)
+    word = lambda: "".join(g.choice("abcdefgh") for _ in range(g.randint(2, 8)))
+    prefix = " ".join(word() for _ in range(3500))[:17_000]
+    rows = [(i, prefix + " " + " ".join(word() + "$$$" * (i % 2) for _ in range(500))) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i, _ in rows], "doc_id long, quality int")
+    got = [r for r in quality.classify(docs, labels, quality.Params(batch=8, threshold=0.5)).collect() if r.held_out]
+    assert len(got) > 10 and sum(r.predicted == 1 - r.doc_id % 2 for r in got) > 0.9 * len(got)
+    taken = []
+    monkeypatch.setattr(quality.ByteCNN, "fit", lambda self, texts, y: taken.append(texts) or self)
+    quality.train(docs, labels, quality.Params())
+    quality.train(docs, labels, quality.Params(sample_bytes=100_000))
+    whole = {t.encode() for _, t in rows}
+    assert set(taken[0]) | set(taken[1]) <= whole and len(taken[0]) == 120 - len(got)
+    assert 100_000 <= sum(map(len, taken[1])) < 100_000 + max(map(len, whole))
+
+
 def test_quality_gradients():
     p = quality.Params(embed=2, width=3, stride=2, filters=3, chunk=4, hop=3, hidden=2)
     net = quality.ByteCNN(p)

@@ -6,9 +6,10 @@ and the chunks' pooled values are combined (their mean, maximum and minimum)
 by a small dense layer into one probability of label 1.  Gradients flow only
 through the pooled maxima, so training costs little more than scoring.
 
-The network is fitted on the driver from a bounded sample of labelled rows
-(``Params.sample`` documents, ``Params.sample_chars`` characters of each);
-every whole text is scored, a task at a time, in slices of bounded size.
+The network is fitted on the driver from the whole texts of a bounded sample of
+labelled rows: at most ``Params.sample``, and fewer once they hold
+``Params.sample_bytes``.  Every whole text is scored, a task at a time, in
+slices of bounded size.
 
 Defined cases: null text is empty; an empty text is scored as one window of zero
 bytes; labels that are null, not 0 or 1, or contradict each other for one
@@ -32,10 +33,10 @@ from tradelens.llm import scan
 
 @dataclass(frozen=True)
 class Params:
-    """``sample``, ``sample_chars``: the bound of what is learned from."""
+    """``sample``, ``sample_bytes``: the bound of what is learned from, in whole texts."""
 
     sample: int = 4000
-    sample_chars: int = 16_384
+    sample_bytes: int = 64 << 20
     embed: int = 6
     width: int = 8
     stride: int = 4
@@ -154,21 +155,28 @@ def held_out(doc_id) -> F.Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> ByteCNN | None:
-    """Fit on at most ``p.sample`` labelled documents, chosen by the hash of their id."""
+    """Fit on whole labelled documents in the order of their ids' hash, until ``p.sample`` rows or ``p.sample_bytes`` are reached."""
     agreed = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
               .where("doc_id is not null and quality in (0, 1)").where(~held_out(F.col("doc_id")))
               .groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most"))
               .where("quality = most").select("doc_id", "quality"))
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     sample = agreed.join(known, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(p.sample)
-    text = F.substring(F.coalesce(F.col("text"), F.lit("")), 1, p.sample_chars)
-    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-            .join(F.broadcast(sample), "doc_id")  # at most p.sample pairs of numbers
-            .groupBy("doc_id").agg(F.min("text").alias("text"), F.first("quality").alias("quality"))
-            .orderBy("doc_id").collect())
+    text = F.coalesce(F.col("text"), F.lit(""))
+    found = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+             .join(F.broadcast(sample), "doc_id")  # at most p.sample pairs of numbers
+             .groupBy("doc_id").agg(F.min("text").alias("text"), F.first("quality").alias("quality"))
+             .orderBy(F.xxhash64("doc_id"), "doc_id"))
+    rows, size = [], 0
+    for r in found.toLocalIterator():  # a partition at a time; the row that reaches the bound is still whole
+        rows.append((r["doc_id"], r["text"].encode(), r["quality"]))
+        size += len(rows[-1][1])
+        if size >= p.sample_bytes:
+            break
     if not rows:
         return None
-    return ByteCNN(p).fit([r["text"].encode() for r in rows], np.array([r["quality"] for r in rows], np.float32))
+    rows.sort()
+    return ByteCNN(p).fit([text for _, text, _ in rows], np.array([label for _, _, label in rows], np.float32))
 
 
 def score(docs: DataFrame, model: ByteCNN | None, columns: list[str], name: str = "score") -> DataFrame:
