@@ -2,7 +2,9 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
+from itertools import permutations
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 KINDS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
@@ -101,3 +103,78 @@ def grouped(rows, key):
     for r in rows:
         out[r[key]].append(r)
     return out
+
+
+def periodic_runs(words, least=6, exponent=4):
+    """(start, length, period) of every maximal run, by start, then period."""
+    out = set()
+    for q in range(1, len(words) // exponent + 1):
+        i = 0
+        while i + q < len(words):
+            j = i
+            while j + q < len(words) and words[j] == words[j + q]:
+                j += 1
+            if j + q - i >= max(least, exponent * q) and not any(
+                    all(words[x] == words[x + p] for x in range(i, j + q - p)) for p in range(1, q)):
+                out.add((i, j + q - i, q))
+            i = j + 1
+    return sorted(out)
+
+
+def edited_words(doc_id, text):
+    w = WORD.findall(text or "")
+    h = zlib.crc32(str(doc_id).encode())
+    g, n = h // 10, len(w)
+    if doc_id is None or h % 10 or not n:
+        return w
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return w[:a] + [w[a + (i - a) % p] for i in range(a, n)]
+
+
+def runs_digest(doc_id, text):
+    w = edited_words(doc_id, text)
+    runs = periodic_runs(w)
+    best = min(runs, key=lambda r: (-r[1], r[0], r[2]), default=None)
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    return (doc_id, len(runs), *(best or (None, None, None)), best and 1000 * best[1] // best[2],
+            sha("".join("%d,%d,%d\n" % r for r in runs).encode()), sha(" ".join(x for i, x in enumerate(w) if i not in gone).encode()))
+
+
+def audit(rows, labels):
+    """rows of (doc_id, text, lang), labels {doc_id: (quality, toxic)} -> rows of the audit."""
+    first = {}
+    for d, t, _ in rows:
+        if d is not None:
+            first[t or ""] = min(first.get(t or "", d), d)
+    parts = defaultdict(list)
+    for d, t, lang in rows:
+        t = t or ""
+        w = WORD.findall(t)
+        failed = {f for f, bad in zip("ABCDE", (
+            len(w) < 100, 100 * len(set(w)) < 80 * len(w), 100 * len(re.findall("[A-Z]", t)) > 10 * len(t),
+            bool(re.search("[#$%&*|]", t)), d is not None and first[t] < d)) if bad}
+        parts[lang or ""].append((failed, *labels.get(d, (0, 0))))
+    out = []
+    for part, docs in parts.items():
+        shapley = Counter()
+        own = []
+        for order in permutations("ABCDE"):
+            left = docs
+            for step, f in enumerate(order, 1):
+                gone = [x for x in left if f in x[0]]
+                left = [x for x in left if f not in x[0]]
+                shapley[f] += len(gone)
+                own.append([part, "".join(order), step, len(left), len(gone), sum(f in x[0] for x in docs) - len(gone),
+                            sum(x[0] == {f} for x in docs), sum(x[1] == 1 for x in gone), sum(x[2] == 1 for x in gone)])
+        out += [(*x, shapley[x[1][x[2] - 1]]) for x in own]
+    return out
+
+
+def exact_copies(rows, largest=True):
+    groups = defaultdict(list)
+    for i, (d, t) in enumerate(rows):
+        groups[t or ""].append((d is not None, (d or 0) if largest else -(d or 0), -i))
+    stays = {t: max(g) for t, g in groups.items()}
+    return [(d, rows[-stays[t or ""][2]][0], len(groups[t or ""]), -stays[t or ""][2] == i, sha((t or "").encode()))
+            for i, (d, t) in enumerate(rows)]

@@ -8,7 +8,7 @@ from importlib import import_module
 QUERIES: dict[str, Callable] = {}
 SQL: dict[str, str] = {}
 
-MODULES = ("q_repeats", "q_tokens", "q_fingerprints", "q_vectors", "q_classify", "q_pii", "q_jaccard")
+MODULES = ("q_repeats", "q_tokens", "q_fingerprints", "q_vectors", "q_classify", "q_pii", "q_jaccard", "q_runs", "q_audit", "q_exact")
 
 
 def register(name: str, sql: str | None = None):

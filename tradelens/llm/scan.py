@@ -100,6 +100,17 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
     return mix(h + (ends - starts).astype(_U) * _LEVEL[61])
 
 
+def word_dictionary(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.DictionaryArray:
+    """The words numbered by their bytes."""
+    off = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(ends - starts, out=off[1:])
+    step = np.zeros(len(data) + 1, np.int8)
+    step[starts] += 1
+    step[ends] -= 1
+    packed = np.ascontiguousarray(data[np.cumsum(step[:-1], dtype=np.int8).astype(bool)])
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(off), pa.py_buffer(packed)]).dictionary_encode()
+
+
 def byte_values(data: np.ndarray) -> np.ndarray:
     return _BYTE[data]
 
