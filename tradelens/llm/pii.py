@@ -2,47 +2,52 @@
 
 Base spans come from one regular expression per kind and a check of every
 match.  Beyond them, identifier-shaped tokens (at least eight letters, digits,
-``_`` or ``-`` with two digits) and the two words before each form a graph of
-patterns and instances.  Seeds (card numbers, long hexadecimal secrets) score
-1; in each round a pattern scores the mean of its distinct instances, provided
-enough score supports it, and an instance the best of its patterns.  Instances
-that reach ``confidence`` are reported as kind ``id`` wherever they occur.
-
-All of it is DataFrame expressions.  Positions are code points: the pieces
-between matches and the matches themselves are measured and summed.
+``_`` or ``-`` with two digits, of any length) and base spans are instances; the
+two words before one are its pattern.  Seeds (every base span, and long
+hexadecimal secrets) are accepted from the start.  In each round a pattern
+scores the share of its distinct instances that are accepted; patterns that
+reach ``confidence`` with ``support`` accepted instances are trusted, and their
+instances accepted.  Rounds go on until no pattern is added.  Accepted tokens
+are reported as kind ``id`` wherever they occur.
+
+All of it is DataFrame expressions.  Positions are code points.  A text's
+matches become rows: the lengths of what lies between matches, and the matches
+themselves, are summed by a window over the text's rows, so the work grows in
+proportion to a text's matches.  Texts are rewritten in blocks.
 
 The expressions below are the stated ones, written so that Java's engine needs
 neither recursion nor quadratic time: possessive loops where what follows
-cannot match the loop's characters, and a start only where a run begins (or the
-match before ended).
+cannot match the loop's characters, a start only where a run begins (or the
+match before ended), and no match where the check on digits would drop it.
 
 Defined cases: null text is empty; texts without any match have zero counts and
 empty spans; repeated rows are reported each; an empty table gives an empty
-result; spans of kind ``id`` that touch a base span are dropped; further
-columns are ignored, whatever their names.
+result; tokens that touch a base span are no instances and not reported;
+further columns are ignored or carried along, whatever their names.
 """
 
 from __future__ import annotations
 
-import zlib
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradelens.llm.frames import stored, text_key
+from tradelens.llm.frames import packed_row, stored, text_key, unpacked_row
 
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
-CARD = r"[0-9](?:[ -]?[0-9])++"
+CARD = r"(?:(?<![0-9])(?<![0-9][ -])|\G)[0-9](?:[ -]?[0-9]){12,}+"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: An identifier-shaped token.
-TOKEN = r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]{0,64}[0-9][A-Za-z_-]{0,64}[0-9])[A-Za-z0-9_-]{8,64}(?![A-Za-z0-9_-])"
-SECRET = r"^(?=[0-9]*[a-f])(?=[a-f]*[0-9])[0-9a-f]{32,64}$"
-#: Bootstrapping: rounds, score that a pattern needs, and what counts as confident.
-ROUNDS, SUPPORT, CONFIDENCE = 3, 5.0, 0.8
+TOKEN = r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*+[0-9][A-Za-z_-]*+[0-9])[A-Za-z0-9_-]{8,}+"
+SECRET = r"^(?=[0-9]*[a-f])(?=[a-f]*[0-9])[0-9a-f]{32,}$"
+#: The last two words before a match, read backwards; digits and punctuation separate words.
+BEFORE = r"^[^\p{L}=:#]*+[\p{L}=:#]*+(?:[^\p{L}=:#]++[\p{L}=:#]++)?"
+#: Bootstrapping: accepted instances that a pattern needs, and their share.
+SUPPORT, CONFIDENCE = 5, 0.8
 KINDS = ("email", "ip", "card", "phone")
-SPAN = "array<struct<start:int,end:int,text:string,before:string>>"
+#: Code points of a block in which a text is rewritten.
+BLOCK = 4096
 
 
 def _digits(x: Column) -> Column:
@@ -57,124 +62,119 @@ def _luhn(x: Column) -> Column:
     return F.length(d).between(13, 19) & (total % 10 == 0)
 
 
-def matches(text: str, pattern: str, gate: Column, keep=None, before: bool = False) -> tuple[dict[str, Column], Column]:
-    """Columns to add first, then the array of spans (start, end, text, before) of a pattern's matches.
+def _holds(kind: Column, hit: Column) -> Column:
+    """Whether a match passes its kind's check."""
+    card = F.when(F.length(_digits(hit)).between(13, 19), _luhn(hit)).otherwise(False)
+    return (F.when(kind == "ip", hit.rlike(rf"^{PART}(?:\.{PART}){{3}}$")).when(kind == "card", card)
+            .when(kind == "phone", F.length(_digits(hit)).between(9, 15)).otherwise(True))
+
+
+def _matches(kind: str, regex: str, gate: str) -> Column:
+    """kind, and for every match: the code points since the one before, the pattern before it, and the match.
 
     ``gate``: a cheap test that every text with a match passes.
     """
-    name = f"_{zlib.crc32(pattern.encode()):x}"
-    found = F.when(gate, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
-    hit, cut = F.col(f"{name}h"), F.col(f"{name}c")
-    starts = F.aggregate(
-        F.sequence(F.lit(0), F.size(hit) - 1), F.array().cast("array<int>"),
-        lambda a, i: F.concat(a, F.array(F.length(cut[i]) + F.when(i == 0, 0).otherwise(
-            F.element_at(a, -1) + F.length(hit[F.greatest(i - 1, F.lit(0))])))))
-    at = F.col(f"{name}s")
-    left = (lambda i: cut[i]) if before else (lambda i: F.lit(None).cast("string"))
-    spans = F.transform(hit, lambda x, i: F.struct(
-        at[i].alias("start"), (at[i] + F.length(x)).alias("end"), x.alias("text"), left(i).alias("before")))
-    if keep is not None:
-        spans = F.filter(spans, lambda s: keep(s["text"]))
-    steps = {f"{name}h": found, f"{name}c": F.when(F.size(hit) > 0, F.split(text, pattern, -1)),
-             f"{name}s": F.when(F.size(hit) > 0, starts)}
-    return steps, F.when(F.size(hit) > 0, spans).otherwise(F.array().cast(SPAN))
-
-
-def _with_matches(df: DataFrame, name: str, pattern: str, gate: Column, keep=None, before: bool = False) -> DataFrame:
-    steps, spans = matches("text", pattern, gate, keep, before)
-    for column, value in steps.items():
-        df = df.withColumn(column, value)
-    return df.withColumn(name, spans).drop(*steps)
-
-
-def base_spans(df: DataFrame) -> DataFrame:
-    """Adds the arrays email, ip, card and phone to a frame with a non-null text."""
     text = F.col("text")
-    df = _with_matches(df, "email", EMAIL, text.contains("@"))
-    df = _with_matches(df, "ip", IP, text.rlike(r"[0-9]\.[0-9]"), lambda x: x.rlike(rf"^{PART}(?:\.{PART}){{3}}$"))
-    df = _with_matches(df, "card", CARD, text.rlike(r"[0-9][ -]?[0-9][ -]?[0-9]"),
-                       lambda x: F.length(_digits(x)).between(13, 19) & _luhn(x))
-    return _with_matches(df, "phone", PHONE, text.contains("+"), lambda x: F.length(_digits(x)).between(9, 15))
-
-
-def candidates(docs: DataFrame) -> DataFrame:
-    """key, start, end, token, pattern of every identifier-shaped token of the distinct texts."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(text_key(F.col("text")).alias("key"), text.alias("text"))
-    rows = _with_matches(rows, "tokens", TOKEN, F.col("text").rlike(r"[0-9][A-Za-z_-]{0,64}[0-9]"), before=True)
-    near = F.substring_index(F.regexp_replace(F.lower(F.col("t.before").substr(
-        F.greatest(F.length("t.before") - 119, F.lit(1)), F.lit(120))), r"[^\p{L}=:#]+", " "), " ", -4)
-    words = F.filter(F.split(near, " "), lambda w: w != "")
-    pattern = F.array_join(F.slice(words, F.greatest(F.size(words) - 1, F.lit(1)), F.lit(2)), " ")
-    return (rows.where(F.size("tokens") > 0).select("key", F.explode("tokens").alias("t"))
-            .select("key", "t.start", "t.end", F.col("t.text").alias("token"), pattern.alias("pattern")).distinct())
-
-
-def confident(found: DataFrame, rounds: int = ROUNDS, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
-    """token, score of the identifiers that seeds and patterns vouch for."""
-    edges = stored(found.select("pattern", "token").distinct(), "pii-edges")
-    seed = (F.col("token").rlike(SECRET) | (F.col("token").rlike("^[0-9]{13,19}$") & _luhn(F.col("token")))).cast("double")
-    score = edges.select("token").distinct().withColumn("score", seed)
-    for _ in range(rounds):
-        pattern = (edges.join(score, "token").groupBy("pattern")
-                   .agg(F.sum("score").alias("s"), F.count(F.lit(1)).alias("n")))
-        worth = F.when((F.col("s") >= support) & (F.col("pattern") != ""), F.col("s") / F.col("n")).otherwise(0.0)
-        best = (edges.join(pattern.select("pattern", worth.alias("worth")), "pattern")
-                .groupBy("token").agg(F.max("worth").alias("worth")))
-        score = stored(best.select("token", F.greatest("worth", seed).alias("score")), "pii-scores")
-    return score.where(F.col("score") >= confidence)
-
-
-def identifiers(docs: DataFrame) -> DataFrame:
-    """key, ids: the bootstrapped spans of every distinct text that has any."""
-    found = stored(candidates(docs), "pii-candidates")
-    return (found.join(confident(found).select("token"), "token").groupBy("key")
-            .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("ids")))
-
-
-def _apart(ids: Column, base: Column) -> Column:
-    return F.filter(F.coalesce(ids, F.array().cast("array<struct<start:int,end:int>>")),
-                    lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-
-
-def find(docs: DataFrame, columns: list[str], keep_text: bool = False) -> DataFrame:
-    """``columns``, the base arrays, and ids (bootstrapped spans apart from base spans)."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(*columns, text_key(F.col("text")).alias("_key"), text.alias("text"))
-    rows = base_spans(rows) if keep_text else base_spans(rows).drop("text")
-    every = F.flatten(F.array(*KINDS))
-    return (rows.join(identifiers(docs).withColumnRenamed("key", "_key"), "_key", "left").drop("_key")
-            .withColumn("ids", _apart(F.col("ids"), every)))
-
-
-def _named(kind: str, spans: str) -> Column:
-    return F.transform(spans, lambda s: F.concat_ws(":", F.lit(kind), s["start"], s["end"]))
-
-
-def _tagged(kind: str, spans: str) -> Column:
-    return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(kind).alias("kind")))
+    between = F.transform(F.split(text, regex, -1), lambda c: F.struct(
+        F.length(c).alias("skip"),
+        F.trim(F.regexp_replace(F.lower(F.reverse(F.regexp_extract(F.reverse(c), BEFORE, 0))), r"[^\p{L}=:#]+", " ")).alias("pattern")))
+    found = F.zip_with(between, F.regexp_extract_all(text, F.lit(regex), F.lit(0)), lambda c, hit: F.struct(
+        c["skip"].alias("skip"), c["pattern"].alias("pattern"), hit.alias("hit")))
+    return F.struct(F.lit(kind).alias("kind"), F.when(text.rlike(gate) & text.rlike(regex), found).alias("found"))
+
+
+def occurrences(docs: DataFrame) -> DataFrame:
+    """key, kind (a base kind or ``token``), start, end, hit, pattern of the distinct texts; tokens apart from base spans."""
+    rows = docs.select(text_key(F.col("text")).alias("key"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    kinds = F.array(_matches("email", EMAIL, "@"), _matches("ip", IP, r"[0-9]\.[0-9]"), _matches("card", CARD, "[0-9][ -]?[0-9][ -]?[0-9]"),
+                    _matches("phone", PHONE, r"\+[0-9]"), _matches("token", TOKEN, "[0-9][A-Za-z_-]*+[0-9]"))
+    each = rows.select("key", F.inline(kinds)).select("key", "kind", F.posexplode("found").alias("i", "m"))
+    each = each.select("key", "kind", "i", "m.skip", "m.hit", "m.pattern").where("hit is not null").distinct().repartition("key")
+    so_far = Window.partitionBy("key", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    each = (each.withColumn("end", F.sum(F.col("skip") + F.length("hit")).over(so_far))
+            .withColumn("start", F.col("end") - F.length("hit")).where(_holds(F.col("kind"), F.col("hit"))))
+    base = F.col("kind") != "token"
+    places = ("start", "end", "kind")
+    onwards = Window.partitionBy("key").orderBy(*places).rowsBetween(Window.unboundedPreceding, 0)
+    backwards = Window.partitionBy("key").orderBy(*(F.desc(c) for c in places)).rowsBetween(Window.unboundedPreceding, 0)
+    reach = F.max(F.when(base, F.col("end"))).over(onwards)
+    ahead = F.min(F.when(base, F.col("start"))).over(backwards)
+    touched = F.coalesce(reach > F.col("start"), F.lit(False)) | F.coalesce(ahead < F.col("end"), F.lit(False))
+    return each.withColumn("touched", touched).where(base | ~F.col("touched")).select("key", "kind", "start", "end", "hit", "pattern")
+
+
+def accepted(found: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
+    """hit: the tokens among ``found`` that trusted patterns vouch for, and the secrets."""
+    seed = (F.col("kind") != "token") | F.col("hit").rlike(SECRET)
+    edges = stored(found.select("pattern", "hit", seed.alias("seed")).groupBy("pattern", "hit").agg(F.max("seed").alias("seed")), "pii-edges")
+    trusted, count = stored(edges.select("pattern").limit(0), "pii-patterns"), 0
+    while True:
+        by_pattern = edges.join(trusted, "pattern", "left_semi").select("hit")
+        known = stored(edges.where("seed").select("hit").union(by_pattern).distinct(), "pii-accepted")
+        scored = (edges.join(known.withColumn("known", F.lit(1)), "hit", "left").groupBy("pattern")
+                  .agg(F.count("known").alias("s"), F.count(F.lit(1)).alias("n")))
+        trusted = stored(scored.where((F.col("pattern") != "") & (F.col("s") >= support) & (F.col("s") >= confidence * F.col("n")))
+                         .select("pattern"), "pii-patterns")
+        before, count = count, trusted.count()
+        if count == before:
+            return known
+
+
+def all_spans(docs: DataFrame) -> DataFrame:
+    """key, kind, start, end of every span of the distinct texts; bootstrapped ones have kind ``id``."""
+    found = stored(occurrences(docs), "pii-occurrences")
+    tokens = found.where("kind = 'token'").join(accepted(found), "hit", "left_semi")
+    return (found.where("kind <> 'token'").select("key", "kind", "start", "end")
+            .union(tokens.select("key", F.lit("id").alias("kind"), "start", "end")))
 
 
 def digest(docs: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans."""
-    base = F.concat(*[_named(k, k) for k in KINDS])
-    return find(docs, ["doc_id"]).select(
-        "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS],
-        F.sha2(F.array_join(base, ","), 256).alias("base_sha256"),
-        F.array_join(F.concat(base, _named("id", "ids")), ",").alias("spans"))
+    order = F.array_position(F.array(*map(F.lit, (*KINDS, "id"))), F.col("kind")).alias("order")
+    by_text = stored(all_spans(docs).groupBy("key").agg(
+        F.array_sort(F.collect_list(F.struct(order, "start", "end", "kind"))).alias("found"),
+        *[F.count(F.when(F.col("kind") == k, 1)).alias(f"n_{k}") for k in KINDS]), "pii-texts")
+    name = F.transform("found", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+    n_base = sum((F.col(f"n_{k}") for k in KINDS[1:]), F.col(f"n_{KINDS[0]}")).cast("int")
+    rows = docs.select("doc_id", text_key(F.col("text")).alias("key")).join(by_text.withColumn("name", name), "key", "left")
+    return rows.select(
+        "doc_id", *[F.coalesce(f"n_{k}", F.lit(0).cast("long")).alias(f"n_{k}") for k in KINDS],
+        F.sha2(F.coalesce(F.array_join(F.slice("name", F.lit(1), n_base), ","), F.lit("")), 256).alias("base_sha256"),
+        F.coalesce(F.array_join("name", ","), F.lit("")).alias("spans"))
+
+
+def redacted(docs: DataFrame) -> DataFrame:
+    """key, text of the distinct texts that hold spans, every span replaced by its kind in brackets."""
+    spans = all_spans(docs)
+    before = Window.partitionBy("key").orderBy("start", "end", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    done = F.coalesce(F.max("end").over(before), F.lit(0))  # a span that reaches into one before it is not named, only removed
+    spans = stored(spans.withColumn("from", F.greatest("start", done)).withColumn("named", F.col("start") >= done)
+                   .where("from < end"), "pii-spans")
+    block = spans.select("key", F.explode(F.sequence(F.floor(F.col("from") / BLOCK), F.floor((F.col("end") - 1) / BLOCK))).alias("b"),
+                         "from", "end", "kind", "named")
+    cut = block.select("key", "b", F.struct(
+        F.greatest(F.col("from") - F.col("b") * BLOCK, F.lit(0)).cast("int").alias("from"),
+        F.least(F.col("end") - F.col("b") * BLOCK, F.lit(BLOCK)).cast("int").alias("to"),
+        F.when(F.col("named") & (F.col("from") >= F.col("b") * BLOCK), F.concat(F.lit("["), F.upper("kind"), F.lit("]")))
+        .otherwise("").alias("name")).alias("cut"), F.lit(None).cast("string").alias("block"))
+
+    rows = docs.select(text_key(F.col("text")).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = rows.join(spans.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    pieces = texts.select("key", F.posexplode(F.regexp_extract_all("text", F.lit(r"(?s).{1,%d}+" % BLOCK), F.lit(0))).alias("b", "block"))
+    both = cut.unionByName(pieces.select("key", F.col("b").cast("long").alias("b"), F.lit(None).cast(cut.schema["cut"].dataType).alias("cut"), "block"))
+    blocks = both.groupBy("key", "b").agg(F.array_sort(F.collect_list("cut")).alias("cuts"), F.max("block").alias("block"))
+    walk = F.aggregate(
+        "cuts", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+        lambda a, s: F.struct(s["to"].alias("at"), F.concat(
+            a["out"], F.substr("block", a["at"] + 1, s["from"] - a["at"]), s["name"]).alias("out")),
+        lambda a: F.concat(a["out"], F.substr("block", a["at"] + 1, F.lit(BLOCK))))
+    whole = blocks.select("key", F.struct("b", walk.alias("out")).alias("p")).groupBy("key").agg(F.array_sort(F.collect_list("p")).alias("p"))
+    return whole.select("key", F.array_join(F.transform("p", lambda x: x["out"]), "").alias("text"))
 
 
 def redact(docs: DataFrame, columns: list[str]) -> DataFrame:
     """``columns`` and text with every span replaced by its kind in brackets; null text stays null."""
-    rows = find(docs, [*columns, F.col("text").isNull().alias("_null")], keep_text=True)
-    tagged = F.array_sort(F.concat(*[_tagged(k, k) for k in KINDS], _tagged("id", "ids")))
-    walk = F.aggregate(
-        tagged, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda a, s: F.struct(
-            F.greatest(a["at"], s["end"]).alias("at"),
-            F.when(s["start"] >= a["at"], F.concat(a["out"], F.substr("text", a["at"] + 1, s["start"] - a["at"]),
-                                                   F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise(a["out"]).alias("out")),
-        lambda a: F.concat(a["out"], F.substr("text", a["at"] + 1, F.length("text"))))
-    text = F.when(F.col("_null"), F.lit(None)).when(F.size(F.col("_tagged")) == 0, F.col("text")).otherwise(F.col("_walked"))
-    return (rows.withColumn("_tagged", tagged).withColumn("_walked", walk).withColumn("text", text)
-            .select(*columns, "text"))
+    clean = stored(redacted(docs).withColumnRenamed("text", "clean"), "pii-redacted")
+    rows = docs.select(packed_row(columns), text_key(F.col("text")).alias("key"), "text")
+    return rows.join(clean, "key", "left").select(
+        *unpacked_row(columns), F.when(F.col("text").isNotNull(), F.coalesce("clean", "text")).alias("text"))
