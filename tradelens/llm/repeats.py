@@ -36,10 +36,14 @@ _SPAN = pa.schema([("key", pa.binary()), ("start", pa.int32()), ("end", pa.int32
 
 @dataclass(frozen=True)
 class Symbols:
-    """How a text becomes symbols: ``read`` gives (symbol buffer, hash values, offsets by document)."""
+    """How a text becomes symbols: ``read`` gives (cut, hash values, offsets by document).
+
+    ``cut(a, b)`` are the bytes of symbols a to b, equal if and only if the
+    symbols are; ``length`` counts the symbols in such bytes.
+    """
 
     read: Callable
-    size: int  # bytes of one symbol in a context
+    length: Callable
     window: int
     k: int
 
@@ -56,14 +60,20 @@ class Context:
 
 def read_bytes(arr: pa.Array):
     data, off = scan.string_bytes(arr)
-    return data, scan.byte_values(data), off
+    raw = data.tobytes()
+    return lambda a, b: raw[a:b], scan.byte_values(data), off
 
 
 def read_words(arr: pa.Array):
     data, off = scan.string_bytes(arr)
     starts, ends, by_doc = scan.words(data, off)
-    h = scan.word_hashes(data, starts, ends, lower=False)
-    return h, h, by_doc
+    raw, at = scan.joined_words(data, starts, ends)
+    return lambda a, b: raw[at[a]:at[b] - 1], scan.word_hashes(data, starts, ends, lower=False), by_doc
+
+
+def count_words(ctx: bytes) -> int:
+    """Words of bytes cut by ``read_words``."""
+    return ctx.count(b" ") + 1
 
 
 def _counts(sym: Symbols):
@@ -91,11 +101,11 @@ def _places(sym: Symbols):
 
 def _contexts(sym: Symbols):
     """Contexts of the anchors listed in ``marks`` (place * 2 + hot), equal ones merged per slice."""
-    size, window = sym.size, sym.window
+    window = sym.window
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (p for b in batches for p in scan.slices(b)):
-            buf, values, off = sym.read(part.column("text"))
+            cut, values, off = sym.read(part.column("text"))
             doc, place, first, last, h = scan.anchors(values, off, sym.window, sym.k)
             marks = part.column("marks")
             owner = np.repeat(np.arange(part.num_rows), np.diff(marks.offsets.to_numpy()))
@@ -103,11 +113,11 @@ def _contexts(sym: Symbols):
             want = off[owner] + (mark >> 1)
             pick = np.searchsorted(place, np.sort(want))
             hot = (mark & 1)[np.argsort(want, kind="stable")]
-            raw, keys, count = buf.tobytes(), part.column("key").to_pylist(), part.column("n").to_pylist()
+            keys, count = part.column("key").to_pylist(), part.column("n").to_pylist()
             out: dict[tuple, Context] = {}
 
             def put(group, a, b, d, p, o):
-                text = raw[a * size:b * size]
+                text = cut(a, b)
                 c = out.get((group, text, o))
                 if c is None:
                     c = out[(group, text, o)] = Context(text, o, 0, [])
@@ -151,15 +161,14 @@ class Spans:
 
 def _judged(sym: Symbols, make_judge: Callable):
     """Stream the sorted contexts of a partition, group by group, through a judge."""
-    size = sym.size
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans, judge = Spans(), make_judge(sym)
         group, held, current = None, [], None
 
         def whole(c: Context) -> None:
+            n = sym.length(c.ctx)
             for key, pos in c.occ:
-                spans.add(key, pos - c.off, pos - c.off + len(c.ctx) // size)
+                spans.add(key, pos - c.off, pos - c.off + n)
 
         for b in batches:
             cols = [b.column(i).to_pylist() for i in range(b.num_columns)]

@@ -25,21 +25,11 @@ def _odd(seed: str, n: int) -> np.ndarray:
 
 
 _BYTE = _odd("byte", 256)
-_LOWER = _BYTE.copy()
-_LOWER[65:91] = _BYTE[97:123]
 _LEVEL = _odd("level", 64)
-_BASE = _odd("base", 1)[0]
-_BASE_INV = _U(pow(int(_BASE), -1, 1 << 64))
-_POW = np.ones(1, _U), np.ones(1, _U)
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64 (kept, grown on demand)."""
-    global _POW
-    if len(_POW[0]) < n:
-        m = max(n, SLICE_BYTES + 1)
-        _POW = tuple(np.concatenate([np.ones(1, _U), np.full(m, b, _U)]).cumprod() for b in (_BASE, _BASE_INV))
-    return _POW[0][:n], _POW[1][:n]
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[65:91] += 32
+#: Bytes up to which a word is hashed by its eight-byte blocks; longer ones go through a library hash.
+LONG_WORD = 128
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -90,24 +80,57 @@ def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool) -> np.ndarray:
-    """A 64-bit hash of each word's bytes (A-Z lower-cased first if ``lower``)."""
+    """A 64-bit hash of each word's bytes (A-Z lower-cased first if ``lower``).
+
+    Every block of eight bytes passes a bijective finaliser before the next is
+    added, so words of one length that differ in one block never collide, and
+    no pattern of letters cancels out.
+    """
     if not len(starts):
         return np.empty(0, _U)
-    power, inverse = _powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, _U)
-    np.cumsum((_LOWER if lower else _BYTE)[data] * power[:len(data)], out=total[1:])
-    h = (total[ends] - total[starts]) * inverse[starts]
-    return mix(h + (ends - starts).astype(_U) * _LEVEL[61])
+    if lower:
+        data = _FOLD[data]
+    size = ends - starts
+    h = mix(size.astype(_U) * _LEVEL[61])
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    blocks = np.lib.stride_tricks.as_strided(padded[:8].view(_U), (len(data) + 1,), (1,))  # eight bytes from any place on
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(data[starts[i]:ends[i]].tobytes(), digest_size=8).digest(), "little")
+    live, done = np.flatnonzero(size <= LONG_WORD), 0
+    while len(live):
+        left = size[live] - done
+        block = blocks[starts[live] + done]
+        short = left < 8
+        block[short] &= (_U(1) << (left[short].astype(_U) * _U(8))) - _U(1)
+        h[live] = mix(h[live] ^ block)
+        live, done = live[left > 8], done + 8
+    return h
+
+
+def _inside(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which of n bytes lie in a word."""
+    step = np.zeros(n + 1, np.int8)
+    step[starts] += 1
+    step[ends] -= 1
+    return np.cumsum(step[:-1], dtype=np.int8).astype(bool)
+
+
+def joined_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """All words, one space after each, and the place where each begins (one more at the end)."""
+    size = ends - starts
+    at = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(size + 1, out=at[1:])
+    out = np.full(at[-1], 32, np.uint8)
+    inside = data[_inside(len(data), starts, ends)]
+    out[np.arange(len(inside)) + np.repeat(np.arange(len(starts)), size)] = inside
+    return out.tobytes(), at
 
 
 def word_dictionary(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.DictionaryArray:
     """The words numbered by their bytes."""
     off = np.zeros(len(starts) + 1, np.int64)
     np.cumsum(ends - starts, out=off[1:])
-    step = np.zeros(len(data) + 1, np.int8)
-    step[starts] += 1
-    step[ends] -= 1
-    packed = np.ascontiguousarray(data[np.cumsum(step[:-1], dtype=np.int8).astype(bool)])
+    packed = np.ascontiguousarray(data[_inside(len(data), starts, ends)])
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(off), pa.py_buffer(packed)]).dictionary_encode()
 
 

@@ -1,7 +1,7 @@
 """Substring dedup: remove words that lie in a 35-word window found elsewhere.
 
-Method: compressed FM-indexes.  Contexts of repeated word anchors (repeats.py)
-are gathered into shards of bounded size; a shard's Burrows-Wheeler transform
+Method: compressed FM-indexes.  Contexts of repeated word anchors (repeats.py),
+as their words and not as hashes, are gathered into shards of bounded size; a shard's Burrows-Wheeler transform
 is held in a wavelet tree of packed bits.  The contexts then stream through
 it: backward search from every window end extends its match leftwards while
 it occurs at least twice, which gives the matching statistics up to the
@@ -109,7 +109,7 @@ class FMIndexJudge:
     def group(self, held: list[repeats.Context], spans: repeats.Spans) -> None:
         if len(held) < 2 or all(c.n > 1 for c in held):
             return
-        size = sum(len(c.ctx) for c in held) // self.sym.size
+        size = sum(self.sym.length(c.ctx) for c in held)
         if self.held and self.words + size > self.limit:
             self.close(spans)
         self.held += held
@@ -119,14 +119,16 @@ class FMIndexJudge:
         if not self.held:
             return
         window = self.sym.window
-        each = [np.frombuffer(c.ctx, np.int64) for c in self.held]
-        vocabulary, ids = np.unique(np.concatenate(each), return_inverse=True)
-        sizes = np.array([len(x) for x in each])
+        sizes = np.array([self.sym.length(c.ctx) for c in self.held])
+        data = np.frombuffer(b" ".join(c.ctx for c in self.held), np.uint8)
+        starts, word_ends, _ = scan.words(data, np.array([0, len(data)]))
+        words = scan.word_dictionary(data, starts, word_ends)  # symbols are told apart by their bytes
+        ids = words.indices.to_numpy().astype(np.int64)
         at = np.concatenate([[0], np.cumsum(sizes + 1)])  # one separator after each context
         seq = np.zeros(at[-1], np.int64)
         own = np.arange(len(ids)) + np.repeat(np.arange(len(sizes)), sizes)
         seq[own] = ids + 1
-        index = FMIndex(seq, len(vocabulary) + 1, window)
+        index = FMIndex(seq, len(words.dictionary) + 1, window)
         once = [i for i, c in enumerate(self.held) if c.n == 1]
         ends = np.concatenate([np.arange(at[i] + window, at[i] + sizes[i] + 1) for i in once])
         owner = np.repeat(once, sizes[once] - window + 1)
@@ -140,7 +142,7 @@ class FMIndexJudge:
 
 
 def symbols(window: int = WINDOW, k: int = ANCHOR) -> repeats.Symbols:
-    return repeats.Symbols(repeats.read_words, 8, window, k)
+    return repeats.Symbols(repeats.read_words, repeats.count_words, window, k)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

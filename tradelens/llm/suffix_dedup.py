@@ -208,7 +208,7 @@ class DeepShallowJudge:
 
 
 def symbols(window: int = WINDOW, k: int = ANCHOR) -> repeats.Symbols:
-    return repeats.Symbols(repeats.read_bytes, 1, window, k)
+    return repeats.Symbols(repeats.read_bytes, len, window, k)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
