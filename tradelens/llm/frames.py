@@ -49,3 +49,26 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
     return (docs.select(text_key(F.col("text")).alias("key"), text.alias("text"))
             .where("key is not null")  # always true; else joins on key add it and their exchange is another one
             .groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.first("text").alias("text")))
+
+
+def quoted(name: str) -> str:
+    """A column's name as a reference, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def unused(columns: list[str], name: str) -> str:
+    """``name``, with underscores before it until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def packed_row(columns: list[str]) -> F.Column:
+    """The columns as one struct ``row``, so that their names meet no others."""
+    return F.struct(*(F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(columns))).alias("row")
+
+
+def unpacked_row(columns: list[str]) -> list[F.Column]:
+    """The columns of ``packed_row`` again."""
+    return [F.col(f"row.c{i}").alias(c) for i, c in enumerate(columns)]

@@ -15,8 +15,9 @@ Texts lie in a table bucketed by node, so a join with pairs moves the pairs only
 
 Defined cases: a null or wordless text has the empty set, is linked with
 nothing and is its own component; shorter texts are one shingle; rows with a
-null doc_id take no part (component null); repeated rows share their component; an
-empty table gives an empty result; further columns are ignored.
+null doc_id take no part (component null); repeated rows share their component;
+unlike texts with equal doc_id are linked only if their sets are; an empty table
+gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradelens.llm import scan
@@ -256,29 +257,69 @@ def overlaps(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
         _overlaps(rule), "a long, b long, size_a long, size_b long, common long")
 
 
-def bucketed(texts: DataFrame) -> DataFrame:
-    """Write nid, key, text as a table bucketed by nid in the shared folder.
+def bucketed(texts: DataFrame) -> str:
+    """Write nid, key, text as a table bucketed by nid in the shared folder; its name.
 
-    ``texts`` comes from a join on nid and so lies in the table's buckets already.
+    ``texts`` comes from a join on doc_id, and nearly every nid is the doc_id:
+    its rows lie in the table's buckets already.
     """
     spark = texts.sparkSession
     name = f"jaccard_texts_{uuid.uuid4().hex}"
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     texts.write.bucketBy(n, "nid").option("path", scratch_path(spark, "llm", name)).saveAsTable(name)
-    return spark.table(name)
+    return name
 
 
-def link(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """doc_id, n_shingles, component_id of every document."""
-    linked = "100 * common >= %d * (size_a + size_b - common)" % rule.percent
+def nodes_of(rows: DataFrame) -> DataFrame:
+    """key, least (doc_id), nid of every text that has a doc_id; nid is the text's own.
+
+    It is the least doc_id, unless a text of smaller key has the same one; then
+    it is a number beyond all doc_ids.
+    """
+    least = rows.where("doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("least"))
+    lo, hi = rows.agg(F.min("doc_id"), F.max("doc_id")).first()
+    number = F.monotonically_increasing_id()
+    if hi is None or hi < 1 << 62:
+        other = F.lit((hi or 0) + 1) + number
+    elif lo > -(1 << 62):
+        other = F.lit(lo - 1) - number
+    else:
+        raise ValueError("doc_id fills the range of long; no room to number texts that share one")
+    first = F.row_number().over(Window.partitionBy("least").orderBy("key")) == 1
+    return stored(least.withColumn("first", first).select(
+        "key", "least", F.when(F.col("first"), F.col("least")).otherwise(other).alias("nid")), "jaccard-nodes")
+
+
+def groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """key, n_shingles, least, component_id, keeper of every distinct text that has a doc_id.
+
+    component_id is the least doc_id of the texts linked with it; keeper is the
+    text (by key) that has it, the smaller key of two.
+    """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("key"),
                        F.coalesce("text", F.lit("")).alias("text"))
-    least = rows.groupBy("key").agg(F.min("doc_id").alias("nid"))
-    # dealt out by node alone: as an equality, the comparison of keys would become a second join key
+    nodes = nodes_of(rows.select("doc_id", "key"))
+    # dealt out by doc_id alone: as an equality, the comparison of keys would become a second join key
     same_text = F.least("key", "own") == F.greatest("key", "own")
-    texts = bucketed(rows.where("doc_id is not null")
-                     .join(least.withColumnRenamed("key", "own"), (F.col("doc_id") == F.col("nid")) & same_text, "left_semi")
-                     .select(F.col("doc_id").alias("nid"), "key", "text").dropDuplicates(["nid", "key"]))
+    name = bucketed(rows.where("doc_id is not null")
+                    .join(nodes.withColumnRenamed("key", "own"), (F.col("doc_id") == F.col("least")) & same_text)
+                    .select("nid", "key", "text").dropDuplicates(["nid", "key"]))
+    try:
+        members, component = _linked(docs.sparkSession.table(name), rule)
+    finally:
+        docs.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+    of = (members.select("nid", "size").join(nodes, "nid").join(component.withColumnRenamed("node", "nid"), "nid", "left")
+          .select("key", F.col("size").alias("n_shingles"), "least", F.coalesce("component", "nid").alias("c")))
+    of = stored(of, "jaccard-texts")
+    best = stored(of.groupBy("c").agg(F.min(F.struct("least", "key")).alias("best"), F.count(F.lit(1)).alias("n"))
+                  .where("n > 1").drop("n"), "jaccard-groups")
+    return of.join(best, "c", "left").select(
+        "key", "n_shingles", "least", F.coalesce("best.least", "least").alias("component_id"), F.coalesce("best.key", "key").alias("keeper"))
+
+
+def _linked(texts: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
+    """Sizes by nid, and the component of every nid that has a link; both written."""
+    linked = "100 * common >= %d * (size_a + size_b - common)" % rule.percent
     members = stored(texts.select("key", "nid", "text").mapInArrow(
         _members(rule), "key binary, nid long, size long, set binary, bands array<long>"), "jaccard-members")
 
@@ -296,7 +337,7 @@ def link(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     leaders = leaders.select(F.col("a").alias("nid"), F.col("l.b").alias("leader"), F.col("l.apart").alias("apart"))
 
     joined = components(near.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    sketch = docs.sparkSession.sparkContext.broadcast(frequencies(texts, rule))  # 4 MB
+    sketch = texts.sparkSession.sparkContext.broadcast(frequencies(texts, rule))  # 4 MB
     indexed = (texts.join(nodes.select("nid"), "nid").join(joined.withColumnRenamed("node", "nid"), "nid", "left")
                .select("nid", F.coalesce("component", "nid").alias("component"), "text"))
     postings = indexed.mapInArrow(_postings(rule, sketch), "token long, nid long, size int, pos int, component long")
@@ -322,9 +363,14 @@ def link(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     more = answers.union(overlaps(open_pairs, texts, rule)).where(linked)
 
     links = equal.union(near.select("a", "b")).union(more.select("a", "b"))
-    component = components(links)
-    of = (members.select("key", "nid", "size").join(component.withColumnRenamed("node", "nid"), "nid", "left")
-          .select("key", F.col("size").alias("n_shingles"), F.coalesce("component", "nid").alias("c")))
-    return rows.select("doc_id", "key").join(of, "key", "left").select(
+    return members, components(links)
+
+
+def link(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """doc_id, n_shingles, component_id of every document."""
+    of = groups(docs, rule)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("key"))
+    shared = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
+    return rows.join(of.select("key", "n_shingles", "component_id"), "key", "left").select(
         "doc_id", F.coalesce("n_shingles", F.lit(0)).alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("c")).otherwise(F.col("doc_id")).alias("component_id"))
+        F.when(shared, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradelens.llm import scan
+from tradelens.llm.frames import quoted
 
 
 @dataclass(frozen=True)
@@ -183,15 +184,18 @@ def score(docs: DataFrame, model: ByteCNN | None, columns: list[str], name: str
     """``columns`` (with text among them or not) and the score of every whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few thousand numbers
 
+    own = [f"c{i}" for i in range(len(columns))]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in (x for batch in batches for x in scan.slices(batch, "_text")):
-            data, off = scan.string_bytes(b.column("_text"))
+        for b in (x for batch in batches for x in scan.slices(batch)):
+            data, off = scan.string_bytes(b.column("text"))
             s = shared.value.forward(data, off) if shared.value else np.full(b.num_rows, 0.5)
-            yield pa.record_batch([*(b.column(c) for c in columns), pa.array(s)], names=[*columns, name])
+            yield pa.record_batch([*(b.column(c) for c in own), pa.array(s)], names=[*own, "score"])
 
-    kept = docs.select(*columns)
-    return docs.select(*columns, F.col("text").alias("_text")).mapInArrow(
-        run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema) + f", `{name}` double")
+    rows = docs.select(*(F.col(quoted(c)).alias(x) for c, x in zip(columns, own)), "text")
+    types = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "text"]
+    return rows.mapInArrow(run, ", ".join([*types, "score double"])).select(
+        *(F.col(x).alias(c) for c, x in zip(columns, own)), F.col("score").alias(name))
 
 
 def classify(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> DataFrame:
