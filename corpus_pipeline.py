@@ -5,9 +5,10 @@ Parquet and read again as the next stage's docs.  All but the last return the
 columns of documents, with n_chars counting the text as it now is.
 
 Defined cases: null and empty texts pass every stage (an empty text is scored
-like any other); of rows with equal doc_id in one group of near copies one
-stays; rows with a null doc_id are never dropped as near copies; an empty table
-gives an empty result; further columns pass through, up to packing.
+like any other); of the rows of one group of near copies one stays, whether
+their doc_ids are equal or not; unlike texts with equal doc_id stay; rows with a
+null doc_id are never dropped as near copies; an empty table gives an empty
+result; further columns of any name pass through, up to packing.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradelens.llm import jaccard, packing, pii, quality, substring_dedup
-from tradelens.llm.frames import prepare, stored, text_key
+from tradelens.llm.frames import packed_row, prepare, quoted, stored, text_key, unpacked_row, unused
 from tradelens.llm.q_tokens import tokenizer_path
 
 #: Near copies: sets of five-word shingles at least 0.8 alike (op5_jaccard_join has numbers of its own).
@@ -25,11 +26,15 @@ NEAR = jaccard.Rule(words=5, percent=80)
 ORACLE_SQL = None
 
 
+#: A text with a word.
+WORD = r"[^\x20\x09-\x0D]"
+
+
 def _recounted(rows: DataFrame, docs: DataFrame) -> DataFrame:
     """The columns of ``docs``, n_chars (if it has one) counted anew."""
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+    return rows.select(*map(quoted, docs.columns))
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,24 +42,36 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     prepare(spark)
     p = quality.Params()
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), p)
-    return quality.score(docs, model, docs.columns, "_score").where(F.col("_score") >= p.threshold).drop("_score")
+    score = unused(docs.columns, "_score")
+    return quality.score(docs, model, docs.columns, score).where(F.col(score) >= p.threshold).drop(score)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least doc_id of every group that the n-gram Jaccard join links under ``NEAR``."""
+    """One document of every group that the n-gram Jaccard join links under ``NEAR``.
+
+    It has the group's least doc_id; of unlike texts with that doc_id the one of
+    least hash, and of rows with that text the one whose other columns come
+    first as JSON.  Rows without a doc_id or a word are linked with nothing.
+    """
     prepare(spark)
-    first = jaccard.link(docs, NEAR).where("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct()
-    kept = docs.join(first, F.col("doc_id") == F.col("_first"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.union(docs.where("doc_id is null"))
+    alone = F.col("doc_id").isNull() | ~F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    linked = docs.where(~alone)
+    stays = jaccard.groups(linked, NEAR).where("key = keeper").select(F.col("key").alias("own"), "least")
+    rows = linked.select(packed_row(docs.columns), F.col("doc_id").cast("long").alias("id"), text_key(F.col("text")).alias("key"),
+                         F.to_json(F.struct(*(quoted(c) for c in docs.columns if c != "text"))).alias("rest"))
+    # dealt out by doc_id alone: as an equality, the comparison of keys would become a second join key
+    same_text = F.least("key", "own") == F.greatest("key", "own")
+    one = rows.join(stays, (F.col("id") == F.col("least")) & same_text).groupBy("id", "key").agg(F.min_by("row", "rest").alias("row"))
+    return one.select(*unpacked_row(docs.columns)).union(docs.where(alone))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the words of repeated windows; a text without any stays as it is."""
     prepare(spark)
-    cut = substring_dedup.remove_repeated_words(docs).where("n_removed > 0").select(
-        F.col("key").alias("_key"), F.col("kept").alias("_kept"))
-    rows = docs.withColumn("_key", text_key(F.col("text"))).join(cut, "_key", "left")
-    return _recounted(rows.withColumn("text", F.coalesce("_kept", "text")), docs)
+    cut = substring_dedup.remove_repeated_words(docs).where("n_removed > 0").select("key", "kept")
+    others = [c for c in docs.columns if c != "text"]
+    rows = docs.select(packed_row(others), text_key(F.col("text")).alias("key"), "text").join(cut, "key", "left")
+    return _recounted(rows.select(*unpacked_row(others), F.coalesce("kept", "text").alias("text")), docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
