@@ -150,17 +150,6 @@ def failures(docs: DataFrame, limits: Limits = Limits(), shard_bytes: int = SHAR
             .drop("least", "sha"))
 
 
-def _steps() -> list[tuple[str, int, int, int]]:
-    """(order, step, its filter's bit, bits of the filters before it) of all orders."""
-    out = []
-    for order in permutations(range(len(FILTERS))):
-        before = 0
-        for step, f in enumerate(order, 1):
-            out.append(("".join(FILTERS[x] for x in order), step, 1 << f, before))
-            before |= 1 << f
-    return out
-
-
 def audit(docs: DataFrame, labels: DataFrame, limits: Limits = Limits(), shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """One row per part, order and step; see the module's docstring."""
     marks = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
@@ -170,9 +159,16 @@ def audit(docs: DataFrame, labels: DataFrame, limits: Limits = Limits(), shard_b
                .groupBy("part", "failed").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"),
                                               F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")))
     patterns = counted.groupBy("part").agg(F.collect_list(F.struct("failed", "n", "good", "toxic")).alias("p"))  # 32 at most
-    steps = F.array(*(F.struct(F.lit(o).alias("filter_order"), F.lit(s).alias("step"), F.lit(bit).alias("bit"), F.lit(before).alias("before"))
-                      for o, s, bit, before in _steps()))
-    each = patterns.select("part", "p", F.explode(steps).alias("s")).select("part", "p", "s.*")
+    orders = F.split(F.lit(",".join(map("".join, permutations(FILTERS)))), ",")
+    each = (patterns.select("part", "p", F.explode(orders).alias("filter_order"))
+            .select("part", "p", "filter_order", F.explode(F.sequence(F.lit(1), F.lit(len(FILTERS)))).alias("step")))
+
+    def bit(letter):
+        return F.call_function("shiftleft", F.lit(1), F.ascii(letter) - ord(FILTERS[0]))
+
+    letters = F.split("filter_order", "")
+    each = (each.withColumn("bit", bit(F.element_at(letters, F.col("step"))))
+            .withColumn("before", F.aggregate(F.slice(letters, F.lit(1), F.col("step") - 1), F.lit(0), lambda a, x: a + bit(x))))
     zero = F.lit(0).cast("long")
 
     def total(which, value="n"):
