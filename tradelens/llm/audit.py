@@ -3,9 +3,9 @@
 Method: a sparse document-term matrix.  Texts are read in shards of a bounded
 number of bytes; a shard holds its documents' rows in CSR form (row pointers,
 column numbers, counts) over the words of its own, and is written to the shared
-folder.  The distinct words of all shards form one dictionary, numbered once
-and written; every shard's words are joined to it, and the shard's columns are
-renumbered.  Row sums are the numbers of words and nonzero counts those of
+folder.  The words of all shards are dealt out by word, sorted and numbered as a
+stream: one dictionary for the whole corpus, whose numbers depend on nothing
+but the words.  They go back to the shards, whose columns are renumbered.  Row sums are the numbers of words and nonzero counts those of
 distinct words, which decide A and B.  C and D are read off the bytes, E comes
 from the least doc_id of each text.  Documents are then counted by part and
 pattern of failures (at most 32 a part), from which every order and step follows.
@@ -20,13 +20,14 @@ result; further columns are ignored, whatever their names.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ FILTERS = "ABCDE"
 #: Bytes of text in a shard (one document, if it is longer).
 SHARD_BYTES = 8 << 20
 MARKS = b"#$%&*|"
-_FRAME = "shard string, words array<string>, indptr binary, indices binary, counts binary, doc_id array<long>, " \
+_FRAME = "shard long, words array<string>, indptr binary, indices binary, counts binary, doc_id array<long>, " \
          "part array<string>, sha array<binary>, marks binary"
 
 
@@ -77,36 +78,61 @@ def _shards(limits: Limits, shard_bytes: int):
     is_mark[list(MARKS)] = True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _gathered((x for x in batches if x.num_rows), shard_bytes):
+        first = TaskContext.get().partitionId() << 32
+        for shard, b in enumerate(_gathered((x for x in batches if x.num_rows), shard_bytes), first):
             data, off = scan.string_bytes(b.column("text"))
             starts, ends, by_doc = scan.words(data, off)
             terms = scan.word_dictionary(data, starts, ends)
             row = np.repeat(np.arange(b.num_rows), np.diff(by_doc))
             cell, count = np.unique(row << 32 | terms.indices.to_numpy().astype(np.int64), return_counts=True)
             indptr = np.searchsorted(cell >> 32, np.arange(b.num_rows + 1))
+            gaps = np.diff(cell & 0xFFFFFFFF, prepend=0)  # columns of a row ascend, so that gaps pack well
             capitals = _by_document((data >= 65) & (data <= 90), off)
             points = _by_document((data & 0xC0) != 0x80, off)
             marks = ((100 * capitals > limits.capitals * points) * 4 + (_by_document(is_mark[data], off) > 0) * 8).astype(np.uint8)
             raw, cut = data.tobytes(), off.tolist()
             sha = [hashlib.sha256(raw[x:y]).digest() for x, y in zip(cut, cut[1:])]
             yield pa.record_batch([
-                pa.array([uuid.uuid4().hex]), pa.ListArray.from_arrays([0, len(terms.dictionary)], terms.dictionary.cast(pa.large_string()).cast(pa.string())),
-                pa.array([indptr.astype(np.int64).tobytes()]), pa.array([(cell & 0xFFFFFFFF).astype(np.int32).tobytes()]),
-                pa.array([count.astype(np.int32).tobytes()]), pa.array([b.column("doc_id").to_pylist()], pa.list_(pa.int64())),
+                pa.array([shard]), pa.ListArray.from_arrays([0, len(terms.dictionary)], terms.dictionary.cast(pa.large_string()).cast(pa.string())),
+                pa.array([indptr.astype(np.int64).tobytes()]), pa.array([_packed(gaps)]),
+                pa.array([_packed(count)]), pa.array([b.column("doc_id").to_pylist()], pa.list_(pa.int64())),
                 pa.array([b.column("part").to_pylist()], pa.list_(pa.string())), pa.array([sha], pa.list_(pa.binary())),
                 pa.array([marks.tobytes()])],
                 names=["shard", "words", "indptr", "indices", "counts", "doc_id", "part", "sha", "marks"])
     return run
 
 
+def _packed(values: np.ndarray) -> bytes:
+    return pa.compress(values.astype(np.int32).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, decompressed_size=4 * n, codec="zstd", asbytes=True), np.int32) if n else np.zeros(0, np.int32)
+
+
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Numbers the words of a partition sorted by word: equal words get one number, others different ones."""
+    number, last = TaskContext.get().partitionId() << 40, None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        word = b.column("word")
+        new = np.ones(b.num_rows, bool)
+        new[0] = word[0].as_py() != last
+        new[1:] = pc.not_equal(word.slice(1), word.slice(0, b.num_rows - 1)).to_numpy(zero_copy_only=False)
+        term = number + np.cumsum(new)
+        number, last = int(term[-1]), word[b.num_rows - 1].as_py()
+        yield pa.record_batch([b.column("shard"), b.column("local"), pa.array(term)], names=["shard", "local", "term"])
+
+
 def _rows(limits: Limits):
     """Row sums and nonzero counts of the renumbered shards, and the failures they decide."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
                 one = {c: b.column(c)[i] for c in b.schema.names}
-                indptr, indices, counts = (np.frombuffer(one[c].as_py(), t) for c, t in (
-                    ("indptr", np.int64), ("indices", np.int32), ("counts", np.int32)))
+                indptr = np.frombuffer(one["indptr"].as_py(), np.int64)
+                indices, counts = np.cumsum(_unpacked(one["indices"].as_py(), indptr[-1])), _unpacked(one["counts"].as_py(), indptr[-1])
                 known = one["known"].values  # structs (local, term), one for each word of the shard
                 to = np.zeros(len(known) if known is not None else 0, np.int64)
                 if len(to):
@@ -133,9 +159,8 @@ def matrix(docs: DataFrame, limits: Limits = Limits(), shard_bytes: int = SHARD_
                        F.coalesce("text", F.lit("")).alias("text"))
     shards = stored(rows.mapInArrow(_shards(limits, shard_bytes), _FRAME), "audit-shards")
     local = shards.select("shard", F.posexplode("words").alias("local", "word"))
-    terms = stored(local.select("word").distinct().withColumn("term", F.monotonically_increasing_id()), "audit-terms")
-    known = (local.join(terms, "word").groupBy("shard")
-             .agg(F.collect_list(F.struct("local", "term")).alias("known")))
+    terms = local.repartition("word").sortWithinPartitions("word").mapInArrow(_numbered, "shard long, local int, term long")
+    known = terms.groupBy("shard").agg(F.collect_list(F.struct("local", "term")).alias("known"))  # the words of one shard
     return shards.drop("words").join(known, "shard", "left").drop("shard").mapInArrow(
         _rows(limits), "doc_id long, part string, sha binary, n_words long, n_distinct long, failed int")
 
