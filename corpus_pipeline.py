@@ -56,13 +56,17 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     alone = F.col("doc_id").isNull() | ~F.coalesce(F.col("text").rlike(WORD), F.lit(False))
     linked = docs.where(~alone)
-    stays = jaccard.groups(linked, NEAR).where("key = keeper").select(F.col("key").alias("own"), "least")
-    rows = linked.select(packed_row(docs.columns), F.col("doc_id").cast("long").alias("id"), text_key(F.col("text")).alias("key"),
-                         F.to_json(F.struct(*(quoted(c) for c in docs.columns if c != "text"))).alias("rest"))
+    stays = jaccard.groups(linked, NEAR).where("key = keeper").select(F.col("key").alias("own"), F.col("least").alias("id"))
+    rows = linked.select(packed_row(docs.columns), F.col("doc_id").cast("long").alias("id"), text_key(F.col("text")).alias("key"))
+    twice = stored(rows.groupBy("id", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                   .join(stays.withColumnRenamed("own", "key"), ["id", "key"], "left_semi").select("id", "key"), "near-copies-twice")
+    once = stays.join(twice.withColumnRenamed("key", "own"), ["id", "own"], "left_anti").withColumnRenamed("id", "least")
     # dealt out by doc_id alone: as an equality, the comparison of keys would become a second join key
     same_text = F.least("key", "own") == F.greatest("key", "own")
-    one = rows.join(stays, (F.col("id") == F.col("least")) & same_text).groupBy("id", "key").agg(F.min_by("row", "rest").alias("row"))
-    return one.select(*unpacked_row(docs.columns)).union(docs.where(alone))
+    single = rows.join(once, (F.col("id") == F.col("least")) & same_text, "left_semi").select("row")
+    rest = F.to_json(F.struct(*(f"row.c{i}" for i, c in enumerate(docs.columns) if c != "text")))
+    double = rows.join(twice, ["id", "key"], "left_semi").groupBy("id", "key").agg(F.min_by("row", rest).alias("row")).select("row")
+    return single.union(double).select(*unpacked_row(docs.columns)).union(docs.where(alone))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
