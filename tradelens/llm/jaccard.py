@@ -303,7 +303,7 @@ def groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     same_text = F.least("key", "own") == F.greatest("key", "own")
     name = bucketed(rows.where("doc_id is not null")
                     .join(nodes.withColumnRenamed("key", "own"), (F.col("doc_id") == F.col("least")) & same_text)
-                    .select("nid", "key", "text").dropDuplicates(["nid", "key"]))
+                    .dropDuplicates(["doc_id", "key"]).select("nid", "key", "text"))  # by doc_id still: no second shuffle
     try:
         members, component = _linked(docs.sparkSession.table(name), rule)
     finally:
