@@ -4,31 +4,32 @@ forecasts with intervals, driver scenarios.
 IDs: W-8..W-15, J-13, J-15.
 
 Re-aimed from one exact-likelihood SARIMA fit on one series to a panel job:
-thousands of (product x market) series fitted in parallel with
-``groupBy(series[, fold]).applyInPandas`` -- each group is ONE series of
-monthly points (bounded by the calendar, ~100 rows), so no group is ever
-large however big the fact is.  The model is a conditional-least-squares
-seasonal ARX on the seasonal difference d_t = y_t - y_{t-12}:
-
-    d_t = c + a1 d_{t-1} + a12 d_{t-12} + sum_j b_j dx_{j,t} + e_t
-
-i.e. the AR(1), seasonal AR(1) and seasonal-difference part of the
-reference's (1,0,1)(1,1,0,12) with exogenous drivers, WITHOUT the MA(1)
-term and without exact likelihood: coefficients will not equal the
-reference's.  Forecasts are recursive; the 90 % interval is
-+-1.645 sigma sqrt(sum psi_j^2) from the AR recursion; everything is
-clipped at 0.  Series shorter than ``min_points`` return a 'skipped' row.
-Baselines (seasonal naive, linear trend) are pure DataFrame/SQL and serve
-as the SQL-checkable part.
+thousands of (product x market) series (and their folds) are fitted at once by
+aggregates and expressions; nothing gathers a group but the innovations
+recursion, which folds the (calendar-bounded) months of one series.  The model
+on the seasonal difference d_t = y_t - y_{t-12} is
+
+    d_t = c + a1 d_{t-1} + a12 d_{t-12} + sum_j b_j dx_{j,t} + m1 e_{t-1} + e_t
+
+i.e. AR(1), seasonal AR(1), the seasonal difference and the MA(1) term of the
+reference's (1,0,1)(1,1,0,12) with exogenous drivers, in additive form, fitted
+by the Hannan-Rissanen regressions instead of exact likelihood: coefficients
+will not equal the reference's.  AIC and BIC are those of the conditional
+Gaussian likelihood.  Forecasts are recursive; the 90 % interval is
++-1.645 sigma sqrt(sum psi_j^2); everything is clipped at 0.  Series shorter
+than ``min_points`` return a 'skipped' row.  Baselines (seasonal naive, linear
+trend) are pure DataFrame/SQL.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradelens.functions import ols
+from tradelens.functions.stats import measured
 from tradelens.params import ForecastParams
 
 
@@ -85,153 +86,146 @@ def trend_regression(indexed: DataFrame, keys: list[str], value_col: str = "tota
                                       F.regr_r2(value_col, "t").alias("r2"))
 
 
-# --- grouped seasonal-ARX (numpy inside each series group) ----------------------------
-
-def _design(y: np.ndarray, x: np.ndarray, s: int):
-    """Rows t where d_t, d_{t-1}, d_{t-s} and dx_t exist."""
-    d = np.full_like(y, np.nan)
-    d[s:] = y[s:] - y[:-s]
-    dx = np.full_like(x, np.nan)
-    if x.shape[1]:
-        dx[s:] = x[s:] - x[:-s]
-    rows, target = [], []
-    for t in range(2 * s, len(y)):
-        feats = [1.0, d[t - 1], d[t - s], *dx[t]]
-        if np.all(np.isfinite(feats)) and np.isfinite(d[t]):
-            rows.append(feats)
-            target.append(d[t])
-    return np.array(rows), np.array(target), d, dx
-
-
-def fit_arx(y: np.ndarray, x: np.ndarray, s: int):
-    """Conditional least squares; returns (coef, sigma, d, dx) or None."""
-    X, z, d, dx = _design(y, x, s)
-    if len(X) == 0 or len(z) <= X.shape[1]:
-        return None
-    coef, *_ = np.linalg.lstsq(X, z, rcond=None)
-    resid = z - X @ coef
-    dof = max(len(z) - X.shape[1], 1)
-    sigma = float(np.sqrt(resid @ resid / dof))
-    return coef, sigma, d, dx
-
-
-def forecast_arx(y: np.ndarray, x: np.ndarray, x_future: np.ndarray, s: int, horizon: int,
-                 z90: float):
-    """Recursive H-step forecast of y with a 90 % interval (psi weights)."""
-    fit = fit_arx(y, x, s)
-    if fit is None:
-        return None
-    coef, sigma, d, dx = fit
-    n = len(y)
-    yy = list(y)
-    dd = list(d)
-    xx = np.vstack([x, x_future]) if x.shape[1] else np.zeros((n + horizon, 0))
-    out = []
-    psi = [1.0]
-    for h in range(1, horizon + 1):
-        t = n + h - 1
-        dxt = xx[t] - xx[t - s] if xx.shape[1] else np.zeros(0)
-        dhat = coef[0] + coef[1] * dd[t - 1] + coef[2] * dd[t - s] + float(np.dot(coef[3:], dxt))
-        dd.append(dhat)
-        yhat = yy[t - s] + dhat
-        yy.append(yhat)
-        if h > 1:
-            j = h - 1
-            p = coef[1] * psi[j - 1] + (coef[2] * psi[j - s] if j - s >= 0 else 0.0)
-            psi.append(p)
-        half = z90 * sigma * float(np.sqrt(np.sum(np.square(psi))))
-        out.append((h, max(yhat, 0.0), max(yhat - half, 0.0), max(yhat + half, 0.0)))
-    return out, coef, sigma
-
-
-FORECAST_SCHEMA = ("series string, h int, month date, yhat double, yhat_lo double, "
-                   "yhat_hi double, status string")
-CV_SCHEMA = "series string, cut int, h int, y double, yhat double, status string"
-COEF_SCHEMA = "series string, term string, coef double, sigma double, n_obs int"
-ADF_SCHEMA = "series string, adf_stat double, n_obs int, lags int, critical_5pct double, stationary boolean"
-
-
-def _series_arrays(pdf: pd.DataFrame, drivers: list[str]):
-    pdf = pdf.sort_values("month")
-    y = pdf["y"].to_numpy(dtype=float)
-    x = pdf[drivers].to_numpy(dtype=float) if drivers else np.zeros((len(pdf), 0))
-    return pdf, y, x
+# --- seasonal ARMA with drivers, in expressions ------------------------------------------
+
+#: A moving-average term beyond this would make the innovations grow; it is set to it.
+MAX_MA = 0.98
+
+
+def _lagged(panel: DataFrame, drivers: list[str], season: int) -> DataFrame:
+    """Adds t, d = y_t - y_{t-season}, its lags, the drivers' seasonal differences, and
+    ``before`` = y_{t-season}; ``t`` counts the months of a series."""
+    w = Window.partitionBy("series").orderBy("month")
+    rows = panel.withColumn("t", F.row_number().over(w) - 1)
+    y = F.col("y").cast("double")
+    rows = rows.withColumns({"y": y, "before": F.lag(y, season).over(w),
+                             **{f"d_{c}": F.col(c) - F.lag(c, season).over(w) for c in drivers}})
+    rows = rows.withColumn("d", F.col("y") - F.col("before"))
+    return rows.withColumns({**{f"d_lag{i}": F.lag("d", i).over(w) for i in (1, 2, 3)}, "d_season": F.lag("d", season).over(w)})
+
+
+def _fits(rows: DataFrame, keys: list[str], drivers: list[str]) -> DataFrame:
+    """Hannan-Rissanen per group: a long autoregression gives innovations, the regression on
+    their first lag the coefficients; the recursion e_t = d_t - fit_t - ma1 e_{t-1} (0 before
+    the first complete month) gives ``rss``, ``last_e``, ``n_obs`` and the criteria.
+
+    ``rows``: training rows with the columns of ``_lagged``, written (they are read several times).
+    """
+    dx = [f"d_{c}" for c in drivers]
+    long, short = ["d_lag1", "d_lag2", "d_lag3", "d_season", *dx], ["d_lag1", "d_season", *dx]
+    w = Window.partitionBy(*keys).orderBy("t")
+    first = measured(ols.fit(rows, keys, "d", long, prefix="l_").drop("n_obs", "rss", "last_scale"), "arma-first")
+    known = (rows.join(first, keys).withColumn("_u", F.col("d") - ols.fitted(long, "l_"))
+             .withColumn("e_lag1", F.lag("_u").over(w)))
+    known = measured(known.select(*keys, "t", "d", *short, "e_lag1"), "arma-innovations")
+    second = ols.fit(known, keys, "d", [*short, "e_lag1"]).drop("rss", "last_scale")
+    second = second.withColumn("b_e_lag1", F.least(F.greatest("b_e_lag1", F.lit(-MAX_MA)), F.lit(MAX_MA)))
+    months = (rows.where(ols.complete(["d", *short])).groupBy(*keys)
+              .agg(F.array_sort(F.collect_list(F.struct("t", "d", *short))).alias("_c")))  # the months of one series
+    k = len(short) + 2
+    fit = measured(second.withColumnRenamed("n_obs", "n_fit"), "arma-second").join(months, keys).where(F.col("n_fit") > k)
+    fit = fit.withColumn("n_obs", F.size("_c")).withColumn("_i", _innovations("_c", short, "b_e_lag1"))
+    fit = fit.withColumns({"rss": F.col("_i.rss"), "last_e": F.col("_i.e")}).drop("_c", "_i")
+    fit = fit.withColumn("sigma", F.sqrt(F.col("rss") / (F.col("n_obs") - k)))
+    # twice the negative log-likelihood of Gaussian innovations; k coefficients and the variance are estimated
+    loss = F.col("n_obs") * (F.log(2 * math.pi * F.col("rss") / F.col("n_obs")) + 1)
+    return fit.withColumns({"aic": loss + 2.0 * (k + 1), "bic": loss + F.log(F.col("n_obs").cast("double")) * (k + 1)}).drop("n_fit")
+
+
+def _innovations(months: str, terms: list[str], ma: str) -> Column:
+    """The last innovation ``e`` and the sum of squares ``rss`` of a row with its series' months and coefficients."""
+    def step(a, x):
+        e = x["d"] - ols.fitted(terms, of=x) - F.col(ma) * a["e"]
+        return F.struct(e.alias("e"), (a["rss"] + e * e).alias("rss"))
+
+    return F.aggregate(months, F.struct(F.lit(0.0).alias("e"), F.lit(0.0).alias("rss")), step)
+
+
+def _ahead(rows: DataFrame, fits: DataFrame, keys: list[str], drivers: list[str], z90: float) -> DataFrame:
+    """keys, h, month, y, yhat, yhat_lo, yhat_hi of the months after each group's training rows.
+
+    ``rows``: those months, with the columns of ``_lagged``, h = 1, 2, ... and ``last_d``, the
+    last difference before them.  h may not exceed the season, so every seasonal lag is observed.
+    """
+    terms = ["d_season", *[f"d_{c}" for c in drivers]]
+    known = rows.join(fits, keys).withColumn(
+        "_w", ols.fitted(terms) + F.when(F.col("h") == 1, F.col("b_e_lag1") * F.col("last_e")).otherwise(0.0))
+    own = Window.partitionBy(*keys).orderBy("h").rowsBetween(Window.unboundedPreceding, 0)
+    known = known.withColumn("_ws", F.collect_list("_w").over(own))  # h entries, a season at most
+    ar, ma = F.col("b_d_lag1"), F.col("b_e_lag1")
+    dhat = F.aggregate("_ws", F.col("last_d"), lambda a, x: a * ar + x)
+    steps = F.when(F.col("h") > 1, F.sequence(F.lit(1), F.col("h") - 1)).otherwise(F.array().cast("array<int>"))
+    # psi_0 = 1, psi_j = ar psi_{j-1} (+ ma for j = 1): below a season the seasonal lag adds nothing
+    psi = F.aggregate(steps, F.struct(F.lit(1.0).alias("s"), (ar + ma).alias("p")),
+                      lambda a, i: F.struct((a["s"] + a["p"] * a["p"]).alias("s"), (a["p"] * ar).alias("p")), lambda a: a["s"])
+    known = known.withColumns({"_yhat": F.col("before") + dhat, "_half": z90 * F.col("sigma") * F.sqrt(psi)})
+    floor = F.lit(0.0)
+    return known.select(*keys, "h", "month", "y", F.greatest("_yhat", floor).alias("yhat"),
+                        F.greatest(F.col("_yhat") - F.col("_half"), floor).alias("yhat_lo"),
+                        F.greatest(F.col("_yhat") + F.col("_half"), floor).alias("yhat_hi"), "b_e_lag1", "aic", "bic")
+
+
+def _checked(params: ForecastParams) -> None:
+    if params.horizon > params.season:
+        raise ValueError("the horizon may not exceed the season")
 
 
 def arx_forecast(panel: DataFrame, drivers: list[str], params: ForecastParams) -> DataFrame:
-    """W-9 + W-12: per series, fit on all points and forecast ``horizon``
-    months; future drivers are held at their last observed value.
-    ``panel``: (series, month, y, *drivers), dense monthly."""
-    s, H, z, min_pts = params.season, params.horizon, params.z90, params.min_points
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, y, x = _series_arrays(pdf, drivers)
-        key = str(pdf["series"].iloc[0])
-        last = pd.Timestamp(pdf["month"].iloc[-1])
-        months = [(last + pd.DateOffset(months=h)).date() for h in range(1, H + 1)]
-        res = None
-        if len(y) >= min_pts:
-            xf = np.repeat(x[-1:], H, axis=0) if x.shape[1] else np.zeros((H, 0))
-            res = forecast_arx(y, x, xf, s, H, z)
-        if res is None:
-            return pd.DataFrame([{"series": key, "h": None, "month": None, "yhat": None,
-                                  "yhat_lo": None, "yhat_hi": None, "status": "skipped"}])
-        rows = [{"series": key, "h": h, "month": months[h - 1], "yhat": yh, "yhat_lo": lo,
-                 "yhat_hi": hi, "status": "ok"} for h, yh, lo, hi in res[0]]
-        return pd.DataFrame(rows)
-
-    return panel.groupBy("series").applyInPandas(run, FORECAST_SCHEMA)
+    """W-9 + W-12: per series, fit on all months and forecast ``horizon`` more; future
+    drivers are held at their last value.  Also the MA coefficient, AIC and BIC of the fit.
+    ``panel``: (series, month, y, *drivers), dense monthly.  A series that is too short or
+    whose terms outnumber its complete months has one row, status 'skipped'."""
+    _checked(params)
+    panel = measured(panel, "arma-panel")
+    last = panel.groupBy("series").agg(F.max(F.struct("month", *drivers)).alias("_l"), F.count(F.lit(1)).alias("n"))
+    months = F.transform(F.sequence(F.lit(1), F.lit(params.horizon)), lambda h: F.struct(
+        h.alias("h"), F.add_months("_l.month", h).alias("month")))
+    future = (last.select("series", "_l", F.explode(months).alias("_m"))
+              .select("series", "_m.month", F.lit(None).cast("double").alias("y"), *[F.col(f"_l.{c}").alias(c) for c in drivers],
+                      F.col("_m.h").alias("h")))
+    both = panel.select("series", "month", F.col("y").cast("double").alias("y"), *drivers, F.lit(None).cast("int").alias("h")).union(future)
+    rows = _lagged(both, drivers, params.season)
+    rows = rows.join(last.where(F.col("n") >= params.min_points).select("series"), "series", "left_semi")
+    rows = rows.withColumn("last_d", F.last("d", ignorenulls=True).over(
+        Window.partitionBy("series").orderBy("month").rowsBetween(Window.unboundedPreceding, 0)))
+    rows = measured(rows, "arma-months")
+    fits = _fits(rows.where("h is null"), ["series"], drivers)
+    out = _ahead(rows.where("h is not null"), fits, ["series"], drivers, params.z90)
+    return (last.select("series").join(out, "series", "left")
+            .select("series", "h", "month", "yhat", "yhat_lo", "yhat_hi", F.col("b_e_lag1").alias("ma1"), "aic", "bic",
+                    F.when(F.col("h").isNull(), "skipped").otherwise("ok").alias("status")))
 
 
 def arx_cv(panel: DataFrame, drivers: list[str], params: ForecastParams) -> DataFrame:
-    """W-10 with the ARX model: one group per (series, cut), fitted on t < cut
-    (drivers z-scored inside the fold, trap T-19), scored on the next
-    ``horizon`` points; failed folds report status 'failed', never vanish."""
-    s, H, z = params.season, params.horizon, params.z90
-    indexed = with_time_index(panel, ["series"])
-    cuts = fold_cuts(indexed, ["series"], params)
-    rows = (indexed.join(cuts, "series")
-                   .filter(F.col("t") < F.col("cut") + H))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("t")
-        key, cut = str(pdf["series"].iloc[0]), int(pdf["cut"].iloc[0])
-        train, test = pdf[pdf["t"] < cut], pdf[pdf["t"] >= cut]
-        x_all = pdf[drivers].to_numpy(dtype=float) if drivers else np.zeros((len(pdf), 0))
-        if drivers:
-            mu, sd = x_all[: len(train)].mean(axis=0), x_all[: len(train)].std(axis=0, ddof=1)
-            sd[sd == 0] = 1.0
-            x_all = (x_all - mu) / sd
-        y = train["y"].to_numpy(dtype=float)
-        res = forecast_arx(y, x_all[: len(train)], x_all[len(train):], s, len(test), z)
-        if res is None:
-            return pd.DataFrame([{"series": key, "cut": cut, "h": None, "y": None,
-                                  "yhat": None, "status": "failed"}])
-        ys = test["y"].to_numpy(dtype=float)
-        return pd.DataFrame([{"series": key, "cut": cut, "h": h, "y": float(ys[h - 1]),
-                              "yhat": yh, "status": "ok"} for h, yh, _, _ in res[0]])
-
-    return rows.groupBy("series", "cut").applyInPandas(run, CV_SCHEMA)
+    """W-10 with the model: one fit per (series, cut) on t < cut, scored on the next
+    ``horizon`` months with the drivers known; folds without a fit report status 'failed',
+    never vanish.  (A fit has a constant, so z-scoring the drivers inside the fold, trap
+    T-19, would change no forecast.)"""
+    _checked(params)
+    keys = ["series", "cut"]
+    rows = measured(_lagged(panel, drivers, params.season), "arma-months")
+    cuts = fold_cuts(rows.withColumn("n", F.count("*").over(Window.partitionBy("series"))), ["series"], params)
+    folds = rows.join(cuts, "series").where(F.col("t") < F.col("cut") + params.horizon)
+    folds = folds.withColumn("h", F.when(F.col("t") >= F.col("cut"), F.col("t") - F.col("cut") + 1).cast("int"))
+    folds = folds.withColumn("last_d", F.last(F.when(F.col("h").isNull(), F.col("d")), ignorenulls=True).over(
+        Window.partitionBy(*keys).orderBy("t").rowsBetween(Window.unboundedPreceding, 0)))
+    folds = measured(folds, "arma-folds")
+    fits = _fits(folds.where("h is null"), keys, drivers)
+    out = _ahead(folds.where("h is not null"), fits, keys, drivers, params.z90)
+    return (cuts.join(out, keys, "left")
+            .select("series", "cut", "h", "y", "yhat", F.when(F.col("h").isNull(), "failed").otherwise("ok").alias("status")))
 
 
 def arx_effects(panel: DataFrame, drivers: list[str], params: ForecastParams) -> DataFrame:
-    """W-14: fitted coefficients per series; driver terms are per +1 sd of the
-    (z-scored) driver's seasonal difference."""
-    s = params.season
-    names = ["const", "ar1", "sar12", *drivers]
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, y, x = _series_arrays(pdf, drivers)
-        key = str(pdf["series"].iloc[0])
-        fit = fit_arx(y, x, s)
-        if fit is None:
-            return pd.DataFrame([{"series": key, "term": "skipped", "coef": None,
-                                  "sigma": None, "n_obs": len(y)}])
-        coef, sigma, _, _ = fit
-        return pd.DataFrame([{"series": key, "term": t, "coef": float(c), "sigma": sigma,
-                              "n_obs": len(y)} for t, c in zip(names, coef)])
-
-    return panel.groupBy("series").applyInPandas(run, COEF_SCHEMA)
+    """W-14: fitted coefficients per series in long form; driver terms are per +1 sd of the
+    (z-scored) driver's seasonal difference.  A series without a fit has the term 'skipped'."""
+    rows = measured(_lagged(panel, drivers, params.season), "arma-months")
+    fits = _fits(rows, ["series"], drivers)
+    names = {"const": "b_const", "ar1": "b_d_lag1", "sar12": "b_d_season", "ma1": "b_e_lag1", **{c: f"b_d_{c}" for c in drivers}}
+    each = fits.select("series", "sigma", "n_obs", F.explode(F.array(*[
+        F.struct(F.lit(t).alias("term"), F.col(c).alias("coef")) for t, c in names.items()])).alias("_t"))
+    return (rows.select("series").distinct().join(each, "series", "left")
+            .select("series", F.coalesce("_t.term", F.lit("skipped")).alias("term"), F.col("_t.coef").alias("coef"), "sigma", "n_obs"))
 
 
 def adf_test(panel: DataFrame, lags: int = 1, critical_5pct: float = -2.86) -> DataFrame:
@@ -239,31 +233,18 @@ def adf_test(panel: DataFrame, lags: int = 1, critical_5pct: float = -2.86) -> D
     dy_t = a + b y_{t-1} + sum_i g_i dy_{t-i}; stationary when t < the 5 %
     critical value (constant, no trend).  The library's AIC lag search and
     p-value surface are not reproduced (fixed ``lags``)."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("month")
-        key = str(pdf["series"].iloc[0])
-        y = pdf["y"].to_numpy(dtype=float)
-        dy = np.diff(y)
-        rows, target = [], []
-        for t in range(lags, len(dy)):
-            rows.append([1.0, y[t], *[dy[t - i] for i in range(1, lags + 1)]])
-            target.append(dy[t])
-        X, z = np.array(rows), np.array(target)
-        if len(z) <= X.shape[1] + 1:
-            return pd.DataFrame([{"series": key, "adf_stat": None, "n_obs": len(z),
-                                  "lags": lags, "critical_5pct": critical_5pct,
-                                  "stationary": None}])
-        coef, *_ = np.linalg.lstsq(X, z, rcond=None)
-        resid = z - X @ coef
-        s2 = resid @ resid / (len(z) - X.shape[1])
-        cov = s2 * np.linalg.pinv(X.T @ X)
-        stat = float(coef[1] / np.sqrt(cov[1, 1])) if cov[1, 1] > 0 else None
-        return pd.DataFrame([{"series": key, "adf_stat": stat, "n_obs": len(z), "lags": lags,
-                              "critical_5pct": critical_5pct,
-                              "stationary": None if stat is None else stat < critical_5pct}])
-
-    return panel.groupBy("series").applyInPandas(run, ADF_SCHEMA)
+    w = Window.partitionBy("series").orderBy("month")
+    rows = panel.withColumn("level", F.lag(F.col("y").cast("double")).over(w))
+    rows = rows.withColumn("dy", F.col("y").cast("double") - F.col("level"))
+    rows = rows.withColumns({f"dy_lag{i}": F.lag("dy", i).over(w) for i in range(1, lags + 1)})
+    rows = measured(rows, "adf-months")
+    fits = ols.fit(rows, ["series"], "dy", [*[f"dy_lag{i}" for i in range(1, lags + 1)], "level"])
+    enough = F.col("n_obs") > lags + 3
+    spread = F.sqrt(F.col("rss") / (F.col("n_obs") - (lags + 2)) * F.col("last_scale"))
+    stat = F.when(enough & (spread > 0), F.col("b_level") / spread)
+    return (rows.select("series").distinct().join(fits, "series", "left")
+            .select("series", stat.alias("adf_stat"), F.coalesce("n_obs", F.lit(0).cast("long")).alias("n_obs"), F.lit(lags).alias("lags"),
+                    F.lit(critical_5pct).alias("critical_5pct"), (stat < critical_5pct).alias("stationary")))
 
 
 # --- scenarios (J-13, J-15, W-13) -----------------------------------------------------

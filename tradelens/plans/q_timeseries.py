@@ -237,24 +237,181 @@ def arx_panel(spark, sf_dir):
                          F.col("total").alias("y"), "rig_z", "lpa_pct_z"))
 
 
-@register("arx_forecast", None, ids=("W-9", "W-12"))
-def arx_forecast(spark, sf_dir):
-    return FC.arx_forecast(arx_panel(spark, sf_dir), ["rig_z", "lpa_pct_z"], ARX_PARAMS)
+PANEL_SQL = (
+    """zdrv AS (SELECT month, (rig - avg(rig) OVER ()) / stddev_samp(rig) OVER () AS rig_z,
+                    (lpa_pct - avg(lpa_pct) OVER ()) / stddev_samp(lpa_pct) OVER () AS lpa_pct_z FROM drv)""",
+    """pm AS (SELECT product, market, shipment_date AS month, CAST(sum(value) AS DOUBLE) AS total FROM trade GROUP BY 1, 2, 3)""",
+    """pmonths AS (SELECT CAST(unnest(generate_series(CAST(min(month) AS TIMESTAMP), CAST(max(month) AS TIMESTAMP),
+                                                      INTERVAL 1 MONTH)) AS DATE) AS month FROM pm)""",
+    """panel0 AS (SELECT k.product || '|' || k.market AS series, pmonths.month, coalesce(pm.total, 0.0) AS y, rig_z, lpa_pct_z
+                  FROM (SELECT DISTINCT product, market FROM pm) k CROSS JOIN pmonths
+                  LEFT JOIN pm ON pm.product = k.product AND pm.market = k.market AND pm.month = pmonths.month
+                  LEFT JOIN zdrv ON zdrv.month = pmonths.month)""",
+    """panel AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY month) - 1 AS t, count(*) OVER (PARTITION BY series) AS n
+                 FROM panel0)""",
+)
 
 
-@register("arx_cv", None, ids=("W-10",))
-def arx_cv(spark, sf_dir):
-    return FC.arx_cv(arx_panel(spark, sf_dir), ["rig_z", "lpa_pct_z"], ARX_PARAMS)
+def ols_sql(name: str, source: str, keys: str, target: str, terms: list[str]) -> tuple[str, ...]:
+    """CTEs up to ``<name>``: least squares per group with the coefficients of ``terms`` as
+    b_<term> and b_const, by elimination on the correlation matrix."""
+    k = range(len(terms))
+    moments = [f"count(*) AS n_obs, avg({target}) AS my, var_pop({target}) AS vy"]
+    for i, x in enumerate(terms):
+        moments.append(f"avg({x}) AS m{i}, var_pop({x}) AS v{i}, covar_pop({x}, {target}) AS y{i}")
+        moments += [f"covar_pop({x}, {terms[j]}) AS c{i}_{j}" for j in range(i)]
+    known = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in (target, *terms))
+    last = len(terms) - 1
+    levels = [", ".join([f"CASE WHEN v{i} > 0 AND vy > 0 THEN y{i} / sqrt(v{i} * vy) ELSE 0.0 END AS r{i}" for i in k]
+                        + [f"CASE WHEN v{i} > 0 AND v{j} > 0 THEN c{i}_{j} / sqrt(v{i} * v{j}) ELSE 0.0 END AS s{i}_{j}"
+                           for i in k for j in range(i)]
+                        + [f"CASE WHEN v{i} > 0 THEN 1.0 ELSE 0.0 END AS s{i}_{i}" for i in k])]
+    for j in k:  # a column of the factor at a time
+        levels.append(f"s{j}_{j}{''.join(f' - l{j}_{m} * l{j}_{m}' for m in range(j))} AS p{j}")
+        levels.append(f"CASE WHEN p{j} > 1e-9 THEN 1 / sqrt(p{j}) ELSE 0.0 END AS q{j}")
+        levels.append(", ".join([f"(r{j}{''.join(f' - l{j}_{m} * z{m}' for m in range(j))}) * q{j} AS z{j}"]
+                                + [f"(s{i}_{j}{''.join(f' - l{i}_{m} * l{j}_{m}' for m in range(j))}) * q{j} AS l{i}_{j}" for i in k if i > j]))
+    for j in reversed(k):
+        levels.append(f"(z{j}{''.join(f' - l{m}_{j} * g{m}' for m in k if m > j)}) * q{j} AS g{j}")
+    levels.append(", ".join(f"CASE WHEN v{i} > 0 THEN g{i} * sqrt(vy / v{i}) ELSE 0.0 END AS b_{x}" for i, x in enumerate(terms)))
+    ctes = [f"{name}_0 AS MATERIALIZED (SELECT {keys}, {', '.join(moments)} FROM {source} WHERE {known} GROUP BY {keys})"]
+    ctes += [f"{name}_{i + 1} AS (SELECT *, {x} FROM {name}_{i})" for i, x in enumerate(levels)]
+    return (*ctes, f"""{name} AS MATERIALIZED (SELECT {keys}, n_obs, {', '.join(f'b_{x}' for x in terms)},
+                my{''.join(f' - b_{x} * m{i}' for i, x in enumerate(terms))} AS b_const,
+                greatest(0.0, n_obs * vy * (1{''.join(f' - z{i} * z{i}' for i in k)})) AS rss,
+                CASE WHEN v{last} > 0 THEN q{last} * q{last} / (n_obs * v{last}) END AS last_scale FROM {name}_{len(levels)})""")
+
+
+DRIVER_TERMS = ["rig_z", "lpa_pct_z"]
+LONG = ["d_lag1", "d_lag2", "d_lag3", "d_season", "d_rig_z", "d_lpa_pct_z"]
+SHORT = ["d_lag1", "d_season", "d_rig_z", "d_lpa_pct_z"]
+
+
+def arma_sql(source: str, keys: str) -> tuple[str, ...]:
+    """CTEs of the two regressions, the innovations and the criteria of every group of ``source``
+    (training rows with lags); the last one is ``fits``."""
+    same = lambda a, b: " AND ".join(f"{a}.{c} = {b}.{c}" for c in keys.split(", "))
+    with_fit = lambda f, terms: "".join(f" - {f}.b_{x} * r.{x}" for x in terms)
+    known = " AND ".join(f"{c} IS NOT NULL" for c in ("d", *SHORT))
+    return (
+        *ols_sql("long_fit", source, keys, "d", LONG),
+        f"""resid AS MATERIALIZED (SELECT r.*, lag(r.d - f.b_const{with_fit('f', LONG)}) OVER (PARTITION BY {', '.join('r.' + c for c in keys.split(', '))}
+                                                                                 ORDER BY r.t) AS e_lag1
+                      FROM {source} r JOIN long_fit f ON {same('r', 'f')})""",
+        *ols_sql("short_fit", "resid", keys, "d", [*SHORT, "e_lag1"]),
+        """ma_fit AS (SELECT * REPLACE (least(greatest(b_e_lag1, -0.98), 0.98) AS b_e_lag1) FROM short_fit)""",
+        f"""u AS (SELECT {', '.join('r.' + c for c in keys.split(', '))}, f.b_e_lag1 AS ma, r.d - f.b_const{with_fit('f', SHORT)} AS u,
+                         row_number() OVER (PARTITION BY {', '.join('r.' + c for c in keys.split(', '))} ORDER BY r.t) AS i
+                  FROM (SELECT * FROM {source} WHERE {known}) r JOIN ma_fit f ON {same('r', 'f')})""",
+        f"""e AS (SELECT {', '.join('a.' + c for c in keys.split(', '))}, a.i, sum(pow(-a.ma, a.i - b.i) * b.u) AS e
+                  FROM u a JOIN u b ON {same('a', 'b')} AND b.i <= a.i GROUP BY ALL)""",
+        f"""fits0 AS (SELECT {keys}, count(*) AS n, sum(e * e) AS css, max_by(e, i) AS last_e FROM e GROUP BY {keys})""",
+        f"""fits AS (SELECT f.* EXCLUDE (n_obs, rss), x.n AS n_obs, x.last_e, sqrt(x.css / (x.n - 6)) AS sigma,
+                            x.n * (ln(2 * pi() * x.css / x.n) + 1) + 14.0 AS aic,
+                            x.n * (ln(2 * pi() * x.css / x.n) + 1) + ln(x.n) * 7 AS bic
+                     FROM ma_fit f JOIN fits0 x ON {same('f', 'x')} WHERE f.n_obs > 6)""")
+
+
+def lags_sql(name: str, source: str) -> tuple[str, str]:
+    """CTEs ``<name>_d`` and ``<name>``: seasonal differences and their lags."""
+    w = "OVER (PARTITION BY series ORDER BY month)"
+    return (f"""{name}_d AS (SELECT *, lag(y, 12) {w} AS before, y - lag(y, 12) {w} AS d, rig_z - lag(rig_z, 12) {w} AS d_rig_z,
+                                    lpa_pct_z - lag(lpa_pct_z, 12) {w} AS d_lpa_pct_z FROM {source})""",
+            f"""{name} AS MATERIALIZED (SELECT *, lag(d) {w} AS d_lag1, lag(d, 2) {w} AS d_lag2, lag(d, 3) {w} AS d_lag3, lag(d, 12) {w} AS d_season
+                           FROM {name}_d)""")
+
+
+def ahead_sql(source: str, keys: str) -> tuple[str, ...]:
+    """CTE ``ahead``: forecasts of the rows of ``source`` (h, last_d and lags) with their groups' fits."""
+    same = lambda a, b: " AND ".join(f"{a}.{c} = {b}.{c}" for c in keys.split(", "))
+    return (
+        f"""w AS (SELECT r.*, f.b_d_lag1 AS ar, f.b_e_lag1 AS ma, f.sigma, f.aic, f.bic,
+                         f.b_const + f.b_d_season * r.d_season + f.b_d_rig_z * r.d_rig_z + f.b_d_lpa_pct_z * r.d_lpa_pct_z
+                         + CASE WHEN r.h = 1 THEN f.b_e_lag1 * f.last_e ELSE 0.0 END AS w
+                  FROM {source} r JOIN fits f ON {same('r', 'f')})""",
+        f"""steps AS (SELECT {', '.join('a.' + c for c in keys.split(', '))}, a.h, sum(pow(a.ar, a.h - b.h) * b.w) AS moved,
+                             1 + sum(CASE WHEN b.h < a.h THEN pow((a.ar + a.ma) * pow(a.ar, b.h - 1), 2) ELSE 0.0 END) AS psi2
+                      FROM w a JOIN w b ON {same('a', 'b')} AND b.h <= a.h GROUP BY ALL)""",
+        f"""ahead AS (SELECT w.*, before + pow(ar, w.h) * last_d + moved AS raw, 1.645 * sigma * sqrt(psi2) AS half
+                      FROM w JOIN steps ON {same('w', 'steps')} AND w.h = steps.h)""")
+
+
+def _series_sql(body: str, *more: str) -> str:
+    return with_trade(body, *DRIVER_SQL, *PANEL_SQL, *more)
+
+
+def _rounded_effects(df):
+    lagged = F.col("term").isin("ar1", "sar12", "ma1")
+    return df.select("series", "term", F.when(lagged, fround("coef", 6)).otherwise(fround("coef", 2)).alias("coef"),
+                     fround("sigma", 2).alias("sigma"), "n_obs")
+
+
+@register("arx_forecast", _series_sql("""
+SELECT s.series, a.h, a.month, round(greatest(a.raw, 0.0), 2) AS yhat, round(greatest(a.raw - a.half, 0.0), 2) AS yhat_lo,
+       round(greatest(a.raw + a.half, 0.0), 2) AS yhat_hi, round(a.ma, 6) AS ma1, round(a.aic, 4) AS aic, round(a.bic, 4) AS bic,
+       CASE WHEN a.h IS NULL THEN 'skipped' ELSE 'ok' END AS status
+FROM (SELECT DISTINCT series FROM panel) s LEFT JOIN ahead a ON a.series = s.series""",
+    """future AS (SELECT series, CAST(month + to_months(CAST(h AS INTEGER)) AS DATE) AS month, CAST(NULL AS DOUBLE) AS y, rig_z, lpa_pct_z, h
+                  FROM (SELECT * FROM panel WHERE t = n - 1) l, (SELECT CAST(unnest(generate_series(1, 6)) AS INTEGER) AS h) hh)""",
+    """longer AS (SELECT series, month, y, rig_z, lpa_pct_z, CAST(NULL AS INTEGER) AS h FROM panel WHERE n >= 36
+                  UNION ALL SELECT * FROM future WHERE series IN (SELECT series FROM panel WHERE n >= 36))""",
+    *lags_sql("lagged", "longer"),
+    """known AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY month) AS t FROM lagged WHERE h IS NULL)""",
+    *arma_sql("known", "series"),
+    """next AS (SELECT l.*, x.last_d FROM lagged l JOIN (SELECT series, max_by(d, month) AS last_d FROM known GROUP BY 1) x
+                USING (series) WHERE l.h IS NOT NULL)""",
+    *ahead_sql("next", "series")), ids=("W-9", "W-12"))
+def arx_forecast(spark, sf_dir):
+    f = FC.arx_forecast(arx_panel(spark, sf_dir), DRIVER_TERMS, ARX_PARAMS)
+    return f.select("series", "h", "month", *[fround(c, 2).alias(c) for c in ("yhat", "yhat_lo", "yhat_hi")],
+                    fround("ma1", 6).alias("ma1"), *[fround(c, 4).alias(c) for c in ("aic", "bic")], "status")
+
+
+FOLD_SQL = (
+    *lags_sql("lagged", "panel"),
+    """cuts2 AS (SELECT series, CAST(unnest(generate_series(48, max(n) - 6, 6)) AS INTEGER) AS cut FROM panel GROUP BY series)""",
+    """train AS (SELECT l.*, c.cut FROM lagged l JOIN cuts2 c USING (series) WHERE l.t < c.cut)""",
+    *arma_sql("train", "series, cut"),
+    """next AS (SELECT l.*, c.cut, CAST(l.t - c.cut + 1 AS INTEGER) AS h, x.last_d FROM lagged l JOIN cuts2 c USING (series)
+                JOIN (SELECT series, cut, max_by(d, t) AS last_d FROM train GROUP BY 1, 2) x ON x.series = c.series AND x.cut = c.cut
+                WHERE l.t BETWEEN c.cut AND c.cut + 5)""",
+    *ahead_sql("next", "series, cut"),
+    """scored AS (SELECT c.series, c.cut, a.h, a.y, greatest(a.raw, 0.0) AS yhat, CASE WHEN a.h IS NULL THEN 'failed' ELSE 'ok' END AS status
+                  FROM cuts2 c LEFT JOIN ahead a ON a.series = c.series AND a.cut = c.cut)""",
+)
 
 
-@register("arx_effects", None, ids=("W-14",))
+@register("arx_cv", _series_sql("""
+SELECT series, cut, h, round(y, 2) AS y, round(yhat, 2) AS yhat, status FROM scored""", *FOLD_SQL), ids=("W-10",))
+def arx_cv(spark, sf_dir):
+    f = FC.arx_cv(arx_panel(spark, sf_dir), DRIVER_TERMS, ARX_PARAMS)
+    return f.select("series", "cut", "h", fround("y", 2).alias("y"), fround("yhat", 2).alias("yhat"), "status")
+
+
+@register("arx_effects", _series_sql("""
+SELECT s.series, coalesce(l.term, 'skipped') AS term,
+       CASE WHEN l.term IN ('ar1', 'sar12', 'ma1') THEN round(l.coef, 6) ELSE round(l.coef, 2) END AS coef,
+       round(l.sigma, 2) AS sigma, l.n_obs
+FROM (SELECT DISTINCT series FROM panel) s LEFT JOIN (
+  SELECT series, unnest(['const', 'ar1', 'sar12', 'ma1', 'rig_z', 'lpa_pct_z']) AS term,
+         unnest([b_const, b_d_lag1, b_d_season, b_e_lag1, b_d_rig_z, b_d_lpa_pct_z]) AS coef, sigma, CAST(n_obs AS INTEGER) AS n_obs
+  FROM fits) l ON l.series = s.series""", *lags_sql("lagged", "panel"), *arma_sql("lagged", "series")), ids=("W-14",))
 def arx_effects(spark, sf_dir):
-    return FC.arx_effects(arx_panel(spark, sf_dir), ["rig_z", "lpa_pct_z"], ARX_PARAMS)
-
-
-@register("adf_stat", None, ids=("W-8",))
+    return _rounded_effects(FC.arx_effects(arx_panel(spark, sf_dir), DRIVER_TERMS, ARX_PARAMS))
+
+
+@register("adf_stat", _series_sql("""
+SELECT s.series, round(CASE WHEN n_obs > 4 AND rss > 0 THEN b_level / sqrt(rss / (n_obs - 3) * last_scale) END, 6) AS adf_stat,
+       coalesce(n_obs, 0) AS n_obs, 1 AS lags, -2.86::DOUBLE AS critical_5pct,
+       CASE WHEN n_obs > 4 AND rss > 0 THEN b_level / sqrt(rss / (n_obs - 3) * last_scale) END < -2.86 AS stationary
+FROM (SELECT DISTINCT series FROM panel) s LEFT JOIN adf ON adf.series = s.series""",
+    """lev AS (SELECT *, lag(y) OVER (PARTITION BY series ORDER BY month) AS level, y - lag(y) OVER (PARTITION BY series ORDER BY month) AS dy
+               FROM panel)""",
+    """dys AS (SELECT *, lag(dy) OVER (PARTITION BY series ORDER BY month) AS dy_lag1 FROM lev)""",
+    *ols_sql("adf", "dys", "series", "dy", ["dy_lag1", "level"])), ids=("W-8",))
 def adf_stat(spark, sf_dir):
-    return FC.adf_test(arx_panel(spark, sf_dir), lags=ARX_PARAMS.adf_lags)
+    a = FC.adf_test(arx_panel(spark, sf_dir), lags=ARX_PARAMS.adf_lags)
+    return a.select("series", fround("adf_stat", 6).alias("adf_stat"), "n_obs", "lags", "critical_5pct", "stationary")
 
 
 # --- scenarios on the total series with the weekly driver -----------------------------
@@ -311,12 +468,19 @@ def scenario_swing(spark, sf_dir):
                      fround("vs_base", 2).alias("vs_base"), fround("swing", 2).alias("swing"))
 
 
-@register("arx_cv_metrics", None, ids=("W-10", "W-11"))
+@register("arx_cv_metrics", _series_sql("""
+SELECT s.series, round(avg(abs(y - yhat) / greatest(y, 1.0)) FILTER (status = 'ok') * 100, 4) AS mape,
+       round(sqrt(avg((y - yhat) * (y - yhat)) FILTER (status = 'ok')), 2) AS rmse,
+       nullif(count(*) FILTER (status = 'ok'), 0) AS n_points,
+       avg(abs(y - yhat) / greatest(y, 1.0)) FILTER (status = 'ok') * 100 < 20.0 AS passed,
+       count(*) FILTER (status <> 'ok') AS failed_folds
+FROM scored s GROUP BY s.series""", *FOLD_SQL), ids=("W-10", "W-11"))
 def arx_cv_metrics(spark, sf_dir):
-    """W-11 on the ARX folds: MAPE / RMSE / pass flag per series, failed folds
+    """W-11 on the folds of the model: MAPE / RMSE / pass flag per series, failed folds
     counted separately (never silently dropped)."""
-    folds = FC.arx_cv(arx_panel(spark, sf_dir), ["rig_z", "lpa_pct_z"], ARX_PARAMS)
+    folds = FC.arx_cv(arx_panel(spark, sf_dir), DRIVER_TERMS, ARX_PARAMS)
     ok = folds.filter(F.col("status") == "ok")
     failed = (folds.groupBy("series")
                    .agg(F.count_if(F.col("status") != "ok").alias("failed_folds")))
-    return FC.cv_metrics(ok, ["series"]).join(failed, "series", "right")
+    m = FC.cv_metrics(ok, ["series"]).join(failed, "series", "right")
+    return m.select("series", fround("mape", 4).alias("mape"), fround("rmse", 2).alias("rmse"), "n_points", "passed", "failed_folds")
