@@ -4,14 +4,18 @@ IDs: A-17, M-1..M-7, L-2, L-4, L-6.
 
 Features come from ONE conditional aggregate per key over a (key, month)
 pre-aggregate (no joins between per-feature frames, J-5).  Scaling uses a
-1-row aggregate broadcast.  K-means is Spark ML's distributed k-means||;
-each restart is a distributed fit over the cached feature vectors, and the
-best restart (lowest training cost) wins.  Clusters are labelled from their
-centroids, a k-row frame.
+1-row aggregate broadcast.  K-means runs Lloyd's step of all restarts (and,
+for the elbow, of all k) in one scan with map-side combined sums; the best
+restart (least inertia) wins.  Clusters are labelled from their centroids, a
+k-row frame.
 """
 
 from __future__ import annotations
 
+import json
+from functools import reduce
+
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,93 +102,103 @@ def top_per_label(labelled: DataFrame, n: int = 8, value_col: str = "last_year_f
 
 # --- k-means (M-2..M-6, L-6) ---------------------------------------------------------
 
-def _vectors(scaled: DataFrame, cols=FEATURES) -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
-    return VectorAssembler(inputCols=list(cols), outputCol="features").transform(scaled)
-
-
-def kmeans_best(scaled: DataFrame, k: int, seed: int, restarts: int, cols=FEATURES,
-                parallelism: int = 4):
-    """M-2: best of ``restarts`` distributed k-means fits (lowest training cost,
-    ties -> lowest seed).
-
-    The feature vectors are sorted by key and written once with a reliable
-    ``checkpoint()`` into the cluster's shared checkpoint folder: every
-    restart then reads the same rows in the same partitions (repeatable), a
-    lost executor recomputes from the checkpoint instead of re-running the
-    whole feature pipeline, and restarts do not re-scan the fact.  Restarts
-    are independent distributed fits submitted from ``parallelism`` driver
-    threads (as Spark ML's tuning ``parallelism`` does), so small fits
-    overlap instead of queueing.
-    Returns (model, assignments, training cost).
-    """
-    from concurrent.futures import ThreadPoolExecutor
-
-    from pyspark.ml.clustering import KMeans
-
-    from tradelens.session import shared_dir
-    shared_dir(scaled.sparkSession)
-    vec = _vectors(scaled.orderBy("key"), cols).select("key", "features").checkpoint(eager=True)
-
-    def fit(r: int):
-        model = KMeans(k=k, seed=seed + r, featuresCol="features",
-                       predictionCol="cluster_id").fit(vec)
-        return model.summary.trainingCost, seed + r, model
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        results = list(pool.map(fit, range(restarts)))
-    cost, _, best = min(results, key=lambda t: (t[0], t[1]))
-    assigned = best.transform(vec).select("key", "cluster_id")
-    return best, assigned, cost
-
-
-def total_sum_of_squares(scaled: DataFrame, cols=FEATURES) -> DataFrame:
-    """M-3 for k = 1 (Spark's KMeans rejects k = 1): sum of squared distances to
-    the global mean, one aggregate."""
-    mu = scaled.agg(*[F.avg(c).alias(f"__m_{c}") for c in cols])
-    s = attach_scalars(scaled, mu)
-    return s.agg(F.sum(sum((F.col(c) - F.col(f"__m_{c}")) ** 2 for c in cols)).alias("inertia"))
-
-
-def elbow(scaled: DataFrame, max_k: int, seed: int, restarts: int, cols=FEATURES,
-          parallelism: int = 4) -> DataFrame:
-    """M-3: inertia for k = 1..max_k (best of ``restarts`` for k >= 2).
-
-    k = 1 is the total sum of squares (one aggregate; Spark ML rejects k=1).
-    All (k, restart) fits read one checkpointed copy of the vectors and are
-    submitted together from ``parallelism`` driver threads."""
-    from concurrent.futures import ThreadPoolExecutor
+def start_points(scaled: DataFrame, k: int, restarts: int, seed: int, cols=FEATURES) -> dict[int, list]:
+    """Restart -> k keys' vectors, the first in the order of md5("seed+restart:key"); a
+    smaller k starts from the first of them.  One job; k * restarts rows reach the driver."""
+    per = []
+    for r in range(restarts):
+        order = F.md5(F.concat(F.lit(f"{seed + r}:"), F.col("key").cast("string")))
+        per.append(scaled.select(F.lit(r).alias("r"), order.alias("o"), F.array(*cols).alias("x")).orderBy("o").limit(k))
+    rows = reduce(DataFrame.union, per).collect()
+    return {r: [x["x"] for x in sorted((y for y in rows if y["r"] == r), key=lambda y: y["o"])] for r in range(restarts)}
+
+
+def _step(scaled: DataFrame, models: dict, cols) -> dict:
+    """(model, cluster) -> (rows, inertia, sums of the columns): every point meets every model
+    in one scan; sums are combined map-side, so a task returns a row per cluster."""
+    names = list(models)
+    data = json.dumps([{"m": i, "c": models[m]} for i, m in enumerate(names)])
+    each = F.from_json(F.lit(data), "array<struct<m:int,c:array<array<double>>>>")
+    x = F.array(*[F.col(c).cast("double") for c in cols])
+    near = F.array_min(F.transform("mod.c", lambda c, i: F.struct(_distance(F.col("x"), c).alias("d"), i.alias("i"))))
+    met = (scaled.select(x.alias("x"), F.explode(each).alias("mod"))
+           .select("x", F.col("mod.m").alias("m"), near.alias("n")).select("x", "m", "n.i", "n.d"))
+    rows = met.groupBy("m", "i").agg(F.count(F.lit(1)).alias("n"), F.sum("d").alias("d"),
+                                     *[F.sum(F.col("x")[j]).alias(f"s{j}") for j in range(len(cols))]).collect()
+    return {(names[r["m"]], r["i"]): (r["n"], r["d"], [r[f"s{j}"] for j in range(len(cols))]) for r in rows}
+
+
+def _distance(x, c):
+    return F.aggregate(F.zip_with(x, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
+
+
+def lloyd(scaled: DataFrame, models: dict, steps: int, cols=FEATURES) -> tuple[dict, dict]:
+    """Lloyd's iterations of all ``models`` (name -> centroids) together: one job a step, until
+    nothing moves or ``steps`` are done.  A cluster that loses its points keeps its place.
+    Returns the centroids and, per model, the inertia around them."""
+    models = {m: [list(map(float, c)) for c in cs] for m, cs in models.items()}
+    for _ in range(steps):
+        got, moved = _step(scaled, models, cols), 0.0
+        for m, centroids in models.items():
+            for i, c in enumerate(centroids):
+                n, _, sums = got.get((m, i), (0, 0.0, c))
+                new = [v / n for v in sums] if n else c
+                moved = max(moved, *(abs(a - b) for a, b in zip(c, new)))
+                centroids[i] = new
+        if moved < 1e-12:
+            break
+    last = _step(scaled, models, cols)
+    return models, {m: sum(last.get((m, i), (0, 0.0, None))[1] for i in range(len(cs))) for m, cs in models.items()}
+
+
+def best_models(scaled: DataFrame, ks: list[int], seed: int, restarts: int, steps: int = 15, cols=FEATURES) -> dict:
+    """M-2, M-3: k -> (inertia, centroids) of the restart of least inertia (to 6 digits; ties ->
+    first restart).  All k and restarts share every scan; centroids (at most sum(ks) * restarts
+    short vectors) are the only rows that reach the driver.  Clusters are numbered by their last
+    feature, the largest first."""
+    starts = start_points(scaled, max(ks), restarts, seed, cols)
+    models = {(k, r): starts[r][:k] for k in ks for r in range(restarts) if starts[r]}
+    centroids, inertia = lloyd(scaled, models, steps, cols)
+    best = {}
+    for k in ks:
+        found = [(round(inertia[k, r], 6), r) for r in range(restarts) if (k, r) in inertia]
+        if found:
+            _, r = min(found)
+            best[k] = inertia[k, r], sorted(centroids[k, r], key=lambda c: [-v for v in reversed(c)])
+    return best
+
+
+def assign(scaled: DataFrame, centroids: list, cols=FEATURES) -> DataFrame:
+    """key, cluster_id of the nearest centroid (the first of equals)."""
+    cs = F.from_json(F.lit(json.dumps(centroids)), "array<array<double>>")
+    x = F.array(*[F.col(c).cast("double") for c in cols])
+    near = F.array_min(F.transform(cs, lambda c, i: F.struct(_distance(x, c).alias("d"), i.alias("i"))))
+    return scaled.select("key", near["i"].alias("cluster_id"))
+
+
+def kmeans_best(scaled: DataFrame, k: int, seed: int, restarts: int, cols=FEATURES):
+    """M-2: best of ``restarts`` k-means fits.  The scaled vectors are written once
+    (``materialize``), so steps re-read them and not the fact.  Returns (centroids,
+    assignments, inertia)."""
+    scaled = materialize(scaled)
+    inertia, centroids = best_models(scaled, [k], seed, restarts, cols=cols)[k]
+    return centroids, assign(scaled, centroids, cols), inertia
+
+
+def elbow(scaled: DataFrame, max_k: int, seed: int, restarts: int, cols=FEATURES) -> DataFrame:
+    """M-3: inertia for k = 1..max_k (best of ``restarts``); all fits share their scans."""
+    spark = scaled.sparkSession
+    best = best_models(materialize(scaled), list(range(1, max_k + 1)), seed, restarts, cols=cols)
+    out = spark.createDataFrame([(k, float(v[0])) for k, v in best.items()], "k int, inertia double")
+    total = float(best[1][0]) if best else None
+    return out.withColumn("improvement_vs_k1_pct", F.try_divide(F.lit(total) - F.col("inertia"), F.lit(total)) * 100)
 
-    from pyspark.ml.clustering import KMeans
 
-    from tradelens.session import shared_dir
-    spark = scaled.sparkSession
-    shared_dir(spark)
-    tss = float(total_sum_of_squares(scaled, cols).first()["inertia"])
-    vec = _vectors(scaled.orderBy("key"), cols).select("key", "features").checkpoint(eager=True)
-
-    def fit(job):
-        k, r = job
-        m = KMeans(k=k, seed=seed + r, featuresCol="features").fit(vec)
-        return k, float(m.summary.trainingCost)
-
-    jobs = [(k, r) for k in range(2, max_k + 1) for r in range(restarts)]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        costs = list(pool.map(fit, jobs))
-    best = {1: tss}
-    for k, c in costs:
-        best[k] = min(best.get(k, c), c)
-    out = spark.createDataFrame(sorted(best.items()), "k int, inertia double")
-    return out.withColumn("improvement_vs_k1_pct",
-                          (F.lit(tss) - F.col("inertia")) / F.lit(tss) * 100)
-
-
-def centroids_frame(model, features: DataFrame, scaled_input: DataFrame, assigned: DataFrame,
-                    cols=FEATURES, log_cols=LOG_FEATURES) -> DataFrame:
+def centroids_frame(centroids: list, features: DataFrame, assigned: DataFrame, cols=FEATURES, log_cols=LOG_FEATURES) -> DataFrame:
     """M-4: centroids mapped back to original units (inverse z-score with the
     population std, then expm1 for log features) with cluster sizes."""
     spark = features.sparkSession
-    centers = [(i, *[float(v) for v in c]) for i, c in enumerate(model.clusterCenters())]
+    centers = [(i, *[float(v) for v in c]) for i, c in enumerate(centroids)]
     cdf = spark.createDataFrame(centers, "cluster_id int, " + ", ".join(f"{c} double" for c in cols))
     x = features.withColumns({c: F.log1p(F.col(c)) for c in log_cols})
     stats = x.agg(*[F.avg(c).alias(f"__mu_{c}") for c in cols],
@@ -213,11 +227,18 @@ def label_clusters(centroids: DataFrame, params: SegmentParams = SegmentParams()
 
 
 def pca_2d(scaled: DataFrame, cols=FEATURES):
-    """M-6: first two principal components and explained variance ratios."""
-    from pyspark.ml.feature import PCA
-    from pyspark.ml.functions import vector_to_array
-    vec = _vectors(scaled, cols)
-    model = PCA(k=2, inputCol="features", outputCol="pc").fit(vec)
-    out = (model.transform(vec).withColumn("pc", vector_to_array("pc"))
-                .select("key", F.col("pc")[0].alias("pc1"), F.col("pc")[1].alias("pc2")))
-    return out, [float(v) for v in model.explainedVariance]
+    """M-6: first two principal components and their shares of the variance.
+
+    The covariance of the columns is one aggregate; its eigenvectors (a matrix of
+    ``len(cols)`` squared numbers) are computed on the driver, and their entry of
+    largest size is made positive."""
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1)]
+    row = scaled.agg(*[F.covar_pop(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in pairs]).first()
+    cov = np.zeros((len(cols), len(cols)))
+    for i, j in pairs:
+        cov[i, j] = cov[j, i] = row[f"c{i}_{j}"] or 0.0
+    values, vectors = np.linalg.eigh(cov)
+    top = [vectors[:, -1 - c] * np.sign(vectors[np.argmax(np.abs(vectors[:, -1 - c])), -1 - c]) for c in (0, 1)]
+    parts = [reduce(lambda a, b: a + b, [F.col(c) * float(v) for c, v in zip(cols, t)]) for t in top]
+    out = scaled.select("key", parts[0].alias("pc1"), parts[1].alias("pc2"))
+    return out, [float(values[-1 - c] / values.sum()) if values.sum() else 0.0 for c in (0, 1)]
