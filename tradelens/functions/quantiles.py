@@ -4,19 +4,21 @@
 Spark's exact ``percentile`` aggregate keeps a value->count map per group and
 merges it in ONE task per group.  Here no group is gathered:
 
-1. rows per (group, value), with map-side combine: a value that half of all
-   rows share is one row from here on;
-2. rows per (group, bucket), where the bucket is a monotone function of the
-   value (sign and 1/256 octave): at most about 1.2 million buckets a group
-   whatever its size, some thousands for prices.  Running counts over them say
-   which buckets hold the ranks floor(q(n-1)) and ceil(q(n-1));
-3. only the distinct values of those buckets are ranked (a window over (group,
-   bucket), which streams and spills);
-4. interpolate: (hi - pos) * v_lo + (pos - lo) * v_hi with pos = q(n-1).
-
-Nothing runs while the plan is built.  NULL values are ignored; a group without
-values gets NULL quantiles; a NULL key is a group of its own; NaN is the largest
-value; an empty table has no groups, and NULL quantiles if there are no keys.
+1. rows per (group, bucket), counted straight from the rows with map-side
+   combine, where the bucket is a monotone function of the value (sign and 1/256
+   octave): at most about 1.2 million buckets a group whatever its size, some
+   thousands for prices.  Running counts over them say which buckets hold the ranks
+   floor(q(n-1)) and ceil(q(n-1)).  These located buckets, two a group and quantile
+   at most, are written to the shared folder, so that the planner knows their size;
+2. a second scan keeps the rows of the located buckets only (a broadcast join
+   while they are few), counts them per value with map-side combine, and ranks
+   those (a window over (group, bucket), which streams and spills);
+3. interpolate: (hi - pos) * v_lo + (pos - lo) * v_hi with pos = q(n-1).
+
+Values outside the located buckets are never shuffled.  The first step runs while
+the plan is built.  NULL values are ignored; a group without values gets NULL
+quantiles; a NULL key is a group of its own; NaN is the largest value; an empty
+table has no groups, and NULL quantiles if there are no keys.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradelens.functions.stats import measured
+
 BUCKETS_PER_OCTAVE = 256
 _POSITIVE = 300_000  # log2 of a double is above -1075, so 256 times it is above -275,200
 _INFINITE = 590_000
@@ -48,12 +52,9 @@ def group_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
     and, as ``count_col``, the group's rows (those with NULL values included)."""
     keys = [f"__k{i}" for i in range(len(group_cols))] or ["__k0"]
     key_cols = [F.col(g).alias(k) for g, k in zip(group_cols, keys)] or [F.lit(0).alias("__k0")]
-    values = (df.select(*key_cols, F.col(value_col).cast("double").alias("__v"))
-                .groupBy(*keys, "__v").agg(F.count("*").alias("__c"))
-                .withColumn("__b", value_bucket(F.col("__v"))))
-    blocks = values.groupBy(*keys, "__b").agg(
-        F.sum("__c").alias("__rows"),
-        F.sum(F.when(F.col("__v").isNotNull(), F.col("__c")).otherwise(0)).alias("__cnt"))
+    rows = (df.select(*key_cols, F.col(value_col).cast("double").alias("__v"))
+              .withColumn("__b", value_bucket(F.col("__v"))))
+    blocks = rows.groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("__rows"), F.count("__v").alias("__cnt"))
     w = Window.partitionBy(*keys)
     blocks = (blocks.withColumn("__n", F.sum("__cnt").over(w))
                     .withColumn("__total", F.sum("__rows").over(w))
@@ -66,19 +67,23 @@ def group_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
     ranks = [r for q in qs.values() for r in (F.floor(pos(q)), F.ceil(pos(q)))]
     start, end = F.col("__start"), F.col("__start") + F.col("__cnt")
     needed = reduce(lambda a, b: a | b, [(r >= start) & (r < end) for r in ranks])
-    located = blocks.where(needed).select(*[F.col(k).alias(k + "r") for k in keys],
-                                          F.col("__b").alias("__br"), "__n", "__start")
+    # the rows without a value, and a group's first bucket, carry the totals of a group
+    kept = measured(blocks.withColumn("__needed", F.coalesce(needed, F.lit(False)) & (F.col("__cnt") > 0))
+                          .where("__needed or __b is null or __start = 0"), "quantile-buckets")
+    located = kept.where("__needed").select(*[F.col(k).alias(k + "r") for k in keys],
+                                            F.col("__b").alias("__br"), "__n", "__start")
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(k + "r")) for k in keys],
                   F.col("__b") == F.col("__br"))
+    values = (rows.join(located, same).groupBy(*keys, "__b", "__n", "__start", "__v")
+                  .agg(F.count(F.lit(1)).alias("__c")))
     in_bucket = (Window.partitionBy(*keys, "__b").orderBy("__v")
                        .rowsBetween(Window.unboundedPreceding, 0))
-    ranked = (values.join(located, same)
-                    .withColumn("__to", F.col("__start") + F.sum("__c").over(in_bucket))
+    ranked = (values.withColumn("__to", F.col("__start") + F.sum("__c").over(in_bucket))
                     .withColumn("__from", F.col("__to") - F.col("__c")))
     held = [(r >= F.col("__from")) & (r < F.col("__to")) for r in ranks]
     picked = ranked.select(*keys, "__n", F.lit(None).cast("long").alias("__total"),
                            *[F.when(h, F.col("__v")).alias(f"__r{i}") for i, h in enumerate(held)])
-    groups = blocks.groupBy(*keys).agg(F.max("__total").alias("__total"), F.max("__n").alias("__n"))
+    groups = kept.groupBy(*keys).agg(F.max("__total").alias("__total"), F.max("__n").alias("__n"))
     nothing = [F.lit(None).cast("double").alias(f"__r{i}") for i in range(len(ranks))]
     both = (groups.select(*keys, "__n", "__total", *nothing).union(picked)
                   .groupBy(*keys).agg(F.max("__n").alias("__n"), F.max("__total").alias("__total"),
