@@ -31,7 +31,7 @@ HEADLINE = [
     "segment_rules",           # per-key features + rule labels
     "seasonal_decompose",      # windows over the monthly panel
     "seasonal_naive_cv",       # rolling-origin folds
-    "arx_forecast",            # grouped pandas fits per series
+    "arx_forecast",            # Hannan-Rissanen fits of all series
 ]
 
 
