@@ -141,11 +141,12 @@ def _innovations(months: str, terms: list[str], ma: str) -> Column:
     return F.aggregate(months, F.struct(F.lit(0.0).alias("e"), F.lit(0.0).alias("rss")), step)
 
 
-def _ahead(rows: DataFrame, fits: DataFrame, keys: list[str], drivers: list[str], z90: float) -> DataFrame:
+def _ahead(rows: DataFrame, fits: DataFrame, keys: list[str], drivers: list[str], z90: float, carry: tuple = ()) -> DataFrame:
     """keys, h, month, y, yhat, yhat_lo, yhat_hi of the months after each group's training rows.
 
     ``rows``: those months, with the columns of ``_lagged``, h = 1, 2, ... and ``last_d``, the
     last difference before them.  h may not exceed the season, so every seasonal lag is observed.
+    ``carry``: further columns to return, of the rows, the fits, or _yhat and _half (before the clip at 0).
     """
     terms = ["d_season", *[f"d_{c}" for c in drivers]]
     known = rows.join(fits, keys).withColumn(
@@ -162,7 +163,7 @@ def _ahead(rows: DataFrame, fits: DataFrame, keys: list[str], drivers: list[str]
     floor = F.lit(0.0)
     return known.select(*keys, "h", "month", "y", F.greatest("_yhat", floor).alias("yhat"),
                         F.greatest(F.col("_yhat") - F.col("_half"), floor).alias("yhat_lo"),
-                        F.greatest(F.col("_yhat") + F.col("_half"), floor).alias("yhat_hi"), "b_e_lag1", "aic", "bic")
+                        F.greatest(F.col("_yhat") + F.col("_half"), floor).alias("yhat_hi"), "b_e_lag1", "aic", "bic", *carry)
 
 
 def _checked(params: ForecastParams) -> None:
@@ -170,12 +171,9 @@ def _checked(params: ForecastParams) -> None:
         raise ValueError("the horizon may not exceed the season")
 
 
-def arx_forecast(panel: DataFrame, drivers: list[str], params: ForecastParams) -> DataFrame:
-    """W-9 + W-12: per series, fit on all months and forecast ``horizon`` more; future
-    drivers are held at their last value.  Also the MA coefficient, AIC and BIC of the fit.
-    ``panel``: (series, month, y, *drivers), dense monthly.  A series that is too short or
-    whose terms outnumber its complete months has one row, status 'skipped'."""
-    _checked(params)
+def _with_future(panel: DataFrame, drivers: list[str], params: ForecastParams) -> tuple[DataFrame, DataFrame]:
+    """(series with their last drivers ``_l`` and length n; the columns of ``_lagged`` for the months
+    and, with h, the ``horizon`` months after them) of a panel; written."""
     panel = measured(panel, "arma-panel")
     last = panel.groupBy("series").agg(F.max(F.struct("month", *drivers)).alias("_l"), F.count(F.lit(1)).alias("n"))
     months = F.transform(F.sequence(F.lit(1), F.lit(params.horizon)), lambda h: F.struct(
@@ -188,7 +186,16 @@ def arx_forecast(panel: DataFrame, drivers: list[str], params: ForecastParams) -
     rows = rows.join(last.where(F.col("n") >= params.min_points).select("series"), "series", "left_semi")
     rows = rows.withColumn("last_d", F.last("d", ignorenulls=True).over(
         Window.partitionBy("series").orderBy("month").rowsBetween(Window.unboundedPreceding, 0)))
-    rows = measured(rows, "arma-months")
+    return last, measured(rows, "arma-months")
+
+
+def arx_forecast(panel: DataFrame, drivers: list[str], params: ForecastParams) -> DataFrame:
+    """W-9 + W-12: per series, fit on all months and forecast ``horizon`` more; future
+    drivers are held at their last value.  Also the MA coefficient, AIC and BIC of the fit.
+    ``panel``: (series, month, y, *drivers), dense monthly.  A series that is too short or
+    whose terms outnumber its complete months has one row, status 'skipped'."""
+    _checked(params)
+    last, rows = _with_future(panel, drivers, params)
     fits = _fits(rows.where("h is null"), ["series"], drivers)
     out = _ahead(rows.where("h is not null"), fits, ["series"], drivers, params.z90)
     return (last.select("series").join(out, "series", "left")
@@ -196,6 +203,29 @@ def arx_forecast(panel: DataFrame, drivers: list[str], params: ForecastParams) -
                     F.when(F.col("h").isNull(), "skipped").otherwise("ok").alias("status")))
 
 
+def scenario_forecast(panel: DataFrame, driver: str, levels, params: ForecastParams) -> DataFrame:
+    """W-13: the fitted model's forecast with its 90 % interval when the driver moves by each of
+    ``levels`` percent of its last value and stays there.
+
+    The move enters every month's difference through the driver's coefficient and is handed on by
+    the AR term: after h months it has added b * move * (1 + ar + ... + ar^(h-1)).  The interval's
+    width is that of the innovations; a series without a fit has no rows."""
+    _checked(params)
+    last, rows = _with_future(panel, [driver], params)
+    fits = _fits(rows.where("h is null"), ["series"], [driver])
+    own = f"b_d_{driver}"
+    base = _ahead(rows.where("h is not null"), fits, ["series"], [driver], params.z90, carry=("_yhat", "_half", "b_d_lag1", own))
+    base = base.join(last.select("series", F.col(f"_l.{driver}").alias("_x")), "series")
+    passed = F.aggregate(F.sequence(F.lit(1), F.col("h")), F.struct(F.lit(0.0).alias("s"), F.lit(1.0).alias("p")),
+                         lambda a, i: F.struct((a["s"] + a["p"]).alias("s"), (a["p"] * F.col("b_d_lag1")).alias("p")), lambda a: a["s"])
+    each = base.withColumn("_passed", passed).withColumn("scenario_pct", F.explode(F.array(*[F.lit(int(v)) for v in levels])))
+    moved = F.col("_yhat") + F.col(own) * F.col("_x") * F.col("scenario_pct") / 100.0 * F.col("_passed")
+    floor = F.lit(0.0)
+    return each.withColumn("_m", moved).select(
+        "series", "scenario_pct", "h", "month", F.greatest("_m", floor).alias("yhat"), F.greatest(F.col("_m") - F.col("_half"), floor).alias("yhat_lo"),
+        F.greatest(F.col("_m") + F.col("_half"), floor).alias("yhat_hi"))
+
+
 def arx_cv(panel: DataFrame, drivers: list[str], params: ForecastParams) -> DataFrame:
     """W-10 with the model: one fit per (series, cut) on t < cut, scored on the next
     ``horizon`` months with the drivers known; folds without a fit report status 'failed',

@@ -283,50 +283,50 @@ def ols_sql(name: str, source: str, keys: str, target: str, terms: list[str]) ->
 
 
 DRIVER_TERMS = ["rig_z", "lpa_pct_z"]
-LONG = ["d_lag1", "d_lag2", "d_lag3", "d_season", "d_rig_z", "d_lpa_pct_z"]
-SHORT = ["d_lag1", "d_season", "d_rig_z", "d_lpa_pct_z"]
 
 
-def arma_sql(source: str, keys: str) -> tuple[str, ...]:
+def arma_sql(source: str, keys: str, drivers=("rig_z", "lpa_pct_z")) -> tuple[str, ...]:
     """CTEs of the two regressions, the innovations and the criteria of every group of ``source``
     (training rows with lags); the last one is ``fits``."""
     same = lambda a, b: " AND ".join(f"{a}.{c} = {b}.{c}" for c in keys.split(", "))
     with_fit = lambda f, terms: "".join(f" - {f}.b_{x} * r.{x}" for x in terms)
-    known = " AND ".join(f"{c} IS NOT NULL" for c in ("d", *SHORT))
+    short = ["d_lag1", "d_season", *(f"d_{c}" for c in drivers)]
+    long, k = ["d_lag1", "d_lag2", "d_lag3", *short[1:]], len(short) + 2
+    known = " AND ".join(f"{c} IS NOT NULL" for c in ("d", *short))
     return (
-        *ols_sql("long_fit", source, keys, "d", LONG),
-        f"""resid AS MATERIALIZED (SELECT r.*, lag(r.d - f.b_const{with_fit('f', LONG)}) OVER (PARTITION BY {', '.join('r.' + c for c in keys.split(', '))}
+        *ols_sql("long_fit", source, keys, "d", long),
+        f"""resid AS MATERIALIZED (SELECT r.*, lag(r.d - f.b_const{with_fit('f', long)}) OVER (PARTITION BY {', '.join('r.' + c for c in keys.split(', '))}
                                                                                  ORDER BY r.t) AS e_lag1
                       FROM {source} r JOIN long_fit f ON {same('r', 'f')})""",
-        *ols_sql("short_fit", "resid", keys, "d", [*SHORT, "e_lag1"]),
+        *ols_sql("short_fit", "resid", keys, "d", [*short, "e_lag1"]),
         """ma_fit AS (SELECT * REPLACE (least(greatest(b_e_lag1, -0.98), 0.98) AS b_e_lag1) FROM short_fit)""",
-        f"""u AS (SELECT {', '.join('r.' + c for c in keys.split(', '))}, f.b_e_lag1 AS ma, r.d - f.b_const{with_fit('f', SHORT)} AS u,
+        f"""u AS (SELECT {', '.join('r.' + c for c in keys.split(', '))}, f.b_e_lag1 AS ma, r.d - f.b_const{with_fit('f', short)} AS u,
                          row_number() OVER (PARTITION BY {', '.join('r.' + c for c in keys.split(', '))} ORDER BY r.t) AS i
                   FROM (SELECT * FROM {source} WHERE {known}) r JOIN ma_fit f ON {same('r', 'f')})""",
         f"""e AS (SELECT {', '.join('a.' + c for c in keys.split(', '))}, a.i, sum(pow(-a.ma, a.i - b.i) * b.u) AS e
                   FROM u a JOIN u b ON {same('a', 'b')} AND b.i <= a.i GROUP BY ALL)""",
         f"""fits0 AS (SELECT {keys}, count(*) AS n, sum(e * e) AS css, max_by(e, i) AS last_e FROM e GROUP BY {keys})""",
-        f"""fits AS (SELECT f.* EXCLUDE (n_obs, rss), x.n AS n_obs, x.last_e, sqrt(x.css / (x.n - 6)) AS sigma,
-                            x.n * (ln(2 * pi() * x.css / x.n) + 1) + 14.0 AS aic,
-                            x.n * (ln(2 * pi() * x.css / x.n) + 1) + ln(x.n) * 7 AS bic
-                     FROM ma_fit f JOIN fits0 x ON {same('f', 'x')} WHERE f.n_obs > 6)""")
+        f"""fits AS (SELECT f.* EXCLUDE (n_obs, rss), x.n AS n_obs, x.last_e, sqrt(x.css / (x.n - {k})) AS sigma,
+                            x.n * (ln(2 * pi() * x.css / x.n) + 1) + {2.0 * (k + 1)} AS aic,
+                            x.n * (ln(2 * pi() * x.css / x.n) + 1) + ln(x.n) * {k + 1} AS bic
+                     FROM ma_fit f JOIN fits0 x ON {same('f', 'x')} WHERE f.n_obs > {k})""")
 
 
-def lags_sql(name: str, source: str) -> tuple[str, str]:
+def lags_sql(name: str, source: str, drivers=("rig_z", "lpa_pct_z")) -> tuple[str, str]:
     """CTEs ``<name>_d`` and ``<name>``: seasonal differences and their lags."""
     w = "OVER (PARTITION BY series ORDER BY month)"
-    return (f"""{name}_d AS (SELECT *, lag(y, 12) {w} AS before, y - lag(y, 12) {w} AS d, rig_z - lag(rig_z, 12) {w} AS d_rig_z,
-                                    lpa_pct_z - lag(lpa_pct_z, 12) {w} AS d_lpa_pct_z FROM {source})""",
+    return (f"""{name}_d AS (SELECT *, lag(y, 12) {w} AS before, y - lag(y, 12) {w} AS d,
+                                    {', '.join(f'{c} - lag({c}, 12) {w} AS d_{c}' for c in drivers)} FROM {source})""",
             f"""{name} AS MATERIALIZED (SELECT *, lag(d) {w} AS d_lag1, lag(d, 2) {w} AS d_lag2, lag(d, 3) {w} AS d_lag3, lag(d, 12) {w} AS d_season
                            FROM {name}_d)""")
 
 
-def ahead_sql(source: str, keys: str) -> tuple[str, ...]:
+def ahead_sql(source: str, keys: str, drivers=("rig_z", "lpa_pct_z")) -> tuple[str, ...]:
     """CTE ``ahead``: forecasts of the rows of ``source`` (h, last_d and lags) with their groups' fits."""
     same = lambda a, b: " AND ".join(f"{a}.{c} = {b}.{c}" for c in keys.split(", "))
     return (
         f"""w AS (SELECT r.*, f.b_d_lag1 AS ar, f.b_e_lag1 AS ma, f.sigma, f.aic, f.bic,
-                         f.b_const + f.b_d_season * r.d_season + f.b_d_rig_z * r.d_rig_z + f.b_d_lpa_pct_z * r.d_lpa_pct_z
+                         f.b_const + f.b_d_season * r.d_season{''.join(f' + f.b_d_{c} * r.d_{c}' for c in drivers)}
                          + CASE WHEN r.h = 1 THEN f.b_e_lag1 * f.last_e ELSE 0.0 END AS w
                   FROM {source} r JOIN fits f ON {same('r', 'f')})""",
         f"""steps AS (SELECT {', '.join('a.' + c for c in keys.split(', '))}, a.h, sum(pow(a.ar, a.h - b.h) * b.w) AS moved,
@@ -484,3 +484,34 @@ def arx_cv_metrics(spark, sf_dir):
                    .agg(F.count_if(F.col("status") != "ok").alias("failed_folds")))
     m = FC.cv_metrics(ok, ["series"]).join(failed, "series", "right")
     return m.select("series", fround("mape", 4).alias("mape"), fround("rmse", 2).alias("rmse"), "n_points", "passed", "failed_folds")
+
+
+# --- scenarios of the fitted model, with intervals ------------------------------------
+
+SCEN_PARAMS = ForecastParams(horizon=12)
+
+
+@register("scenario_intervals", with_trade("""
+SELECT lv.s AS scenario_pct, a.h, a.month, round(greatest(m, 0.0), 2) AS yhat, round(greatest(m - half, 0.0), 2) AS yhat_lo,
+       round(greatest(m + half, 0.0), 2) AS yhat_hi
+FROM (SELECT ahead.*, f.b_d_rig AS b, l.rig AS x FROM ahead, fits f, (SELECT * FROM panel WHERE t = n - 1) l) a,
+     (SELECT CAST(unnest(generate_series(-40, 40, 5)) AS INTEGER) AS s) lv,
+     LATERAL (SELECT a.raw + a.b * a.x * lv.s / 100.0 * list_sum(list_transform(range(a.h), lambda i: pow(a.ar, i))) AS m)""",
+    *DRIVER_SQL, SCEN_SQL[0],
+    """panel AS (SELECT 'all' AS series, month, total AS y, rig, row_number() OVER (ORDER BY month) - 1 AS t, count(*) OVER () AS n
+                 FROM tot JOIN aligned USING (month))""",
+    """longer AS (SELECT series, month, y, rig, CAST(NULL AS INTEGER) AS h FROM panel
+                  UNION ALL SELECT series, CAST(month + to_months(CAST(i AS INTEGER)) AS DATE), NULL, rig, CAST(i AS INTEGER)
+                            FROM (SELECT * FROM panel WHERE t = n - 1) l, (SELECT unnest(generate_series(1, 12)) AS i) hh)""",
+    *lags_sql("lagged", "longer", ("rig",)),
+    """known AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY month) AS t FROM lagged WHERE h IS NULL)""",
+    *arma_sql("known", "series", ("rig",)),
+    """next AS (SELECT l.*, x.last_d FROM lagged l JOIN (SELECT series, max_by(d, month) AS last_d FROM known GROUP BY 1) x
+                USING (series) WHERE l.h IS NOT NULL)""",
+    *ahead_sql("next", "series", ("rig",))), ids=("W-13", "J-13"))
+def scenario_intervals(spark, sf_dir):
+    tot = S.monthly_totals(trade(spark, sf_dir), [])
+    panel = tot.join(weekly_monthly(spark, sf_dir).select("month", "rig"), "month").select(
+        F.lit("all").alias("series"), "month", F.col("total").alias("y"), "rig")
+    g = FC.scenario_forecast(panel, "rig", SCENARIO_LEVELS, SCEN_PARAMS)
+    return g.select("scenario_pct", "h", "month", *[fround(c, 2).alias(c) for c in ("yhat", "yhat_lo", "yhat_hi")])
