@@ -70,6 +70,33 @@ def test_elbow_k1_is_total_sum_of_squares(spark):
     assert el[1] == max(el.values())
 
 
+def test_kmeans_step_measures_points_in_blocks(spark):
+    """Every point meets every model without a row per point and model; ties, NULLs and blocks."""
+    import math
+    import random
+
+    rnd = random.Random(3)
+    points = [(f"p{i}", float(rnd.randrange(-3, 4)), float(rnd.randrange(-3, 4))) for i in range(5000)]
+    points += [("tie", 0.0, 0.0), ("null", None, 2.0)]
+    models = {"one": [[0.5, 0.5]], "two": [[-1.0, 0.0], [1.0, 0.0]], "other": [[1.0, 1.0], [-2.0, 0.5]],
+              "three": [[0.0, 2.0], [0.0, -2.0], [50.0, 50.0]]}
+    df = spark.createDataFrame(points, "key string, a double, b double").repartition(3)
+    got = G._step(df, models, ("a", "b"))
+    want = {}
+    for name, centers in models.items():
+        for _, a, b in points:
+            d = [None if a is None else (a - c[0]) * (a - c[0]) + (b - c[1]) * (b - c[1]) for c in centers]
+            i = 0 if a is None else d.index(min(d))
+            n, t, (x, y) = want.get((name, i), (0, 0.0, (0.0, 0.0)))
+            want[name, i] = n + 1, t + (d[i] or 0.0), (x + (a or 0.0), y + b)
+    assert got.keys() == want.keys()
+    for at, (n, t, xy) in want.items():
+        assert got[at][0] == n and math.isclose(got[at][1], t)
+        assert all(math.isclose(g, w, abs_tol=1e-9) for g, w in zip(got[at][2], xy))
+    plan = G.cluster_sums(df, list(models.values()), ("a", "b"))._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and G.cluster_sums(df, list(models.values()), ("a", "b")).count() <= 3 * 8
+
+
 def test_densify_fills_missing_month(spark):
     df = spark.createDataFrame([("a", _d(2020, 1), 1.0), ("a", _d(2020, 3), 3.0)],
                                "k string, month date, total double")

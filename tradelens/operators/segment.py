@@ -5,8 +5,8 @@ IDs: A-17, M-1..M-7, L-2, L-4, L-6.
 Features come from ONE conditional aggregate per key over a (key, month)
 pre-aggregate (no joins between per-feature frames, J-5).  Scaling uses a
 1-row aggregate broadcast.  K-means runs Lloyd's step of all restarts (and,
-for the elbow, of all k) in one scan with map-side combined sums; the best
-restart (least inertia) wins.  Clusters are labelled from their centroids, a
+for the elbow, of all k) in one scan: a task measures whole blocks of points and
+returns its sums per cluster; the best restart (least inertia) wins.  Clusters are labelled from their centroids, a
 k-row frame.
 """
 
@@ -16,6 +16,7 @@ import json
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -115,19 +116,74 @@ def start_points(scaled: DataFrame, k: int, restarts: int, seed: int, cols=FEATU
 
 def _step(scaled: DataFrame, models: dict, cols) -> dict:
     """(model, cluster) -> (rows, inertia, sums of the columns): every point meets every model
-    in one scan; sums are combined map-side, so a task returns a row per cluster."""
+    in one scan; a task returns a row per cluster."""
     names = list(models)
-    data = json.dumps([{"m": i, "c": models[m]} for i, m in enumerate(names)])
-    each = F.from_json(F.lit(data), "array<struct<m:int,c:array<array<double>>>>")
-    x = F.array(*[F.col(c).cast("double") for c in cols])
-    near = F.array_min(F.transform("mod.c", lambda c, i: F.struct(_distance(F.col("x"), c).alias("d"), i.alias("i"))))
-    met = (scaled.select(x.alias("x"), F.explode(each).alias("mod"))
-           .select("x", F.col("mod.m").alias("m"), near.alias("n")).select("x", "m", "n.i", "n.d"))
-    rows = met.groupBy("m", "i").agg(F.count(F.lit(1)).alias("n"), F.sum("d").alias("d"),
-                                     *[F.sum(F.col("x")[j]).alias(f"s{j}") for j in range(len(cols))]).collect()
+    if not names:
+        return {}
+    parts = cluster_sums(scaled, [models[m] for m in names], cols)
+    rows = parts.groupBy("m", "i").agg(*[F.sum(c).alias(c) for c in parts.columns[2:]]).collect()
     return {(names[r["m"]], r["i"]): (r["n"], r["d"], [r[f"s{j}"] for j in range(len(cols))]) for r in rows}
 
 
+#: Points that meet the models together (their distances to as many models stay in the cache).
+POINT_BLOCK = 2048
+
+
+def cluster_sums(scaled: DataFrame, models: list, cols=FEATURES) -> DataFrame:
+    """m, i, n, d, s0, s1, ...: per task, model and nearest cluster (the first of equals) the points,
+    their squared distances and the sums of their columns, added up batch by batch.
+
+    Models with as many clusters are taken together, each distance over a whole block of points.
+    As in SQL, NaN is the largest distance; a point with a NULL belongs to cluster 0, and its
+    distance and its NULLs are in no sum."""
+    dims = len(cols)
+    alike = {k: [m for m, c in enumerate(models) if len(c) == k] for k in sorted({len(c) for c in models})}
+    centers = {k: np.array([models[m] for m in ms], dtype=float) for k, ms in alike.items()}
+
+    def nearest(x, c):
+        best, at = None, np.zeros((c.shape[0], x.shape[1]), dtype=np.int64)
+        for i in range(c.shape[1]):
+            d = np.zeros(at.shape)
+            for j in range(dims):
+                apart = x[j] - c[:, i, j, None]
+                apart *= apart
+                d += apart
+            if best is None:
+                best = d
+                continue
+            closer = d < best
+            if np.isnan(best).any():
+                closer |= np.isnan(best) & ~np.isnan(d)
+            np.copyto(best, d, where=closer)
+            np.copyto(at, i, where=closer)
+        return best, at
+
+    def add(batches):
+        sums = {k: np.zeros((2 + dims, len(ms) * k)) for k, ms in alike.items()}
+        for batch in batches:
+            points = np.array([c.to_numpy(zero_copy_only=False) for c in batch.columns], dtype=float)
+            null = np.array([c.is_null().to_numpy(zero_copy_only=False) for c in batch.columns])
+            for lo in range(0, batch.num_rows, POINT_BLOCK):
+                x, no = points[:, lo:lo + POINT_BLOCK], null[:, lo:lo + POINT_BLOCK]
+                held, whole = np.where(no, 0.0, x), ~no.any(axis=0)
+                for k, c in centers.items():
+                    with np.errstate(invalid="ignore", over="ignore"):
+                        best, at = nearest(x, c)
+                    to = (at + np.arange(len(c))[:, None] * k).ravel()
+                    weights = [np.where(whole, best, 0.0), *[np.broadcast_to(h, at.shape) for h in held]]
+                    sums[k] += [np.bincount(to, minlength=len(c) * k),
+                                *[np.bincount(to, w.ravel(), len(c) * k) for w in weights]]
+        for k, ms in alike.items():
+            took = np.flatnonzero(sums[k][0])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.array(ms, dtype=np.int32)[took // k]), pa.array((took % k).astype(np.int32)),
+                 pa.array(sums[k][0, took].astype(np.int64)), *[pa.array(v[took]) for v in sums[k][1:]]],
+                ["m", "i", "n", "d", *[f"s{j}" for j in range(dims)]])
+
+    schema = "m int, i int, n long, d double, " + ", ".join(f"s{j} double" for j in range(dims))
+    return scaled.select(*[F.col(c).cast("double") for c in cols]).mapInArrow(add, schema)
+
+
 def _distance(x, c):
     return F.aggregate(F.zip_with(x, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
 
