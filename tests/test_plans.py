@@ -51,3 +51,32 @@ def test_bounded_dims_are_broadcast_when_building_the_fact(spark):
     from tradelens.sources.tables import build_trade
     plan = build_trade(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in plan.lower()
+
+
+def test_fact_build_is_dealt_out_finely(spark, tmp_dir, monkeypatch):
+    """The published fact's join and sort get partitions of 16 MB, as many as the input asks for."""
+    from tradelens.session import fine_shuffles
+    from tradelens.sources import tables
+
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    number = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    dims = {"lineitem": "1 l_orderkey, 1 l_partkey, 1 l_suppkey, 1 l_linenumber, 1D l_quantity, 9.5D l_extendedprice, "
+                        "0.1D l_discount, 'N' l_returnflag, timestamp'1997-03-04 05:06:07' l_shipdate",
+            "orders": "1 o_orderkey, 1 o_custkey", "customer": "1 c_custkey, 1 c_nationkey",
+            "part": "1 p_partkey, 'SMALL' p_type, 'B' p_brand", "supplier": "1 s_suppkey, 1 s_nationkey",
+            "nation": "1 n_nationkey, 'PERU' n_name"}
+    for name, row in dims.items():
+        spark.range(1).selectExpr(*[c.strip() for c in row.split(", ")]).write.parquet(f"{tmp_dir}/{name}.parquet")
+    seen, build = [], tables.build_trade
+    monkeypatch.setattr(tables, "build_trade", lambda s, d: (
+        seen.append((s.conf.get(size), s.conf.get(number, None))), build(s, d))[1])
+    before = (spark.conf.get(size), spark.conf.get(number, None))
+    assert tables.trade(spark, tmp_dir).count() == 1
+    assert seen == [(str(16 << 20), spark.conf.get("spark.sql.shuffle.partitions"))]
+    assert (spark.conf.get(size), spark.conf.get(number, None)) == before
+    counts = []
+    for gb in (1, 10, 100_000):
+        with fine_shuffles(spark, gb << 30):
+            counts.append(int(spark.conf.get(number)))
+    assert counts == [256, 2560, 20_000]
+    assert (spark.conf.get(size), spark.conf.get(number, None)) == before

@@ -12,6 +12,7 @@ own when that setting is absent, which is the local/test case.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import threading
@@ -91,6 +92,30 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_dir(spark), "tradelens", *parts])
 
 
+#: More partitions than this cost the driver more than they save a task.
+MOST_PARTITIONS = 20_000
+
+
+@contextlib.contextmanager
+def fine_shuffles(spark: SparkSession, input_bytes: int, part_bytes: int = 16 << 20):
+    """Within the block, adaptive shuffles deal out a number of partitions that grows with the
+    input and are coalesced to ``part_bytes`` (or less, if the session says so), so the memory
+    of a task that sorts its partition does not grow with the input.  Skewed partitions
+    are still split by Spark.  The session's own settings are back afterwards."""
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    number = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    was = {k: spark.conf.get(k, None) for k in (size, number)}
+    known = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    least = int(was[number] or spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        spark.conf.set(size, str(min(part_bytes, known(spark.conf.get(size)))))
+        spark.conf.set(number, str(max(least, min(input_bytes // (part_bytes // 4), MOST_PARTITIONS))))
+        yield
+    finally:
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop FileSystem so it works on any store."""
     jvm = spark.sparkContext._jvm

@@ -23,7 +23,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelens.session import list_files, make_folder, scratch_path
+from tradelens.session import fine_shuffles, list_files, make_folder, scratch_path
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
@@ -68,19 +68,21 @@ FACT_INPUTS = ("lineitem", "orders", "customer", "part", "supplier", "nation")
 _FACT_LOCK = threading.Lock()
 
 
-def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
-    """Identity of the input version: name, length and modification time of every file."""
+def _fingerprint(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
+    """Identity of the input version (name, length and modification time of every file)
+    and its bytes."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    h = hashlib.sha1(sf_dir.encode())
+    h, size = hashlib.sha1(sf_dir.encode()), 0
     for t in FACT_INPUTS:
         p = path(f"{sf_dir.rstrip('/')}/{t}.parquet")
         found, entries = p.getFileSystem(conf).listFiles(p, True), []
         while found.hasNext():
             f = found.next()
+            size += f.getLen()
             entries.append(f"{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}")
         h.update(f"{t}:{sorted(entries)}".encode())
-    return h.hexdigest()[:16]
+    return h.hexdigest()[:16], size
 
 
 def trade(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,9 +95,11 @@ def trade(spark: SparkSession, sf_dir: str) -> DataFrame:
     instead of re-running a seven-table join each time a plan references
     the fact (a query that uses the fact in k branches would otherwise
     join k times).  Files are sorted by month so row-group statistics
-    prune date filters.
+    prune date filters.  Its tasks hold the sorted rows of both join sides and
+    of their file at once, so the join is dealt out finely (``fine_shuffles``).
     """
-    base = scratch_path(spark, "fact", "trade", _fingerprint(spark, sf_dir))
+    version, size = _fingerprint(spark, sf_dir)
+    base = scratch_path(spark, "fact", "trade", version)
     with _FACT_LOCK:
         done = _complete_copies(spark, base)
         if not done:
@@ -103,8 +107,9 @@ def trade(spark: SparkSession, sf_dir: str) -> DataFrame:
             # pointer is there; writers that race leave equal copies, and all
             # readers take the first by name
             copy = uuid.uuid4().hex
-            (build_trade(spark, sf_dir).sortWithinPartitions("shipment_date")
-                .write.mode("errorifexists").parquet(f"{base}/{copy}"))
+            with fine_shuffles(spark, size):
+                (build_trade(spark, sf_dir).sortWithinPartitions("shipment_date")
+                    .write.mode("errorifexists").parquet(f"{base}/{copy}"))
             make_folder(spark, f"{base}/_complete/{copy}")
             done = _complete_copies(spark, base)
     return spark.read.parquet(f"{base}/{done[0]}")
