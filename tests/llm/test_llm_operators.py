@@ -8,6 +8,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -159,6 +160,30 @@ def test_bpe_tree(text):
     assert ids == CODECS["library"].encode_ordinary(text) and CODECS["own"].decode(ids) == text.encode()
 
 
+def test_bpe_halves_are_kept():
+    codec, joined = bpe.Codec(bpe.read_ranks(RANKS), public_tokenizers.PATTERN), []
+    join = codec.join
+    codec.join = lambda left, right: joined.append(1) or join(left, right)
+    for data, joins in ((b"nationalthinking", 3), (b"nationalbetweens", 2), (b"betweensnational", 1)):
+        joined.clear()
+        assert codec.decode(codec.tree(data)) == data and len(joined) == joins
+
+
+def test_bpe_decodes_lists_at_once(spark):
+    prepare(spark)
+    ranks = bpe.read_ranks(RANKS)
+    codec = bpe.Codec(ranks, public_tokenizers.PATTERN)
+    lists = [[], [5], None, list(range(250, 400)), [], [max(ranks.values())], [300] * 700]
+    want = [None if x is None else b"".join(codec.bytes_of[i] for i in x) for x in lists]
+    for at in range(len(lists)):
+        assert codec.decode_lists(pa.array(lists, pa.list_(pa.int32())).slice(at, 3)).to_pylist() == want[at:at + 3]
+    for bad in ([1, max(ranks.values()) + 1], [None]):
+        with pytest.raises((KeyError, IndexError)):
+            codec.decode_lists(pa.array([bad], pa.list_(pa.int32())))
+    rows = spark.createDataFrame(list(enumerate(lists)), "doc_id long, ids array<int>")
+    assert {r.doc_id: None if r.decoded is None else bytes(r.decoded) for r in bpe.decode(rows, RANKS).collect()} == dict(enumerate(want))
+
+
 def test_packing(docs, none):
     library = Tokenizer.from_file(WORDS)
     library.encode_special_tokens = True

@@ -4,8 +4,8 @@ A piece of text is encoded by halves, recursively; two neighbours are joined by
 encoding anew a window around their boundary.  The window grows until its
 outer tokens are stable: a token sequence is the encoding of its bytes if and
 only if each two adjacent tokens are the encoding of their own bytes, so
-checking the two seams of the window proves the join.  Decoding concatenates
-token bytes up the tree.
+checking the two seams of the window proves the join.  Decoding gathers the
+token bytes of many texts side by side, so that joins up the tree move no bytes.
 
 Matches of the pattern are encoded separately.  They never cross from a
 non-space character to white space, so runs of white space with the word that
@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,69 +51,94 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str, leaf: int = LEAF):
         self.ranks, self.leaf = ranks, leaf
         self.bytes_of = {rank: token for token, rank in ranks.items()}
+        self.tokens = pa.array([self.bytes_of.get(i) for i in range(max(self.bytes_of, default=-1) + 1)], pa.large_binary())
         self.pieces = regex.compile(pattern)
         self.chunks = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
         self.other = re.compile(f"[{SPACE.replace(' ', '')}\x00]".replace("\t-\r", "\t\x0b-\r"))
-        self.stable: dict[tuple[int, int], bool] = {}
-        self.parts: dict[bytes, list[int]] = {}
+        self.pairs: dict[tuple[int, int], tuple[int, ...] | None] = {}
+        self.parts: dict[bytes, tuple[int, ...]] = {}
         # leaves and matches are kept in two generations, so frequent ones stay
         self.known_pieces: dict[str, bytes] = {}
         self.older_pieces: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def merged(self, data: bytes) -> list[int]:
+    def merged(self, data: bytes) -> tuple[int, ...]:
         """Encoding of a short part, kept: syllables come again in other words."""
         got = self.parts.get(data)
-        if got is None:
-            got = self._merge(data)
-            if len(data) <= 16:
-                if len(self.parts) > CACHE:
-                    self.parts.clear()
-                self.parts[data] = got
-        return got
+        return self._keep(data, self._merge(data)) if got is None else got
+
+    def _keep(self, data: bytes, ids: tuple[int, ...]) -> tuple[int, ...]:
+        if len(data) <= 16:
+            if len(self.parts) > CACHE:
+                self.parts.clear()
+            self.parts[data] = ids
+        return ids
 
-    def _merge(self, data: bytes) -> list[int]:
+    def _merge(self, data: bytes) -> tuple[int, ...]:
         """Merge the adjacent pair of lowest rank, the first of equals, while there is one."""
+        get, never = self.ranks.get, 1 << 60
         parts = [data[i:i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            best = min((self.ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
-            if best[0] == 1 << 60:
+        rank = [get(data[i:i + 2], never) for i in range(len(data) - 1)]  # of each part with the next
+        while rank:
+            best = min(rank)
+            if best == never:
                 break
-            i = best[1]
+            i = rank.index(best)
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
-        return [self.ranks[p] for p in parts]
+            del rank[i]
+            if i:
+                rank[i - 1] = get(parts[i - 1] + parts[i], never)
+            if i < len(rank):
+                rank[i] = get(parts[i] + parts[i + 1], never)
+        return tuple([self.ranks[p] for p in parts])
+
+    def pair(self, a: int, b: int) -> tuple[int, ...] | None:
+        """Encoding of the bytes of two tokens, kept; None if that is the two themselves."""
+        try:
+            return self.pairs[a, b]
+        except KeyError:
+            got = self.merged(self.bytes_of[a] + self.bytes_of[b])
+            if len(self.pairs) > CACHE:
+                self.pairs.clear()
+            got = self.pairs[a, b] = None if got == (a, b) else got
+            return got
 
     def fits(self, a: int, b: int) -> bool:
         """Whether two tokens next to each other are the encoding of their bytes."""
-        got = self.stable.get((a, b))
-        if got is None:
-            if len(self.stable) > CACHE:
-                self.stable.clear()
-            got = self.stable[(a, b)] = self.merged(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
-        return got
+        return self.pair(a, b) is None
 
-    def join(self, left: list[int], right: list[int]) -> list[int]:
+    def join(self, left: tuple[int, ...], right: tuple[int, ...]) -> tuple[int, ...]:
         if not left or not right:
             return left or right
-        i = j = 1
-        if self.fits(left[-1], right[0]):
+        new = self.pair(left[-1], right[0])
+        if new is None:
             return left + right
+        i = j = 1
         while True:
-            window = left[-i:] + right[:j]
-            new = self.merged(b"".join([self.bytes_of[t] for t in window]))
             grow_left = i < len(left) and not self.fits(left[-i - 1], new[0])
             grow_right = j < len(right) and not self.fits(new[-1], right[j])
             if not grow_left and not grow_right:
                 return left[:-i] + new + right[j:]
             i, j = min(len(left), i + grow_left), min(len(right), j + grow_right)
+            window = left[-i:] + right[:j]
+            new = self.merged(b"".join([self.bytes_of[t] for t in window]))
 
-    def tree(self, data: bytes) -> list[int]:
+    def half(self, data: bytes) -> tuple[int, ...]:
+        """Encoding of a part of a match; short ones are kept, as halves come again in other words."""
+        if len(data) <= self.leaf:
+            return self.merged(data)
+        got = self.parts.get(data)
+        if got is None:
+            got = self._keep(data, self.tree(data))
+        return got
+
+    def tree(self, data: bytes) -> tuple[int, ...]:
         """Encoding of one match: halves recursively, joined; no deeper than log2 of its length."""
         if len(data) <= self.leaf:
             return self.merged(data)
         half = len(data) // 2
-        return self.join(self.tree(data[:half]), self.tree(data[half:]))
+        return self.join(self.half(data[:half]), self.half(data[half:]))
 
     def match(self, piece: str) -> bytes:
         """ids of one match of the pattern."""
@@ -122,7 +148,7 @@ class Codec:
             if got is None:
                 data = piece.encode()
                 rank = self.ranks.get(data)
-                got = array("i", [rank] if rank is not None else self.tree(data)).tobytes()
+                got = array("i", (rank,) if rank is not None else self.tree(data)).tobytes()
             if len(piece) <= 100:  # long ones hardly come again
                 if len(self.known_pieces) > CACHE:
                     self.older_pieces, self.known_pieces = self.known_pieces, {}
@@ -154,12 +180,24 @@ class Codec:
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_bytes(text), "<i4").tolist()
 
+    def decode_lists(self, ids: pa.ListArray) -> pa.Array:
+        """Bytes of every list of ids; a null list stays null.
+
+        The tokens are gathered into one buffer, where neighbours lie side by
+        side: joining two parts moves no bytes, and the root of a list's tree is
+        the span from its first token to its last.
+        """
+        cut = ids.offsets.to_numpy()
+        tokens = self.tokens.take(ids.values.slice(cut[0], cut[-1] - cut[0]))
+        if tokens.null_count:
+            raise KeyError("an id that is null or has no token")
+        data, off = scan.string_bytes(tokens)
+        spans = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(ids), [None, pa.py_buffer(off[cut - cut[0]]), pa.py_buffer(data)])
+        return pc.if_else(ids.is_valid(), spans, None).cast(pa.binary())
+
     def decode(self, ids: list[int]) -> bytes:
-        """Concatenate token bytes pairwise, level by level."""
-        level = [self.bytes_of[i] for i in ids]
-        while len(level) > 1:
-            level = [b"".join(level[i:i + 64]) for i in range(0, len(level), 64)]
-        return level[0] if level else b""
+        return self.decode_lists(pa.array([ids], pa.list_(pa.int32())))[0].as_py()
 
 
 _CODECS: dict[tuple[str, str], Codec] = {}
@@ -198,9 +236,8 @@ def decode(encoded: DataFrame, ranks_file: str) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 100):
                 b = batch.slice(at, 100)
-                yield pa.record_batch([b.column("doc_id"), b.column("ids"), pa.array(
-                    [codec.decode(x) for x in b.column("ids").to_pylist()], pa.binary())],
-                    names=["doc_id", "ids", "decoded"])
+                yield pa.record_batch([b.column("doc_id"), b.column("ids"), codec.decode_lists(b.column("ids"))],
+                                      names=["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
 
