@@ -5,6 +5,7 @@ import random
 import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -122,6 +123,25 @@ def test_matrix_counts(docs):
     same(got, [(len(w), len(set(w))) for w in (brute.WORD.findall(t or "") for _, t, _ in ROWS)])
 
 
+@pytest.mark.parametrize("held_words", [1, 40, 1 << 20])
+def test_words_leave_by_shard(monkeypatch, held_words):
+    """A task sends one row per shard and held words, not one per word."""
+    monkeypatch.setattr(audit, "HELD_WORDS", held_words)
+    monkeypatch.setattr(audit.TaskContext, "get", staticmethod(lambda: type("Task", (), {"partitionId": lambda self: 3})()))
+    g = random.Random(4)
+    shards = {s: g.sample([f"w{i}" for i in range(300)], 100) for s in (7, 2, 5 << 32)}
+    rows = sorted((w, s, i) for s, words in shards.items() for i, w in enumerate(words))
+    batches = [pa.record_batch([pa.array(c) for c in zip(*rows[at:at + 30])], names=["word", "shard", "local"]) for at in range(0, len(rows), 30)]
+    batches.insert(1, batches[0].slice(0, 0))
+    got = [r for b in audit._numbered(iter(batches)) for r in b.to_pylist()]
+    assert len(got) <= len(shards) * -(-len(rows) // max(held_words, 30))
+    numbers = {s: audit._numbers([r for r in got if r["shard"] == s]).tolist() for s in shards}
+    number_of = {w: n for s, words in shards.items() for w, n in zip(words, numbers[s])}
+    assert all(number_of[w] == n for s, words in shards.items() for w, n in zip(words, numbers[s]))
+    assert len(set(number_of.values())) == len(number_of) and min(number_of.values()) > 3 << 40
+    assert audit._numbers(None).tolist() == []
+
+
 @pytest.mark.parametrize("keep", ["largest", "smallest"])
 def test_exact_dedup(docs, none, keep):
     want = brute.exact_copies([(d, t) for d, t, _ in ROWS], keep == "largest")

@@ -37,9 +37,12 @@ from tradelens.llm.frames import stored
 FILTERS = "ABCDE"
 #: Bytes of text in a shard (one document, if it is longer).
 SHARD_BYTES = 8 << 20
+#: Numbered words that a task holds before they leave by shard (20 bytes each).
+HELD_WORDS = 1 << 20
 MARKS = b"#$%&*|"
 _FRAME = "shard long, words array<string>, indptr binary, indices binary, counts binary, doc_id array<long>, " \
          "part array<string>, sha array<binary>, marks binary"
+_NUMBERS = "shard long, n int, first long, local binary, gaps binary"
 
 
 @dataclass(frozen=True)
@@ -66,11 +69,9 @@ def _gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Reco
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()[:1]
 
 
-def _by_document(values: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """Sum of 0/1 values of each document's bytes."""
-    total = np.zeros(len(values) + 1, np.int64)
-    np.cumsum(values, out=total[1:])
-    return total[off[1:]] - total[off[:-1]]
+def _by_document(marked: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Number of marked bytes of each document; few are."""
+    return np.diff(np.searchsorted(np.flatnonzero(marked), off))
 
 
 def _shards(limits: Limits, shard_bytes: int):
@@ -88,7 +89,7 @@ def _shards(limits: Limits, shard_bytes: int):
             indptr = np.searchsorted(cell >> 32, np.arange(b.num_rows + 1))
             gaps = np.diff(cell & 0xFFFFFFFF, prepend=0)  # columns of a row ascend, so that gaps pack well
             capitals = _by_document((data >= 65) & (data <= 90), off)
-            points = _by_document((data & 0xC0) != 0x80, off)
+            points = np.diff(off) - _by_document((data & 0xC0) == 0x80, off)  # bytes that continue no code point
             marks = ((100 * capitals > limits.capitals * points) * 4 + (_by_document(is_mark[data], off) > 0) * 8).astype(np.uint8)
             raw, cut = data.tobytes(), off.tolist()
             sha = [hashlib.sha256(raw[x:y]).digest() for x, y in zip(cut, cut[1:])]
@@ -111,8 +112,12 @@ def _unpacked(data: bytes, n: int) -> np.ndarray:
 
 
 def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Numbers the words of a partition sorted by word: equal words get one number, others different ones."""
+    """Numbers the words of a partition sorted by word: equal words get one number, others different ones.
+
+    They leave by shard, packed: up to ``HELD_WORDS`` words are held for that.
+    """
     number, last = TaskContext.get().partitionId() << 40, None
+    held, size = [], 0
     for b in batches:
         if not b.num_rows:
             continue
@@ -122,7 +127,34 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new[1:] = pc.not_equal(word.slice(1), word.slice(0, b.num_rows - 1)).to_numpy(zero_copy_only=False)
         term = number + np.cumsum(new)
         number, last = int(term[-1]), word[b.num_rows - 1].as_py()
-        yield pa.record_batch([b.column("shard"), b.column("local"), pa.array(term)], names=["shard", "local", "term"])
+        held.append((b.column("shard").to_numpy().copy(), b.column("local").to_numpy().copy(), term))  # else the words stay, too
+        size += len(term)
+        if size >= HELD_WORDS:
+            yield _by_shard(held)
+            held, size = [], 0
+    if held:
+        yield _by_shard(held)
+
+
+def _by_shard(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """One row for each shard of the held words: their places in the shard and their numbers, which ascend."""
+    shard, local, term = (np.concatenate(x) for x in zip(*held))
+    order = np.argsort(shard, kind="stable")
+    shard, local, term = shard[order], local[order], term[order]
+    cut = np.concatenate([[0], np.flatnonzero(shard[1:] != shard[:-1]) + 1, [len(shard)]])
+    at = cut[:-1]
+    spans = list(zip(at.tolist(), cut[1:].tolist()))
+    return pa.record_batch([
+        pa.array(shard[at]), pa.array(np.diff(cut).astype(np.int32)), pa.array(term[at]), pa.array([_packed(local[x:y]) for x, y in spans]),
+        pa.array([_packed(np.diff(term[x:y], prepend=term[x])) for x, y in spans])], names=["shard", "n", "first", "local", "gaps"])
+
+
+def _numbers(known: list[dict] | None) -> np.ndarray:
+    """The numbers of a shard's words, by place."""
+    to = np.zeros(sum(k["n"] for k in known or []), np.int64)
+    for k in known or []:
+        to[_unpacked(k["local"], k["n"])] = k["first"] + np.cumsum(_unpacked(k["gaps"], k["n"]), dtype=np.int64)
+    return to
 
 
 def _rows(limits: Limits):
@@ -133,16 +165,14 @@ def _rows(limits: Limits):
                 one = {c: b.column(c)[i] for c in b.schema.names}
                 indptr = np.frombuffer(one["indptr"].as_py(), np.int64)
                 indices, counts = np.cumsum(_unpacked(one["indices"].as_py(), indptr[-1])), _unpacked(one["counts"].as_py(), indptr[-1])
-                known = one["known"].values  # structs (local, term), one for each word of the shard
-                to = np.zeros(len(known) if known is not None else 0, np.int64)
-                if len(to):
-                    to[known.field("local").to_numpy()] = known.field("term").to_numpy()
                 n = len(indptr) - 1
-                column, row = to[indices], np.repeat(np.arange(n), np.diff(indptr))
-                order = np.lexsort((column, row))  # columns of a row in order, as CSR has them
-                column, row, value = column[order], row[order], counts[order].astype(np.int64)
-                first = np.ones(len(column), bool)
-                first[1:] = (column[1:] != column[:-1]) | (row[1:] != row[:-1])
+                terms, place = np.unique(_numbers(one["known"].as_py()), return_inverse=True)
+                row = np.repeat(np.arange(n), np.diff(indptr))
+                cell = row * len(terms) + place[indices]
+                order = np.argsort(cell)  # columns of a row in order, as CSR has them
+                cell, row, value = cell[order], row[order], counts[order].astype(np.int64)
+                first = np.ones(len(cell), bool)
+                first[1:] = cell[1:] != cell[:-1]
                 words = np.bincount(row, value, n).astype(np.int64)
                 distinct = np.bincount(row[first], minlength=n)
                 failed = np.frombuffer(one["marks"].as_py(), np.uint8) | (words < limits.words) | (
@@ -159,8 +189,8 @@ def matrix(docs: DataFrame, limits: Limits = Limits(), shard_bytes: int = SHARD_
                        F.coalesce("text", F.lit("")).alias("text"))
     shards = stored(rows.mapInArrow(_shards(limits, shard_bytes), _FRAME), "audit-shards")
     local = shards.select("shard", F.posexplode("words").alias("local", "word"))
-    terms = local.repartition("word").sortWithinPartitions("word").mapInArrow(_numbered, "shard long, local int, term long")
-    known = terms.groupBy("shard").agg(F.collect_list(F.struct("local", "term")).alias("known"))  # the words of one shard
+    terms = local.repartition("word").sortWithinPartitions("word").mapInArrow(_numbered, _NUMBERS)
+    known = terms.groupBy("shard").agg(F.collect_list(F.struct("n", "first", "local", "gaps")).alias("known"))  # the words of one shard
     return shards.drop("words").join(known, "shard", "left").drop("shard").mapInArrow(
         _rows(limits), "doc_id long, part string, sha binary, n_words long, n_distinct long, failed int")
 
